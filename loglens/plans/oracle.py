@@ -11,8 +11,8 @@ _G = """g AS (
   SELECT '10.0.' || CAST(user_id // 256 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR) AS ip,
          '/' || event_type AS path,
          strftime(ts, '%Y_%m_%d__%H_%M_%S_%g') AS seen,
-         epoch_ms(ts) // 1000 AS es,
-         epoch_ms(ts) AS ets_ms
+         epoch_us(ts) // 1000000 AS es,
+         epoch_us(ts) // 1000 AS ets_ms
   FROM events)"""
 
 _G_LINE = "ip || ' ' || path || ' ' || seen"
@@ -107,7 +107,7 @@ SELECT window_end,
                      'data': list({{'ip': ip, 'hits': hits, 'last_seen': last_seen}} ORDER BY rank)}})
             AS VARCHAR) AS message
 FROM n GROUP BY window_end""",
-    "tumbling_counts": """WITH c AS (SELECT (epoch_ms(ts) // 1000) // 86400 AS slot, count(*) AS n
+    "tumbling_counts": """WITH c AS (SELECT (epoch_us(ts) // 1000000) // 86400 AS slot, count(*) AS n
            FROM events GROUP BY 1),
 b AS (SELECT unnest(range(min(slot), max(slot) + 1)) AS slot FROM c)
 SELECT b.slot * 86400 AS window_start, coalesce(c.n, 0) AS n,

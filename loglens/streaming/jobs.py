@@ -8,7 +8,7 @@ on the sink's output (a static table).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,31 +67,29 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
         raise RuntimeError(str(q.exception()))
 
 
-def stage_time_slices(lines: DataFrame, n_slices: int, root: str) -> list[str]:
+def stage_time_slices(lines: DataFrame, n_slices: int, root: str) -> Iterator[str]:
     """Write access-log ``lines`` as ``n_slices`` text folders in event-time order.
 
-    Each slice is one parallel write job; the slices are written one after
-    the other so that a file stream sees them in time order, as a log
-    shipper delivers them.  Returns the folders in write order.
+    A generator: each slice is one parallel write job and is written only
+    when the caller asks for the next one, so a stream run in between sees
+    the slices arrive in time order, as a log shipper delivers them.
+    Yields each folder after it is complete.
     """
     ets = F.unix_micros(try_parse_seen(F.get(java_split("value"), 2)))
     bounds = lines.agg(F.min(ets).alias("lo"), F.max(ets).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     if lo is None:
-        return []
+        return
     step = (hi - lo) // n_slices + 1
-    folders = []
     for i in range(n_slices):
-        start = lo + step * i
-        cond = ets >= F.lit(start)
+        cond = ets >= F.lit(lo + step * i)
         if i < n_slices - 1:
             cond = cond & (ets < F.lit(lo + step * (i + 1)))
         if i == 0:
             cond = cond | ets.isNull()
         folder = f"{root}/slice-{i:04d}"
         lines.where(cond).write.mode("errorifexists").text(folder)
-        folders.append(folder)
-    return folders
+        yield folder
 
 
 def replay_hits(spark: SparkSession, lines: DataFrame, length: str, slide: str,
@@ -106,13 +104,12 @@ def replay_hits(spark: SparkSession, lines: DataFrame, length: str, slide: str,
     """
     root = staging_dir(spark, "hits-stream")
     incoming, out, ckpt = f"{root}/incoming", f"{root}/out", f"{root}/checkpoint"
-    folders = stage_time_slices(lines, n_slices, incoming)
-    if late is not None:
-        late.select("value").write.mode("errorifexists").text(f"{incoming}/slice-late")
-        folders.append(f"{incoming}/slice-late")
     stream = windowed_hits(text_stream(spark, f"{incoming}/*/*.txt"), length, slide, watermark)
     sink = window_upsert_sink(out, min_hits)
-    for _ in folders:
+    for _ in stage_time_slices(lines, n_slices, incoming):
+        run_available(stream, sink, ckpt)
+    if late is not None:
+        late.select("value").write.mode("errorifexists").text(f"{incoming}/slice-late")
         run_available(stream, sink, ckpt)
     return read_window_upserts(spark, out)
 
@@ -121,9 +118,8 @@ def replay_batch_counts(spark: SparkSession, lines: DataFrame, n_slices: int = 3
     """Records per micro-batch of a replayed table: ``batch_id, n, message``."""
     root = staging_dir(spark, "count-stream")
     incoming, out, ckpt = f"{root}/incoming", f"{root}/out", f"{root}/checkpoint"
-    folders = stage_time_slices(lines, n_slices, incoming)
     stream = text_stream(spark, f"{incoming}/*/*.txt")
     sink = batch_count_sink(out)
-    for _ in folders:
+    for _ in stage_time_slices(lines, n_slices, incoming):
         run_available(stream, sink, ckpt, output_mode="append")
     return read_batch_counts(spark, out)
