@@ -34,6 +34,16 @@ def try_parse_seen(seen) -> Column:
                               F.lit(LOG_TS_PATTERN + "Z"))
 
 
+def seen_wall_clock(seen, parsed) -> Column:
+    """``timestamp_ntz`` of the log text, NULL where ``parsed`` (its UTC parse) is NULL.
+
+    Zone-free and fixed width: the maximum of it is the latest time and can
+    be aggregated in a hash table, unlike the maximum of a string; the
+    ``CASE`` guard keeps the strict parser away from invalid text.
+    """
+    return F.when(_col(parsed).isNotNull(), F.to_timestamp_ntz(_col(seen), F.lit(LOG_TS_PATTERN)))
+
+
 def access_line(ip, path, ts) -> Column:
     """Assemble one access-log line from its three parts."""
     return F.concat_ws(" ", _col(ip), _col(path), format_seen(ts))

@@ -1,7 +1,8 @@
 """Parse access-log lines ``<ip> <path> <yyyy_MM_dd__HH_mm_ss_SSS>``.
 
 Two modes: ``strict`` fails the job on a line with fewer than three tokens,
-as an index-out-of-bounds would; ``permissive`` keeps good lines and sends
+as an index-out-of-bounds would (and, with event time, on a time it cannot
+read); ``permissive`` keeps good lines and sends
 the rest to :func:`access_log_rejects`.  ``time="event"`` (default) reads the
 event time from the line, ``time="arrival"`` stamps each row with the time
 it is processed, as a receiver-based stream does.
@@ -12,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglens.functions.logline import parse_seen, try_parse_seen
+from loglens.functions.logline import LOG_TS_PATTERN, seen_wall_clock, try_parse_seen
 from loglens.functions.text import java_split
 
-PARSED_COLUMNS = ("ip", "path", "seen", "ets")
+PARSED_COLUMNS = ("ip", "path", "seen", "ets", "seen_ts")
 
 
 def _tokens(column: str) -> Column:
@@ -29,11 +30,13 @@ def _reason(tokens: Column, ets: Column) -> Column:
 
 def parse_access_log(lines: DataFrame, column: str = "value", mode: str = "permissive",
                      time: str = "event") -> DataFrame:
-    """``ip, path, seen string, ets timestamp`` per line.
+    """``ip, path, seen string, ets timestamp, seen_ts timestamp_ntz`` per line.
 
-    ``seen`` is the raw timestamp text (its maximum is the latest time),
-    ``ets`` the parsed UTC instant used for windows.  Row-local: no shuffle,
-    and the projection is pushed into the scan's column list.
+    ``seen`` is the raw timestamp text, ``ets`` the instant used for
+    windows (event or arrival time) and ``seen_ts`` the text's own wall
+    clock (NULL when it does not parse), whose maximum gives ``last_seen``.
+    Row-local: no shuffle, and the projection is pushed into the scan's
+    column list.
     """
     if mode not in ("permissive", "strict"):
         raise ValueError(f"mode must be 'permissive' or 'strict', not {mode!r}")
@@ -46,15 +49,20 @@ def parse_access_log(lines: DataFrame, column: str = "value", mode: str = "permi
             F.array_join("__t", " ")))).otherwise(F.get("__t", 2))
         parsed = tok.select(F.get("__t", 0).alias("ip"), F.get("__t", 1).alias("path"),
                             third.alias("seen"))
-        ets = parse_seen("seen")
+        bad = F.raise_error(F.concat(F.lit("access-log time is not "), F.lit(LOG_TS_PATTERN),
+                                     F.lit(": "), F.col("seen")))
+        event = F.when(try_parse_seen("seen").isNull(), bad).otherwise(try_parse_seen("seen"))
+        if time == "arrival":
+            event = try_parse_seen("seen")
     else:
         parsed = (tok.where(F.size("__t") >= 3)
                      .select(F.get("__t", 0).alias("ip"), F.get("__t", 1).alias("path"),
                              F.get("__t", 2).alias("seen")))
-        ets = try_parse_seen("seen")
-    if time == "arrival":
-        ets = F.current_timestamp()
-    out = parsed.withColumn("ets", ets)
+        event = try_parse_seen("seen")
+    parsed = parsed.withColumn("__event", event)
+    ets = F.current_timestamp() if time == "arrival" else F.col("__event")
+    out = parsed.select("ip", "path", "seen", ets.alias("ets"),
+                        seen_wall_clock("seen", "__event").alias("seen_ts"))
     return out.where(F.col("ets").isNotNull()) if mode == "permissive" else out
 
 

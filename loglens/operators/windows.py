@@ -10,16 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loglens.functions.logline import format_seen
+
 WINDOW_COLUMNS = ("window_start", "window_end", "ip", "hits", "last_seen")
 
 
 def _hits_aggs():
-    return [F.count(F.lit(1)).alias("hits"), F.max("seen").alias("last_seen")]
+    # max over the fixed-width wall clock, not the text: same answer (the
+    # layout sorts by time) but a hash aggregate instead of a sort aggregate.
+    return [F.count(F.lit(1)).alias("hits"), F.max("seen_ts").alias("last_ts")]
+
+
+def _last_seen():
+    return format_seen("last_ts").alias("last_seen")
 
 
 def hits_by_ip(parsed: DataFrame) -> DataFrame:
     """``ip, hits bigint, last_seen string`` over all rows."""
-    return parsed.groupBy("ip").agg(*_hits_aggs())
+    return parsed.groupBy("ip").agg(*_hits_aggs()).select("ip", "hits", _last_seen())
 
 
 def window_aggregate(parsed: DataFrame, length: str, slide: str | None = None) -> DataFrame:
@@ -36,7 +44,7 @@ def project_windows(agg: DataFrame) -> DataFrame:
     """Flatten the window struct to epoch seconds (zone-free) and fix the column order."""
     return agg.select(F.unix_seconds("window.start").alias("window_start"),
                       F.unix_seconds("window.end").alias("window_end"),
-                      "ip", "hits", "last_seen")
+                      "ip", "hits", _last_seen())
 
 
 def hits_by_window(parsed: DataFrame, length: str, slide: str | None = None) -> DataFrame:
