@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from loglens.functions.numeric import floor_div
+
 
 def total_sum(df: DataFrame, column: str, alias: str = "total") -> DataFrame:
     """One row with the sum of ``column`` as ``bigint`` (a long accumulator)."""
@@ -54,7 +56,7 @@ def concat_ordered(df: DataFrame, value: str, order: str, group: str | None = No
         raise ValueError("give either group or chunk_width")
     agg = F.expr(f"listagg(`{value}`, '') WITHIN GROUP (ORDER BY `{order}`)")
     if chunk_width is not None:
-        keyed = df.withColumn("chunk", F.floor(F.col(order) / F.lit(chunk_width)))
+        keyed = df.withColumn("chunk", floor_div(order, chunk_width))
         return keyed.groupBy("chunk").agg(agg.alias(alias))
     if group is not None:
         return df.groupBy(group).agg(agg.alias(alias))

@@ -23,8 +23,14 @@ def hot_split_join(big: DataFrame, lookup: DataFrame, key: str, weight: str,
     is_hot = F.col(weight) >= total * F.lit(hot_fraction)
     hot = lookup.where(is_hot)
     cold = lookup.where(~is_hot)
-    hot_keys = hot.select(key)
-    via_broadcast = big.join(F.broadcast(hot), key, "inner")
-    via_shuffle = (big.join(F.broadcast(hot_keys), key, "left_anti")
-                      .join(cold, key, "inner"))
+    # One map-side pass tags every row with its hot-key match (if any); both
+    # branches below then read the same upstream shuffle output.
+    hot_side = hot.select(F.col(key), *[F.col(c).alias(f"__hot_{c}") for c in lookup.columns
+                                        if c != key])
+    tagged = big.join(F.broadcast(hot_side), key, "left")
+    marker = f"__hot_{weight}"
+    via_broadcast = tagged.where(F.col(marker).isNotNull()).select(
+        *big.columns, *[F.col(f"__hot_{c}").alias(c) for c in lookup.columns if c != key])
+    via_shuffle = (tagged.where(F.col(marker).isNull()).select(*big.columns)
+                         .join(cold, key, "inner"))
     return via_broadcast.unionByName(via_shuffle)

@@ -22,6 +22,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loglens.functions.numeric import floor_div
 from loglens.operators import (
     access_log_rejects, agent_keywords, agents_of, concat_ordered, concat_udaf,
     distinct_keywords, filter_with_partition_resource, hits_by_ip, hits_by_window,
@@ -148,7 +149,7 @@ def q_acc_concat(spark, d):
 
 def q_udaf_concat(spark, d):
     ev = read_table(spark, d, "events", "event_id", "event_type")
-    ev = ev.withColumn("chunk", F.floor(F.col("event_id") / F.lit(CONCAT_CHUNK)))
+    ev = ev.withColumn("chunk", floor_div("event_id", CONCAT_CHUNK))
     return concat_udaf(ev, "event_type", "event_id", "chunk")
 
 

@@ -12,14 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.functions.logline import access_line
+from loglens.functions.numeric import floor_div
 from loglens.sources.tables import read_table
 
 
 def ip_of_user(user_id) -> Column:
     """A dotted address for a numeric user id: ``10.0.<id div 256>.<id mod 256>``."""
     u = F.col(user_id) if isinstance(user_id, str) else user_id
-    return F.concat_ws(".", F.lit("10"), F.lit("0"), F.floor(u / 256).cast("string"),
-                       (u % 256).cast("string"))
+    return F.concat_ws(".", F.lit("10"), F.lit("0"), floor_div(u, 256).cast("string"),
+                       F.pmod(u, F.lit(256)).cast("string"))
 
 
 def access_log_lines(spark: SparkSession, data_dir: str) -> DataFrame:
