@@ -1,7 +1,7 @@
 """Structured Streaming jobs and idempotent ``foreachBatch`` sinks."""
 
 from loglens.streaming.jobs import (
-    text_stream, socket_stream, windowed_hits, run_available, stage_time_slices,
+    text_stream, socket_stream, to_console, windowed_hits, run_available, stage_time_slices,
     replay_hits, replay_batch_counts,
 )
 from loglens.streaming.sinks import (

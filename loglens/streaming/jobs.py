@@ -67,6 +67,22 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
         raise RuntimeError(str(q.exception()))
 
 
+def to_console(stream: DataFrame, num_rows: int = 10, processing_time: str | None = None,
+               checkpoint: str | None = None, output_mode: str = "append"):
+    """Print the first ``num_rows`` rows of every micro-batch (a debugging sink).
+
+    ``processing_time`` sets the batch interval (e.g. ``"5 seconds"``); without
+    it the query processes what is available and stops.
+    """
+    writer = (stream.writeStream.format("console").option("numRows", str(num_rows))
+                    .option("truncate", "false").outputMode(output_mode))
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
+    if processing_time:
+        return writer.trigger(processingTime=processing_time).start()
+    return writer.trigger(availableNow=True).start()
+
+
 def stage_time_slices(lines: DataFrame, n_slices: int, root: str) -> Iterator[str]:
     """Write access-log ``lines`` as ``n_slices`` text folders in event-time order.
 
