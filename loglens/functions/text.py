@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 KEYWORD_DELIMITERS = "[ /,;()]"
 KEYWORD_REJECT = "[0-9._-]+"
 
+# Characters with a meaning in a JVM regex; any other single character is
+# split on by String.split without compiling a pattern per row.
+_REGEX_META = set(".$|()[{^?*+\\")
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -29,9 +33,10 @@ def java_split(value, sep: str = " ") -> Column:
     """
     v = _col(value)
     trimmed = F.rtrim(v) if sep == " " else F.regexp_replace(v, f"\\Q{sep}\\E+$", "")
+    pattern = sep if len(sep) == 1 and sep not in _REGEX_META else f"\\Q{sep}\\E"
     return (F.when((v != F.lit("")) & (trimmed == F.lit("")),
                    F.array().cast("array<string>"))
-            .otherwise(F.split(trimmed, f"\\Q{sep}\\E", -1)))
+            .otherwise(F.split(trimmed, pattern, -1)))
 
 
 def utf16_len(value) -> Column:
@@ -49,5 +54,10 @@ def full_match(value, regex: str) -> Column:
 
 
 def keyword_split(value) -> Column:
-    """Split an agent string on the keyword delimiters (empty tokens kept)."""
-    return F.split(_col(value), KEYWORD_DELIMITERS, -1)
+    """Split an agent string on the keyword delimiters (empty tokens kept).
+
+    Same tokens as a regex split on ``[ /,;()]``: the other delimiters are
+    first mapped to a space, and a single-space split needs no per-row regex.
+    """
+    others = KEYWORD_DELIMITERS.strip("[]").replace(" ", "")
+    return F.split(F.translate(_col(value), others, " " * len(others)), " ", -1)

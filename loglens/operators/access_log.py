@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loglens.functions.logline import LOG_TS_PATTERN, seen_wall_clock, try_parse_seen
 from loglens.functions.text import java_split
+from loglens.operators.filters import where_computed
 
 PARSED_COLUMNS = ("ip", "path", "seen", "ets", "seen_ts")
 
@@ -55,20 +56,22 @@ def parse_access_log(lines: DataFrame, column: str = "value", mode: str = "permi
         if time == "arrival":
             event = try_parse_seen("seen")
     else:
-        parsed = (tok.where(F.size("__t") >= 3)
-                     .select(F.get("__t", 0).alias("ip"), F.get("__t", 1).alias("path"),
-                             F.get("__t", 2).alias("seen")))
+        parsed = tok.select(F.get("__t", 0).alias("ip"), F.get("__t", 1).alias("path"),
+                            F.get("__t", 2).alias("seen"))
         event = try_parse_seen("seen")
     parsed = parsed.withColumn("__event", event)
     ets = F.current_timestamp() if time == "arrival" else F.col("__event")
-    out = parsed.select("ip", "path", "seen", ets.alias("ets"),
-                        seen_wall_clock("seen", "__event").alias("seen_ts"))
-    return out.where(F.col("ets").isNotNull()) if mode == "permissive" else out
+    if mode == "permissive":
+        # A missing third token gives a NULL time, so one check covers both.
+        ok = F.col("seen").isNotNull() if time == "arrival" else F.col("__event").isNotNull()
+        parsed = where_computed(parsed.withColumn("__ok", ok), "__ok")
+    return parsed.select("ip", "path", "seen", ets.alias("ets"),
+                         seen_wall_clock("seen", "__event").alias("seen_ts"))
 
 
 def access_log_rejects(lines: DataFrame, column: str = "value") -> DataFrame:
     """Lines :func:`parse_access_log` would drop: ``value string, reason string``."""
     tok = lines.select(F.col(column).alias("value"), _tokens(column).alias("__t"))
     ets = F.when(F.size("__t") >= 3, try_parse_seen(F.get("__t", 2)))
-    return (tok.select("value", _reason(F.col("__t"), ets).alias("reason"))
-               .where(F.col("reason").isNotNull()))
+    reasons = tok.select("value", _reason(F.col("__t"), ets).alias("reason"))
+    return where_computed(reasons.withColumn("__bad", F.col("reason").isNotNull()), "__bad")
