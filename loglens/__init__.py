@@ -10,10 +10,10 @@ import sys
 
 from pyspark import cloudpickle
 
-from loglens.session import build_session, staging_dir
+from loglens.session import build_session, materialize, staging_dir
 
 # Ship this package's functions by value inside UDF closures, so executors
 # need no install of it (``--py-files`` works as well).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["build_session", "staging_dir"]
+__all__ = ["build_session", "materialize", "staging_dir"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loglens.functions.text import KEYWORD_REJECT, keyword_split
 from loglens.operators.joins import hot_split_join
+from loglens.session import materialize
 
 
 def agent_keywords(df: DataFrame, ip: str, agent: str) -> DataFrame:
@@ -39,8 +40,15 @@ def top_keywords(keywords: DataFrame, ip: str, n: int = 50) -> DataFrame:
     are matched map-side; the per-client ranking keeps at most ``n`` rows
     per client in each task before the shuffle.
     """
-    pairs = distinct_keywords(keywords, ip)
-    with_freq = hot_split_join(pairs, keyword_freq(keywords), "keyword", "freq")
+    # One pass over the occurrences: per-client counts give both the
+    # distinct pairs and, summed per keyword, the global frequency.  The
+    # counts feed several branches, which column pruning makes differ, so
+    # Spark would tokenize the text once per branch; a table written to the
+    # shared folder computes them once (and cuts the lineage).
+    per_client = materialize(
+        keywords.groupBy(ip, "keyword").agg(F.count(F.lit(1)).alias("__n")), "keyword-counts")
+    freq = per_client.groupBy("keyword").agg(F.sum("__n").alias("freq"))
+    with_freq = hot_split_join(per_client.select(ip, "keyword"), freq, "keyword", "freq")
     order = Window.partitionBy(ip).orderBy(F.desc("freq"), F.asc("keyword"))
     ranked = with_freq.withColumn("rank", F.row_number().over(order))
     return (ranked.where(F.col("rank") <= n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.session import checkpoint_root
+from loglens.session import materialize
 
 # Fixed value: the message key the dashboard listens for.
 PUSH_KEY = "dataPush"
@@ -29,10 +29,9 @@ def snapshot_json(board: DataFrame) -> DataFrame:
     window end (stable on replay) rather than a clock reading.
     """
     # The board is small (at most n rows per window) but expensive to
-    # recompute; a reliable checkpoint in the shared folder lets both the
-    # maximum and the rows read it once.
-    checkpoint_root(board.sparkSession)
-    rows = newest_window(board.checkpoint(eager=True))
+    # recompute; written once to the shared folder, both the maximum and the
+    # rows read it.
+    rows = newest_window(materialize(board, "board"))
     msg = rows.groupBy("window_end").agg(
         F.sort_array(F.collect_list(F.struct("rank", "ip", "hits", "last_seen"))).alias("__rows"))
     data = F.transform("__rows", lambda r: F.struct(r["ip"].alias("ip"), r["hits"].alias("hits"),

@@ -54,7 +54,7 @@ def _parsed(spark, d):
 
 
 def _agents(spark, d):
-    return read_table(spark, d, "documents", "doc_id", "text")
+    return read_table(spark, d, "documents", "doc_id", "text", spread_by="doc_id")
 
 
 def _keywords(spark, d):
@@ -62,7 +62,7 @@ def _keywords(spark, d):
 
 
 def _props_k(spark, d):
-    ev = read_table(spark, d, "events", "event_id", "props")
+    ev = read_table(spark, d, "events", "event_id", "props", spread_by="event_id")
     return ev.select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 

@@ -74,3 +74,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 def staging_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the checkpoint root for one run."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table in the shared folder and read it back.
+
+    Cuts the lineage in one pass: a later failure re-reads the table
+    instead of recomputing its inputs, and several consumers of the result
+    scan it instead of each recomputing it.  (``DataFrame.checkpoint``
+    needs a second job to write unless its input is cached.)
+    """
+    path = staging_dir(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

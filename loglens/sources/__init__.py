@@ -1,6 +1,6 @@
 """Sources: parquet tables, text files, in-memory rows, access-log lines, Kafka options."""
 
-from loglens.sources.tables import read_table
+from loglens.sources.tables import read_table, spread_small_input
 from loglens.sources.text import text_lines, document_lines, inline, stage_text
 from loglens.sources.access_log import access_log_lines, ip_of_user
 from loglens.sources.kafka import (
@@ -8,7 +8,7 @@ from loglens.sources.kafka import (
 )
 
 __all__ = [
-    "read_table", "text_lines", "document_lines", "inline", "stage_text",
+    "read_table", "spread_small_input", "text_lines", "document_lines", "inline", "stage_text",
     "access_log_lines", "ip_of_user",
     "load_properties", "kafka_source_options", "kafka_sink_options",
     "read_kafka_stream", "write_kafka",

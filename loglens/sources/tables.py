@@ -3,9 +3,37 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, data_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one table; naming ``columns`` keeps the scan's ReadSchema narrow."""
+def spread_small_input(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` only if it has fewer partitions than cores.
+
+    A file written as one row group is read by one task, which would run
+    all the row-local work before the first shuffle on one core.  Large
+    inputs already come in more splits than there are cores, and are left
+    alone, so no shuffle is added at scale.
+
+    Rows are placed by a hash *expression* of ``key``: deterministic when a
+    task is retried (unlike round robin), and not a partitioning on ``key``
+    itself, so operators downstream still plan their own exchange after
+    the row-local work, exactly as they do at scale, where several
+    branches of a plan then share that one exchange instead of each
+    redoing the row-local work.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, F.xxhash64(F.col(key)))
+    return df
+
+
+def read_table(spark: SparkSession, data_dir: str, name: str, *columns: str,
+               spread_by: str | None = None) -> DataFrame:
+    """Read one table; naming ``columns`` keeps the scan's ReadSchema narrow.
+
+    ``spread_by`` names a key for :func:`spread_small_input`.
+    """
     df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return spread_small_input(df, spread_by) if spread_by else df

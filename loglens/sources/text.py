@@ -26,7 +26,7 @@ def document_lines(spark: SparkSession, data_dir: str) -> DataFrame:
     A document is one row, so its lines come from a per-row ``explode`` with
     no shuffle.
     """
-    docs = read_table(spark, data_dir, "documents", "doc_id", "text")
+    docs = read_table(spark, data_dir, "documents", "doc_id", "text", spread_by="doc_id")
     return docs.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("value"))
 
 
