@@ -21,8 +21,12 @@ def spread_small_input(df: DataFrame, key: str) -> DataFrame:
     branches of a plan then share that one exchange instead of each
     redoing the row-local work.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the plan alone
+        return df
+    if splits < cores:
         return df.repartition(cores, F.xxhash64(F.col(key)))
     return df
 
