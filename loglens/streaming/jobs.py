@@ -9,12 +9,11 @@ on the sink's output (a static table).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglens.functions.logline import try_parse_seen
-from loglens.functions.text import java_split
 from loglens.operators.access_log import parse_access_log
 from loglens.operators.windows import window_aggregate
 from loglens.session import staging_dir
@@ -83,26 +82,45 @@ def to_console(stream: DataFrame, num_rows: int = 10, processing_time: str | Non
     return writer.trigger(availableNow=True).start()
 
 
+def _slice_bounds(lo: str, hi: str, n_slices: int) -> list[str] | None:
+    """``n_slices - 1`` inner boundaries between two log times, as log text."""
+    fmt = "%Y_%m_%d__%H_%M_%S_%f"
+    try:
+        t0 = datetime.strptime(lo + "000", fmt)
+        t1 = datetime.strptime(hi + "000", fmt)
+    except ValueError:
+        return None
+    step = (t1 - t0) / n_slices
+    return [(t0 + step * i).strftime(fmt)[:-3] for i in range(1, n_slices)]
+
+
 def stage_time_slices(lines: DataFrame, n_slices: int, root: str) -> Iterator[str]:
     """Write access-log ``lines`` as ``n_slices`` text folders in event-time order.
 
     A generator: each slice is one parallel write job and is written only
     when the caller asks for the next one, so a stream run in between sees
     the slices arrive in time order, as a log shipper delivers them.
-    Yields each folder after it is complete.
+    The time text is fixed width and zero padded, so slices are cut with
+    string comparisons on it (cheap, and safe to push into the scan); only
+    the two bounds are parsed, on the driver.  Every line lands in exactly
+    one slice; lines without a time go to the first.
     """
-    ets = F.unix_micros(try_parse_seen(F.get(java_split("value"), 2)))
-    bounds = lines.agg(F.min(ets).alias("lo"), F.max(ets).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    if lo is None:
-        return
-    step = (hi - lo) // n_slices + 1
-    for i in range(n_slices):
-        cond = ets >= F.lit(lo + step * i)
-        if i < n_slices - 1:
-            cond = cond & (ets < F.lit(lo + step * (i + 1)))
+    seen = F.split_part(F.col("value"), F.lit(" "), F.lit(3))
+    valid = seen.rlike(r"^\d{4}_\d{2}_\d{2}__\d{2}_\d{2}_\d{2}_\d{3}$")
+    bounds = lines.agg(F.min(F.when(valid, seen)).alias("lo"),
+                       F.max(F.when(valid, seen)).alias("hi")).first()
+    cuts = _slice_bounds(bounds["lo"], bounds["hi"], n_slices) if bounds["lo"] else None
+    if cuts is None:
+        cuts = []
+    edges = [None] + cuts + [None]
+    for i in range(len(edges) - 1):
+        cond = F.lit(True)
+        if edges[i] is not None:
+            cond = cond & (seen >= F.lit(edges[i]))
+        if edges[i + 1] is not None:
+            cond = cond & (seen < F.lit(edges[i + 1]))
         if i == 0:
-            cond = cond | ets.isNull()
+            cond = cond | seen.isNull()
         folder = f"{root}/slice-{i:04d}"
         lines.where(cond).write.mode("errorifexists").text(folder)
         yield folder
