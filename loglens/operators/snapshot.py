@@ -31,7 +31,11 @@ def snapshot_json(board: DataFrame) -> DataFrame:
     # The board is small (at most n rows per window) but expensive to
     # recompute; written once to the shared folder, both the maximum and the
     # rows read it.
-    rows = newest_window(materialize(board, "board"))
+    return snapshot_message(newest_window(materialize(board, "board")))
+
+
+def snapshot_message(rows: DataFrame) -> DataFrame:
+    """JSON message per ``window_end`` of leaderboard ``rows`` (``data`` in rank order)."""
     msg = rows.groupBy("window_end").agg(
         F.sort_array(F.collect_list(F.struct("rank", "ip", "hits", "last_seen"))).alias("__rows"))
     data = F.transform("__rows", lambda r: F.struct(r["ip"].alias("ip"), r["hits"].alias("hits"),

@@ -32,7 +32,7 @@ from loglens.operators import (
     word_count_sorted,
 )
 from loglens.sources import access_log_lines, document_lines, read_table, stage_text, text_lines
-from loglens.streaming import replay_batch_counts, replay_hits
+from loglens.streaming import replay_batch_counts, replay_hits, replay_leaderboard
 
 # Fixed values of the test queries.
 KEEP_EVENT_TYPES = ("click", "view", "purchase")   # the broadcast set
@@ -233,6 +233,11 @@ def q_stream_hits_kafka(spark, d):
     return replay_hits(spark, _log(spark, d), "3 days", "1 day")
 
 
+def q_stream_snapshot_kafka(spark, d):
+    # top(50) by the address, re-sorted by hits, newest window pushed as JSON
+    return replay_leaderboard(spark, _log(spark, d), "3 days", "1 day", 50, by="key")
+
+
 def q_stream_hits_socket(spark, d):
     return replay_hits(spark, _log(spark, d), "5 days", "1 day", min_hits=5)
 

@@ -58,6 +58,16 @@ def _top50(by: str) -> str:
         FROM ({base})) WHERE kr <= 50)"""
 
 
+def _snapshot(by: str) -> str:
+    return f"""WITH b AS ({_top50(by)}),
+n AS (SELECT * FROM b WHERE window_end = (SELECT max(window_end) FROM b))
+SELECT window_end,
+       CAST(to_json({{'id': CAST(window_end AS VARCHAR), 'key': 'dataPush',
+                     'data': list({{'ip': ip, 'hits': hits, 'last_seen': last_seen}} ORDER BY rank)}})
+            AS VARCHAR) AS message
+FROM n GROUP BY window_end"""
+
+
 _DAY = 86400
 _W3D = _windows(3 * _DAY, _DAY)
 _W5D_MIN5 = f"SELECT * FROM ({_windows(5 * _DAY, _DAY)}) WHERE hits >= 5"
@@ -100,13 +110,7 @@ WHERE len(tok) < 3 OR try_strptime(tok[3], '%Y_%m_%d__%H_%M_%S_%g') IS NULL""",
     "hits_min5_window": _W5D_MIN5 + " ORDER BY hits DESC, ip DESC",
     "top50_by_key": _top50("key"),
     "top50_by_hits": _top50("hits"),
-    "snapshot_json": f"""WITH b AS ({_top50("hits")}),
-n AS (SELECT * FROM b WHERE window_end = (SELECT max(window_end) FROM b))
-SELECT window_end,
-       CAST(to_json({{'id': CAST(window_end AS VARCHAR), 'key': 'dataPush',
-                     'data': list({{'ip': ip, 'hits': hits, 'last_seen': last_seen}} ORDER BY rank)}})
-            AS VARCHAR) AS message
-FROM n GROUP BY window_end""",
+    "snapshot_json": _snapshot("hits"),
     "tumbling_counts": """WITH c AS (SELECT (epoch_us(ts) // 1000000) // 86400 AS slot, count(*) AS n
            FROM events GROUP BY 1),
 b AS (SELECT unnest(range(min(slot), max(slot) + 1)) AS slot FROM c)
@@ -127,6 +131,7 @@ SELECT doc_id, keyword, freq, rank FROM r WHERE rank <= 50""",
     # Streams are checked against the batch query they must equal.
     "stream_hits_kafka": _W3D,
     "stream_hits_socket": _W5D_MIN5,
+    "stream_snapshot_kafka": _snapshot("key"),
     "late_data_dropped": _W3D,
 }
 

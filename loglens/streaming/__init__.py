@@ -2,10 +2,11 @@
 
 from loglens.streaming.jobs import (
     text_stream, socket_stream, to_console, windowed_hits, run_available, stage_time_slices,
-    replay_hits, replay_batch_counts,
+    replay_hits, replay_leaderboard, replay_batch_counts,
 )
 from loglens.streaming.sinks import (
-    window_upsert_sink, read_window_upserts, batch_count_sink, read_batch_counts,
+    window_upsert_sink, read_window_upserts, leaderboard_sink, read_latest_snapshot,
+    batch_count_sink, read_batch_counts,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

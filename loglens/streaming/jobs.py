@@ -18,7 +18,8 @@ from loglens.operators.access_log import parse_access_log
 from loglens.operators.windows import window_aggregate
 from loglens.session import staging_dir
 from loglens.streaming.sinks import (
-    batch_count_sink, read_batch_counts, read_window_upserts, window_upsert_sink,
+    batch_count_sink, leaderboard_sink, read_batch_counts, read_latest_snapshot,
+    read_window_upserts, window_upsert_sink,
 )
 
 
@@ -148,6 +149,23 @@ def replay_hits(spark: SparkSession, lines: DataFrame, length: str, slide: str,
     return read_window_upserts(spark, out)
 
 
+def replay_leaderboard(spark: SparkSession, lines: DataFrame, length: str, slide: str,
+                       n: int = 50, by: str = "hits", n_slices: int = 3,
+                       watermark: str = "60 seconds") -> DataFrame:
+    """Replay log lines as a stream publishing a top-``n`` snapshot per batch.
+
+    Returns the newest snapshot (``window_end, message``) once all slices
+    are processed.
+    """
+    root = staging_dir(spark, "board-stream")
+    incoming, ckpt = f"{root}/incoming", f"{root}/checkpoint"
+    stream = windowed_hits(text_stream(spark, f"{incoming}/*/*.txt"), length, slide, watermark)
+    sink = leaderboard_sink(f"{root}/out", f"{root}/snapshots", n, by)
+    for _ in stage_time_slices(lines, n_slices, incoming):
+        run_available(stream, sink, ckpt)
+    return read_latest_snapshot(spark, f"{root}/snapshots")
+
+
 def replay_batch_counts(spark: SparkSession, lines: DataFrame, n_slices: int = 3) -> DataFrame:
     """Records per micro-batch of a replayed table: ``batch_id, n, message``."""
     root = staging_dir(spark, "count-stream")

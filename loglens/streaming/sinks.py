@@ -14,37 +14,99 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.operators.counts import count_message
-from loglens.operators.windows import project_windows
+from loglens.operators.snapshot import newest_window, snapshot_message
+from loglens.operators.windows import leaderboard, project_windows
+
+# Layout of the upsert log: <out>/batch_id=<n>/*.parquet
+_UPSERT_SCHEMA = ("window_start bigint, window_end bigint, ip string, hits bigint, "
+                  "last_seen string, batch_id bigint")
 
 
 def _batch_path(out_dir: str, batch_id: int) -> str:
     return f"{out_dir.rstrip('/')}/batch_id={batch_id}"
 
 
+def _updated_rows(batch: DataFrame, min_hits: int | None) -> DataFrame:
+    rows = project_windows(batch)
+    if min_hits is not None:
+        rows = rows.where(F.col("hits") >= F.lit(min_hits))
+    return rows
+
+
+def _write_upserts(rows: DataFrame, out_dir: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").parquet(_batch_path(out_dir, batch_id))
+
+
 def window_upsert_sink(out_dir: str, min_hits: int | None = None
                        ) -> Callable[[DataFrame, int], None]:
     """Sink for the windowed hits stream: updated ``(window, ip)`` rows per batch."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = project_windows(batch)
-        if min_hits is not None:
-            rows = rows.where(F.col("hits") >= F.lit(min_hits))
-        rows.write.mode("overwrite").parquet(_batch_path(out_dir, batch_id))
+        _write_upserts(_updated_rows(batch, min_hits), out_dir, batch_id)
     return sink
 
 
-def read_window_upserts(spark: SparkSession, out_dir: str) -> DataFrame:
+def read_window_upserts(spark: SparkSession, out_dir: str,
+                        windows: DataFrame | None = None) -> DataFrame:
     """Current value of every ``(window_start, ip)``: the row of its latest batch.
 
+    ``windows`` (a ``window_start`` column) restricts the read to those
+    windows: their range goes into the parquet scan as a pushed filter, so
+    row-group statistics skip files of batches that only hold older windows,
+    and a semi join keeps exactly the given ones.
     ``max_by`` is an aggregate with a partial step, so a key updated in many
     batches is reduced map-side.
     """
-    rows = spark.read.parquet(out_dir)
+    rows = spark.read.schema(_UPSERT_SCHEMA).parquet(out_dir)
+    if windows is not None:
+        wanted = windows.select("window_start").distinct()
+        lo, hi = wanted.agg(F.min("window_start"), F.max("window_start")).first()
+        if lo is None:
+            return spark.createDataFrame([], "window_start bigint, window_end bigint, ip string, "
+                                             "hits bigint, last_seen string")
+        rows = (rows.where(F.col("window_start").between(lo, hi))
+                    .join(wanted, "window_start", "left_semi"))
     latest = F.max_by(F.struct("hits", "last_seen"), "batch_id").alias("v")
     return (rows.groupBy("window_start", "window_end", "ip").agg(latest)
                 .select("window_start", "window_end", "ip",
                         F.col("v.hits").alias("hits"), F.col("v.last_seen").alias("last_seen")))
 
 
+def leaderboard_sink(out_dir: str, snap_dir: str, n: int = 50, by: str = "hits",
+                     min_hits: int | None = None) -> Callable[[DataFrame, int], None]:
+    """Upsert the batch, re-rank the windows it touched, store a JSON snapshot.
+
+    What the dashboard job did per micro-batch: top ``n`` per window (by
+    ``"hits"`` or by ``"key"``), then the newest window as one push message.
+    The message is written per ``batch_id`` (idempotent); the newest one is
+    :func:`read_latest_snapshot`.  Only the windows this batch changed are
+    read back and ranked, so the work per batch does not grow with history.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = _updated_rows(batch, min_hits).persist()
+        try:
+            _write_upserts(rows, out_dir, batch_id)
+            if rows.isEmpty():
+                return
+            board = leaderboard(read_window_upserts(spark, out_dir, rows), n, by).persist()
+            try:
+                (snapshot_message(newest_window(board))
+                    .write.mode("overwrite").parquet(_batch_path(snap_dir, batch_id)))
+            finally:
+                board.unpersist()
+        finally:
+            rows.unpersist()
+    return sink
+
+
+def read_latest_snapshot(spark: SparkSession, snap_dir: str) -> DataFrame:
+    """``window_end, message`` of the last batch that produced a snapshot."""
+    snaps = spark.read.schema("window_end bigint, message string, batch_id bigint").parquet(snap_dir)
+    last = snaps.agg(F.max("batch_id").alias("__last"))
+    return (snaps.join(F.broadcast(last), snaps["batch_id"] == last["__last"])
+                 .select("window_end", "message"))
+
+
 def batch_count_sink(out_dir: str) -> Callable[[DataFrame, int], None]:
     """Sink writing ``batch_id, n, message`` for every micro-batch, also empty ones."""
     def sink(batch: DataFrame, batch_id: int) -> None:
