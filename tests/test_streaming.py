@@ -65,3 +65,13 @@ def test_console_sink_runs(spark):
                    checkpoint=staging_dir(spark, "console-ckpt"))
     q.awaitTermination(120)
     assert not q.isActive and q.exception() is None
+
+
+def test_per_batch_snapshot_equals_batch_snapshot(spark):
+    from loglens.operators import leaderboard, snapshot_json
+    from loglens.streaming import replay_leaderboard
+    log = access_log_lines(spark, SF_SMALL)
+    batch = snapshot_json(leaderboard(hits_by_window(parse_access_log(log), "3 days", "1 day"),
+                                      50, by="key"))
+    stream = replay_leaderboard(spark, log, "3 days", "1 day", 50, by="key", n_slices=2)
+    assert [tuple(r) for r in stream.collect()] == [tuple(r) for r in batch.collect()]
