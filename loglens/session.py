@@ -19,30 +19,53 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
 }
+# Settings read only when the JVM starts.
+STATIC_DEFAULTS = {"spark.ui.enabled": "false"}
+
+# Bytes one reducer should receive; see shuffle_partitions_for().
+TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(shuffle_bytes: int, minimum: int = 200) -> int:
+    """A ``spark.sql.shuffle.partitions`` for a job shuffling ``shuffle_bytes``.
+
+    AQE only coalesces partitions (and splits skewed join partitions), it
+    never raises their number, so the setting must fit the largest
+    shuffle: about 256 MB per reducer.  At 100 TB of input with a shuffle
+    of a tenth of it that is some 40 000 partitions; small runs are
+    coalesced back by AQE.
+    """
+    return max(minimum, -(-shuffle_bytes // TARGET_SHUFFLE_PARTITION_BYTES))
 
 
 def build_session(master: str | None = None, app_name: str = "loglens",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Get or create a session with the defaults above.
+    """Get or create a session; defaults fill only keys the cluster left unset.
 
     ``master`` is only used when given (tests, bench); on a cluster the
-    launcher decides.
+    launcher decides.  ``extra`` and ``shuffle_partitions`` are explicit and
+    always applied.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in DEFAULTS.items():
+    for key, value in STATIC_DEFAULTS.items():
         builder = builder.config(key, value)
+    explicit = dict(extra or {})
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in (extra or {}).items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in explicit.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    cluster = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if key not in explicit and not cluster.contains(key):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
