@@ -9,6 +9,7 @@ on the sink's output (a static table).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,15 +51,45 @@ def windowed_hits(lines: DataFrame, length: str, slide: str, watermark: str | No
     return window_aggregate(parsed, length, slide)
 
 
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, n: int | None):
+    """Run a block with ``spark.sql.shuffle.partitions`` set to ``n`` (restored after)."""
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def default_state_partitions(spark: SparkSession) -> int:
+    """State partitions for a stateful stream: one per core of the cluster.
+
+    Every micro-batch runs one task per state partition whatever the batch
+    size, so the session's shuffle setting (sized for the largest batch
+    shuffle, 200 by default) would make small batches slow; the count is
+    fixed in the checkpoint at the first run.
+    """
+    return spark.sparkContext.defaultParallelism
+
+
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
-                  output_mode: str = "update", timeout_s: float | None = None) -> None:
+                  output_mode: str = "update", timeout_s: float | None = None,
+                  state_partitions: int | None = None) -> None:
     """Process everything available now and stop; rerun to pick up new input.
 
     Reusing ``checkpoint`` resumes from the committed offsets and state.
+    ``state_partitions`` applies when the checkpoint is new; a restart
+    keeps the number recorded in it.
     """
-    q = (stream.writeStream.foreachBatch(sink).outputMode(output_mode)
-               .option("checkpointLocation", checkpoint)
-               .trigger(availableNow=True).start())
+    with _shuffle_partitions(stream.sparkSession, state_partitions):
+        q = (stream.writeStream.foreachBatch(sink).outputMode(output_mode)
+                   .option("checkpointLocation", checkpoint)
+                   .trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
@@ -141,11 +172,12 @@ def replay_hits(spark: SparkSession, lines: DataFrame, length: str, slide: str,
     incoming, out, ckpt = f"{root}/incoming", f"{root}/out", f"{root}/checkpoint"
     stream = windowed_hits(text_stream(spark, f"{incoming}/*/*.txt"), length, slide, watermark)
     sink = window_upsert_sink(out, min_hits)
+    parts = default_state_partitions(spark)
     for _ in stage_time_slices(lines, n_slices, incoming):
-        run_available(stream, sink, ckpt)
+        run_available(stream, sink, ckpt, state_partitions=parts)
     if late is not None:
         late.select("value").write.mode("errorifexists").text(f"{incoming}/slice-late")
-        run_available(stream, sink, ckpt)
+        run_available(stream, sink, ckpt, state_partitions=parts)
     return read_window_upserts(spark, out)
 
 
@@ -161,8 +193,9 @@ def replay_leaderboard(spark: SparkSession, lines: DataFrame, length: str, slide
     incoming, ckpt = f"{root}/incoming", f"{root}/checkpoint"
     stream = windowed_hits(text_stream(spark, f"{incoming}/*/*.txt"), length, slide, watermark)
     sink = leaderboard_sink(f"{root}/out", f"{root}/snapshots", n, by)
+    parts = default_state_partitions(spark)
     for _ in stage_time_slices(lines, n_slices, incoming):
-        run_available(stream, sink, ckpt)
+        run_available(stream, sink, ckpt, state_partitions=parts)
     return read_latest_snapshot(spark, f"{root}/snapshots")
 
 
