@@ -52,18 +52,16 @@ def windowed_hits(lines: DataFrame, length: str, slide: str, watermark: str | No
 
 
 @contextmanager
-def _shuffle_partitions(spark: SparkSession, n: int | None):
-    """Run a block with ``spark.sql.shuffle.partitions`` set to ``n`` (restored after)."""
-    if n is None:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+def _session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Run a block with some session settings changed (restored after)."""
+    old = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for key, value in old.items():
+            spark.conf.set(key, value)
 
 
 def default_state_partitions(spark: SparkSession) -> int:
@@ -86,7 +84,10 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
     ``state_partitions`` applies when the checkpoint is new; a restart
     keeps the number recorded in it.
     """
-    with _shuffle_partitions(stream.sparkSession, state_partitions):
+    settings = {}
+    if state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with _session_conf(stream.sparkSession, settings):
         q = (stream.writeStream.foreachBatch(sink).outputMode(output_mode)
                    .option("checkpointLocation", checkpoint)
                    .trigger(availableNow=True).start())
