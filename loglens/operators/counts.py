@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the per-slot message (the job printed one per batch).
 MESSAGE_FORMAT = "received %d events"
 
 
-def count_message(n) -> "F.Column":
+def count_message(n) -> Column:
+    """``received <n> events`` for a count column."""
     return F.format_string(MESSAGE_FORMAT, n)
 
 

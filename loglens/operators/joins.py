@@ -17,14 +17,16 @@ def hot_split_join(big: DataFrame, lookup: DataFrame, key: str, weight: str,
     that lets them be broadcast.  Rows of hot keys join map-side against
     that small table and never enter a shuffle; the remaining rows are
     filtered map-side and take an ordinary shuffle join, where no key has
-    more than ``hot_fraction`` of the weight.
+    more than ``hot_fraction`` of the weight.  (Keys of weight 0 are never
+    hot, so the bound holds even when the total is 0.)
     """
     total = lookup.agg(F.sum(F.col(weight)).alias("w")).scalar()
-    is_hot = F.col(weight) >= total * F.lit(hot_fraction)
+    is_hot = (F.col(weight) > F.lit(0)) & (F.col(weight) >= total * F.lit(hot_fraction))
     hot = lookup.where(is_hot)
-    cold = lookup.where(~is_hot)
-    # One map-side pass tags every row with its hot-key match (if any); both
-    # branches below then read the same upstream shuffle output.
+    cold = lookup.where(~F.coalesce(is_hot, F.lit(False)))
+    # A map-side lookup tags every row with its hot-key match (if any): the
+    # matched rows are complete without a shuffle, the rest go to the
+    # shuffle join.
     hot_side = hot.select(F.col(key), *[F.col(c).alias(f"__hot_{c}") for c in lookup.columns
                                         if c != key])
     tagged = big.join(F.broadcast(hot_side), key, "left")

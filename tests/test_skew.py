@@ -26,3 +26,9 @@ def test_hot_keys_bounded_by_fraction(spark):
     # every key has weight 1/1000 of the total: with a 1 % threshold none is hot
     out = hot_split_join(big, lookup, "key", "w", hot_fraction=0.01)
     assert out.count() == 1000
+
+
+def test_zero_weights_are_never_hot(spark):
+    lookup = spark.range(5).select(F.col("id").cast("string").alias("key"), F.lit(0).alias("w"))
+    out = hot_split_join(lookup.select("key"), lookup, "key", "w", hot_fraction=0.5)
+    assert out.count() == 5
