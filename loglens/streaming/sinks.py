@@ -86,8 +86,8 @@ def leaderboard_sink(out_dir: str, snap_dir: str, n: int = 50, by: str = "hits",
         rows = _updated_rows(batch, min_hits).persist()
         try:
             _write_upserts(rows, out_dir, batch_id)
-            if rows.isEmpty():
-                return
+            # An empty batch gives an empty board and an empty snapshot file,
+            # which read_latest_snapshot never picks (it has no rows).
             board = leaderboard(read_window_upserts(spark, out_dir, rows), n, by).persist()
             try:
                 (snapshot_message(newest_window(board))
