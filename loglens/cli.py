@@ -30,6 +30,7 @@ from loglens.operators import (
 )
 from loglens.session import build_session, staging_dir
 from loglens.sources import load_properties, read_kafka_stream, text_lines
+from loglens.streaming.jobs import ROCKSDB_PROVIDER
 from loglens.streaming import (
     batch_count_sink, leaderboard_sink, run_available, socket_stream, text_stream,
     windowed_hits,
@@ -80,6 +81,8 @@ def stream_job(spark: SparkSession, args: argparse.Namespace) -> None:
         mode = "update"
     else:
         stream, sink, mode = source, batch_count_sink(f"{root}/out"), "append"
+    if args.state_store == "rocksdb":
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     if args.available_now:
         run_available(stream, sink, f"{root}/checkpoint", output_mode=mode)
         return
@@ -113,6 +116,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--checkpoint")
         s.add_argument("--trigger", default="1 second")
         s.add_argument("--available-now", action="store_true")
+        s.add_argument("--state-store", choices=("default", "rocksdb"), default="default")
         if name == "stream-hits":
             s.add_argument("--length", default="30 seconds")
             s.add_argument("--slide", default="10 seconds")

@@ -75,18 +75,30 @@ def default_state_partitions(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+# Fixed value: Spark's built-in state store keeping state in RocksDB on local
+# disk (snapshots go to the checkpoint), instead of in the executor heap.
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
                   output_mode: str = "update", timeout_s: float | None = None,
-                  state_partitions: int | None = None) -> None:
+                  state_partitions: int | None = None, state_store: str | None = None) -> None:
     """Process everything available now and stop; rerun to pick up new input.
 
     Reusing ``checkpoint`` resumes from the committed offsets and state.
     ``state_partitions`` applies when the checkpoint is new; a restart
-    keeps the number recorded in it.
+    keeps the number recorded in it.  ``state_store="rocksdb"`` keeps the
+    window state off-heap, the choice when it outgrows executor memory
+    (millions of clients times open windows); it must stay the same for
+    the life of a checkpoint.
     """
     settings = {}
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store == "rocksdb":
+        settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+    elif state_store is not None:
+        raise ValueError(f"state_store must be None or 'rocksdb', not {state_store!r}")
     with _session_conf(stream.sparkSession, settings):
         q = (stream.writeStream.foreachBatch(sink).outputMode(output_mode)
                    .option("checkpointLocation", checkpoint)
@@ -161,7 +173,7 @@ def stage_time_slices(lines: DataFrame, n_slices: int, root: str) -> Iterator[st
 
 def replay_hits(spark: SparkSession, lines: DataFrame, length: str, slide: str,
                 n_slices: int = 3, watermark: str = "60 seconds", min_hits: int | None = None,
-                late: DataFrame | None = None) -> DataFrame:
+                late: DataFrame | None = None, state_store: str | None = None) -> DataFrame:
     """Replay a table of log lines as a stream, slice by slice, with restarts.
 
     Every slice is picked up by a fresh ``availableNow`` run on the same
@@ -175,10 +187,10 @@ def replay_hits(spark: SparkSession, lines: DataFrame, length: str, slide: str,
     sink = window_upsert_sink(out, min_hits)
     parts = default_state_partitions(spark)
     for _ in stage_time_slices(lines, n_slices, incoming):
-        run_available(stream, sink, ckpt, state_partitions=parts)
+        run_available(stream, sink, ckpt, state_partitions=parts, state_store=state_store)
     if late is not None:
         late.select("value").write.mode("errorifexists").text(f"{incoming}/slice-late")
-        run_available(stream, sink, ckpt, state_partitions=parts)
+        run_available(stream, sink, ckpt, state_partitions=parts, state_store=state_store)
     return read_window_upserts(spark, out)
 
 

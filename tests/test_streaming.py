@@ -24,6 +24,13 @@ def test_stream_equals_batch_across_restarts(spark):
     assert _rows(stream) == _rows(batch)
 
 
+def test_rocksdb_state_store_gives_the_same_answer(spark):
+    log = access_log_lines(spark, SF_SMALL)
+    batch = hits_by_window(parse_access_log(log), "3 days", "1 day")
+    stream = replay_hits(spark, log, "3 days", "1 day", n_slices=2, state_store="rocksdb")
+    assert _rows(stream) == _rows(batch)
+
+
 def test_having_filter_on_stream(spark):
     log = access_log_lines(spark, SF_SMALL)
     batch = min_hits(hits_by_window(parse_access_log(log), "5 days", "1 day"), 5)
