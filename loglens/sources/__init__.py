@@ -5,11 +5,12 @@ from loglens.sources.text import text_lines, document_lines, inline, stage_text
 from loglens.sources.access_log import access_log_lines, ip_of_user
 from loglens.sources.kafka import (
     load_properties, kafka_source_options, kafka_sink_options, read_kafka_stream, write_kafka,
+    write_kafka_stream,
 )
 
 __all__ = [
     "read_table", "spread_small_input", "text_lines", "document_lines", "inline", "stage_text",
     "access_log_lines", "ip_of_user",
     "load_properties", "kafka_source_options", "kafka_sink_options",
-    "read_kafka_stream", "write_kafka",
+    "read_kafka_stream", "write_kafka", "write_kafka_stream",
 ]

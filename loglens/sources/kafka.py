@@ -92,3 +92,19 @@ def write_kafka(df: DataFrame, props: dict[str, str], topic: str | None = None,
     """Write one string column as Kafka record values (batch)."""
     (df.selectExpr(f"CAST({column} AS STRING) AS value")
        .write.format("kafka").options(**kafka_sink_options(props, topic)).save())
+
+
+def write_kafka_stream(df: DataFrame, props: dict[str, str], checkpoint: str,
+                       topic: str | None = None, column: str = "value",
+                       processing_time: str | None = None):
+    """Continuously write one string column of a stream as Kafka record values.
+
+    The checkpoint makes the sink restartable; Kafka writes are at least
+    once, so consumers should de-duplicate on a key if they need exactly once.
+    """
+    writer = (df.selectExpr(f"CAST({column} AS STRING) AS value")
+                .writeStream.format("kafka").options(**kafka_sink_options(props, topic))
+                .option("checkpointLocation", checkpoint))
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()

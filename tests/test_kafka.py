@@ -41,6 +41,21 @@ def test_sink_options(tmp_path):
     assert opts == {"kafka.bootstrap.servers": "h1:9092", "kafka.linger.ms": "1", "topic": "test"}
 
 
+def test_stream_writer_needs_the_connector(spark, tmp_path):
+    from loglens.sources.kafka import write_kafka_stream
+    from loglens.streaming import text_stream
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("x\n")
+    stream = text_stream(spark, str(tmp_path / "in"))
+    try:
+        q = write_kafka_stream(stream, {"bootstrap.servers": "localhost:1"}, str(tmp_path / "ck"),
+                               topic="t")
+    except Exception as exc:  # connector jar not installed here
+        assert "kafka" in str(exc).lower()
+    else:
+        q.stop()
+
+
 def test_reader_needs_the_connector(spark):
     from loglens.sources.kafka import read_kafka_stream
     try:
