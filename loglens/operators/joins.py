@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def hot_split_join(big: DataFrame, lookup: DataFrame, key: str, weight: str,
-                   hot_fraction: float = 1e-3) -> DataFrame:
+                   hot_fraction: float = 1e-3, total=None) -> DataFrame:
     """Inner join ``big`` to ``lookup`` (unique on ``key``) with hot keys split off.
 
     ``weight`` is a non-negative column of ``lookup`` that bounds how many
@@ -18,9 +18,12 @@ def hot_split_join(big: DataFrame, lookup: DataFrame, key: str, weight: str,
     that small table and never enter a shuffle; the remaining rows are
     filtered map-side and take an ordinary shuffle join, where no key has
     more than ``hot_fraction`` of the weight.  (Keys of weight 0 are never
-    hot, so the bound holds even when the total is 0.)
+    hot, so the bound holds even when the total is 0.)  ``total`` is the
+    sum of ``weight`` if the caller has a cheaper way to it (a column, e.g.
+    a scalar subquery); by default it is summed from ``lookup``.
     """
-    total = lookup.agg(F.sum(F.col(weight)).alias("w")).scalar()
+    if total is None:
+        total = lookup.agg(F.sum(F.col(weight)).alias("w")).scalar()
     is_hot = (F.col(weight) > F.lit(0)) & (F.col(weight) >= total * F.lit(hot_fraction))
     hot = lookup.where(is_hot)
     cold = lookup.where(~F.coalesce(is_hot, F.lit(False)))

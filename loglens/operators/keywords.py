@@ -48,7 +48,11 @@ def top_keywords(keywords: DataFrame, ip: str, n: int = 50) -> DataFrame:
     per_client = materialize(
         keywords.groupBy(ip, "keyword").agg(F.count(F.lit(1)).alias("__n")), "keyword-counts")
     freq = per_client.groupBy("keyword").agg(F.sum("__n").alias("freq"))
-    with_freq = hot_split_join(per_client.select(ip, "keyword"), freq, "keyword", "freq")
+    # The total frequency is the number of occurrences: a plain sum over the
+    # stored counts, with no shuffle by keyword.
+    occurrences = per_client.agg(F.sum("__n")).scalar()
+    with_freq = hot_split_join(per_client.select(ip, "keyword"), freq, "keyword", "freq",
+                               total=occurrences)
     order = Window.partitionBy(ip).orderBy(F.desc("freq"), F.asc("keyword"))
     ranked = with_freq.withColumn("rank", F.row_number().over(order))
     return (ranked.where(F.col("rank") <= n)
