@@ -19,7 +19,6 @@ from __future__ import annotations
 import re
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.functions.numeric import floor_div

@@ -1,8 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from loglens.operators import (
     access_log_rejects, hits_by_ip, hits_by_window, leaderboard, min_hits, parse_access_log,

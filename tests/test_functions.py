@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from loglens.functions import full_match, java_split, utf16_len
 
 

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_ORACLE, SF_SMALL
+from conftest import SF_ORACLE
 from oracle_compare import compare, duck_connection
 
 QUERIES = entry.queries()
