@@ -39,7 +39,9 @@ def socket_stream(spark: SparkSession, host: str, port: int) -> DataFrame:
 
 def windowed_hits(lines: DataFrame, length: str, slide: str, watermark: str | None = "60 seconds",
                   time: str = "event") -> DataFrame:
-    """Streaming ``window, ip, hits, last_seen`` aggregate of access-log lines.
+    """Streaming ``window, ip, hits, last_ts`` aggregate of access-log lines.
+
+    Sinks flatten it with :func:`loglens.operators.project_windows`.
 
     With event time the watermark bounds the state: a window is closed and
     forgotten once the watermark passes its end, and rows for it arriving
