@@ -19,14 +19,17 @@ def tumbling_counts(df: DataFrame, ts: str, width_seconds: int) -> DataFrame:
 
     Slots are ``[k * width, (k + 1) * width)`` seconds since the epoch, read
     as UTC.  Counting is a partial + final aggregate; the slot list between
-    the first and last busy slot is generated from their bounds (its length
-    depends on the time span, not on the row count) and left-joined, so a
-    quiet slot reports ``0``.
+    the first and last busy slot is generated in parallel by ``spark.range``
+    from their bounds (two numbers; the list grows with the time span, not
+    with the rows) and left-joined, so a quiet slot reports ``0``.
     """
+    spark = df.sparkSession
     slot = F.floor(F.unix_timestamp(F.col(ts)) / F.lit(width_seconds))
     counts = df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    bounds = counts.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
-    slots = bounds.select(F.explode(F.sequence("lo", "hi")).alias("slot"))
+    lo, hi = counts.agg(F.min("slot"), F.max("slot")).first()
+    if lo is None:
+        return spark.createDataFrame([], "window_start bigint, n bigint, message string")
+    slots = spark.range(lo, hi + 1).select(F.col("id").alias("slot"))
     filled = slots.join(counts, "slot", "left")
     n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
     return filled.select((F.col("slot") * F.lit(width_seconds)).alias("window_start"),

@@ -106,3 +106,15 @@ def test_resource_built_per_partition(spark):
 
     kept = filter_with_partition_resource(df, "v", make, test)
     assert sorted(r.v for r in kept.collect()) == ["123", "4", "5"]
+
+
+def test_quiet_slots_report_zero(spark):
+    import datetime as dt
+    from loglens.operators import tumbling_counts
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base,), (base + dt.timedelta(hours=1),), (base + dt.timedelta(days=2),)]
+    df = inline(spark, rows, "ts timestamp_ntz")
+    got = [tuple(r) for r in tumbling_counts(df, "ts", 86400).orderBy("window_start").collect()]
+    day0 = 1704067200
+    assert got == [(day0, 2, "received 2 events"), (day0 + 86400, 0, "received 0 events"),
+                   (day0 + 2 * 86400, 1, "received 1 events")]
