@@ -6,16 +6,21 @@ returns the same column names and types as the Spark query.
 
 from __future__ import annotations
 
-# Access-log lines from events: ip, path, raw time text, epoch seconds.
-_G = """g AS (
-  SELECT '10.0.' || CAST(user_id // 256 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR) AS ip,
+# Access-log lines from events: ip, path, raw time text, epoch seconds.  Parts
+# are joined the way concat_ws does (NULL parts skipped), so an event without
+# a type or a time makes a two-token line, which the parser rejects: ``g``
+# holds the lines that parse, ``ga`` all of them.
+_G = """ga AS (
+  SELECT concat_ws('.', '10', '0', CAST(user_id // 256 AS VARCHAR),
+                   CAST(user_id % 256 AS VARCHAR)) AS ip,
          '/' || event_type AS path,
          strftime(ts, '%Y_%m_%d__%H_%M_%S_%g') AS seen,
          epoch_us(ts) // 1000000 AS es,
          epoch_us(ts) // 1000 AS ets_ms
-  FROM events)"""
+  FROM events),
+g AS (SELECT * FROM ga WHERE path IS NOT NULL AND seen IS NOT NULL)"""
 
-_G_LINE = "ip || ' ' || path || ' ' || seen"
+_G_LINE = "concat_ws(' ', ip, path, seen)"
 
 # Lines of every document.
 _L = """l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS value FROM documents)"""
@@ -94,7 +99,7 @@ ORACLE = {
                   "FROM events GROUP BY 1",
     "parse_access_log": f"WITH {_G} SELECT ip, path, seen, ets_ms FROM g",
     "access_log_rejects": f"""WITH {_G}, {_L},
-m AS (SELECT {_G_LINE} AS value FROM g UNION ALL SELECT value FROM l),
+m AS (SELECT {_G_LINE} AS value FROM ga UNION ALL SELECT value FROM l),
 s AS (SELECT value, {_JSPLIT} AS tok FROM m)
 SELECT value,
        CASE WHEN len(tok) < 3 THEN 'fewer than 3 tokens'
