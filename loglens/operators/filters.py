@@ -35,17 +35,22 @@ def isin_filter(df: DataFrame, column: str, keys: Iterable) -> DataFrame:
     return df.where(F.col(column).isin(keys))
 
 
-def member_filter(df: DataFrame, column: str, keys) -> DataFrame:
+def member_filter(df: DataFrame, column: str, keys,
+                  max_broadcast_keys: int = MAX_LITERAL_KEYS) -> DataFrame:
     """Keep rows whose ``column`` is in ``keys`` (a broadcast-set filter).
 
     ``keys`` is either a driver-side collection, whose size is checked and
-    which is then broadcast to a map-side semi join, or a DataFrame.  A
-    DataFrame of unknown size is joined with a plain ``left_semi``: AQE turns
-    it into a broadcast join when the measured key side is small, and keeps
-    the shuffle join otherwise.
+    which is then broadcast to a map-side semi join, or a DataFrame.  For a
+    DataFrame the size is checked first by counting at most
+    ``max_broadcast_keys + 1`` of its rows (a limited scan that stops
+    early); within the bound the distinct keys are broadcast, beyond it the
+    filter is an ordinary shuffle semi join (which AQE may still broadcast
+    if the keys turn out small, or split if a key is skewed).
     """
     if isinstance(keys, DataFrame):
         right = keys.select(F.col(keys.columns[0]).alias("__key")).distinct()
+        if keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+            right = F.broadcast(right)
         return df.join(right, df[column] == right["__key"], "left_semi")
     keys = list(dict.fromkeys(keys))
     if len(keys) > MAX_LITERAL_KEYS:

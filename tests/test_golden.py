@@ -118,3 +118,14 @@ def test_quiet_slots_report_zero(spark):
     day0 = 1704067200
     assert got == [(day0, 2, "received 2 events"), (day0 + 86400, 0, "received 0 events"),
                    (day0 + 2 * 86400, 1, "received 1 events")]
+
+
+def test_key_frame_broadcast_only_within_bound(spark):
+    words = inline(spark, [(w,) for w in ["one", "two", "three", "four"]], "w string")
+    keys = inline(spark, [("one",), ("two",), ("three",)], "k string")
+    small = member_filter(words, "w", keys)
+    big = member_filter(words, "w", keys, max_broadcast_keys=2)
+    assert sorted(r.w for r in small.collect()) == sorted(r.w for r in big.collect()) == \
+        ["one", "three", "two"]
+    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
