@@ -44,3 +44,14 @@ def test_stream_hits_on_files(spark):
     from loglens.streaming import read_latest_snapshot
     snap = read_latest_snapshot(spark, f"{root}/snapshots").collect()
     assert len(snap) == 1 and '"key":"dataPush"' in snap[0].message
+
+
+def test_stream_count_on_files(spark):
+    from loglens.streaming import read_batch_counts
+    log = access_log_lines(spark, SF_SMALL)
+    folder = stage_text(log, name="cli-count")
+    root = staging_dir(spark, "cli-count-run")
+    stream_job(spark, parser().parse_args(["stream-count", "--path", folder, "--available-now",
+                                           "--checkpoint", root]))
+    counts = read_batch_counts(spark, f"{root}/out").collect()
+    assert sum(r.n for r in counts) == log.count()
