@@ -82,3 +82,16 @@ def test_per_batch_snapshot_equals_batch_snapshot(spark):
                                       50, by="key"))
     stream = replay_leaderboard(spark, log, "3 days", "1 day", 50, by="key", n_slices=2)
     assert [tuple(r) for r in stream.collect()] == [tuple(r) for r in batch.collect()]
+
+
+def test_processing_time_trigger(spark):
+    log = access_log_lines(spark, SF_SMALL)
+    folder = stage_text(log, name="interval")
+    q = to_console(text_stream(spark, folder), num_rows=2, processing_time="1 second",
+                   checkpoint=staging_dir(spark, "interval-ckpt"))
+    try:
+        q.processAllAvailable()
+        assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0
+        assert q.exception() is None
+    finally:
+        q.stop()
