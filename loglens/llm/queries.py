@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from loglens.llm import decontaminate, minhash
+from loglens.llm import bpe, decontaminate, minhash, token_files
 
 QUERIES = {
     "op1_minhash_dedup": minhash.q_op1,
+    "op7_token_files": token_files.q_op7,
+    "op8_bpe": bpe.q_op8,
     "op10_decontamination": decontaminate.q_op10,
 }
 
