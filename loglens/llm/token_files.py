@@ -211,7 +211,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id:
                 flat[body] = ids
                 writer.add(flat, batch.column("doc_id").to_pylist(), size)
             n_docs, n_ids = writer.close()
-        yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()]), pa.array([f"{target}/{name}"]), pa.array([n_docs]), pa.array([n_ids])], ["file", "path", "n_docs", "n_ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()], pa.int32()), pa.array([f"{target}/{name}"]), pa.array([n_docs]), pa.array([n_ids])], ["file", "path", "n_docs", "n_ids"])
 
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     order = [F.col("doc_id"), F.xxhash64("text")]
