@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from loglens.llm import bpe, decontaminate, minhash, token_files
+from loglens.llm import bpe, decontaminate, minhash, quality, token_files, toxicity, urls
 
 QUERIES = {
     "op1_minhash_dedup": minhash.q_op1,
+    "op3_toxicity": toxicity.q_op3,
+    "op5_quality_rules": quality.q_op5,
     "op7_token_files": token_files.q_op7,
     "op8_bpe": bpe.q_op8,
+    "op9_url_filter": urls.q_op9,
     "op10_decontamination": decontaminate.q_op10,
 }
 
 ORACLE = {
     "op1_minhash_dedup": minhash.ORACLE_OP1,
+    "op5_quality_rules": quality.ORACLE_OP5,
+    "op9_url_filter": urls.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
 }
