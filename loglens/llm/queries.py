@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from loglens.llm import bpe, decontaminate, minhash, quality, token_files, toxicity, urls
+from loglens.llm import bpe, decontaminate, licenses, minhash, preference, quality, token_counts, token_files, toxicity, urls
 
 QUERIES = {
     "op1_minhash_dedup": minhash.q_op1,
+    "op2_preference_format": preference.q_op2,
     "op3_toxicity": toxicity.q_op3,
+    "op4_token_counts": token_counts.q_op4,
     "op5_quality_rules": quality.q_op5,
+    "op6_license_scan": licenses.q_op6,
     "op7_token_files": token_files.q_op7,
     "op8_bpe": bpe.q_op8,
     "op9_url_filter": urls.q_op9,
@@ -16,6 +19,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_minhash_dedup": minhash.ORACLE_OP1,
+    "op2_preference_format": preference.ORACLE_OP2,
     "op5_quality_rules": quality.ORACLE_OP5,
     "op9_url_filter": urls.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
