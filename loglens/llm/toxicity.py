@@ -14,8 +14,9 @@ linear in a unit's subsequence weights, the fitted machine is one weight per
 subsequence, and a unit is scored without looking at landmarks again.  Labels
 belong to whole texts, so learning is by multiple instances: a toxic text is
 represented by its highest-scoring unit (at first: the one with the letter
-triples most typical of toxic texts), which is chosen anew after each fit, and a
-clean text by its three highest-scoring ones.  Copies of toxic units with
+triples most typical of toxic texts), which is chosen anew after each fit among
+those whose triples are clearly typical, and a clean text by its three
+highest-scoring ones.  A toxic text without such a unit is not learned from.  Copies of toxic units with
 inserted characters are learned as well.  A text's score is its highest
 unit's, through a logistic calibration.
 
@@ -48,14 +49,17 @@ SPAN = 6
 WINDOW, STRIDE = 16, 8
 ROUNDS = 4
 THRESHOLD = 0.3
+MIN_ODDS = 2.0            # log odds of the letter triples of a unit that may stand for a toxic text
+COST = 300.0
 KNOWN = 400_000           # units whose scores a task remembers
 CODES = 1 << 15
 
-#: Byte classes: letters 1-26, stand-ins as their letters, other digits 27, bytes of other characters 28-31, gaps 0.
+#: Byte classes: letters 1-26, stand-ins as their letters, other digits 27, other characters by their last byte 28-30, gaps 0.
+EDGE = 31                 # before a unit's first character and after its last
 CLASS = np.zeros(256, np.int32)
 CLASS[ord("a"):ord("z") + 1] = CLASS[ord("A"):ord("Z") + 1] = np.arange(1, 27)
 CLASS[ord("0"):ord("9") + 1] = 27
-CLASS[0x80:0xC0] = 28 + (np.arange(64) & 3)
+CLASS[0x80:0xC0] = 28 + np.arange(64) % 3
 for _a, _b in zip("013457@$", "oieastas"):
     CLASS[ord(_a)] = CLASS[ord(_b)]
 GAPS = [(i, j) for i in range(1, SPAN) for j in range(1, SPAN - i)]
@@ -66,7 +70,9 @@ class Units:
 
     def __init__(self, column):
         w = Words(column)
-        self.raw, self.rows = w.raw, len(w)
+        kept = w.raw < 0xC0  # without the first bytes of longer characters
+        self.raw, self.rows = w.raw[kept], len(w)
+        place = np.concatenate([[0], np.cumsum(kept)])
         row = np.repeat(np.arange(len(w)), w.counts)
         letter = (w.end - w.start == 1) & (CLASS[w.raw[w.start]] > 0) if len(w.start) else np.zeros(0, bool)
         edge = np.flatnonzero(np.diff(np.concatenate([[0], letter.astype(np.int8), [0]])))
@@ -78,21 +84,22 @@ class Units:
         some = stop - cut >= 3
         cut, stop = cut[some], stop[some]
         run_hash = np.array([mix(np.add.reduce(w.hash[a:b] * (np.arange(b - a, dtype=U) * U(2) + U(3)), keepdims=True))[0] for a, b in zip(cut, stop)], U)
-        self.start = np.concatenate([w.start, w.start[cut]])
-        self.end = np.concatenate([w.end, w.end[stop - 1]]) if len(cut) else w.end
+        self.start = place[np.concatenate([w.start, w.start[cut]])]
+        self.end = place[np.concatenate([w.end, w.end[stop - 1]]) if len(cut) else w.end]
         self.hash = np.concatenate([w.hash, run_hash])
         self.row = np.concatenate([row, row[cut]])
 
 
 def _cells(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(class matrix of all windows, windows per span)."""
-    size = end - start
+    """(class matrix of all windows, windows per span); the edges of a span are characters as well."""
+    size = end - start + 2
     many = np.maximum(1, -(-(size - STRIDE) // STRIDE))
     k = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    at, stop = np.repeat(start, many) + k * STRIDE, np.repeat(end, many)
-    grid = at[:, None] + np.arange(WINDOW)[None, :]
-    cells = CLASS[raw[np.minimum(grid, len(raw) - 1)]] if len(raw) else np.zeros(grid.shape, np.int32)
-    return np.where(grid < stop[:, None], cells, 0), many
+    begin, stop = np.repeat(start, many), np.repeat(end, many)
+    grid = (begin - 1 + k * STRIDE)[:, None] + np.arange(WINDOW)[None, :]
+    cells = CLASS[raw[np.clip(grid, 0, len(raw) - 1)]] if len(raw) else np.zeros(grid.shape, np.int32)
+    cells = np.where((grid < begin[:, None]) | (grid == stop[:, None]), EDGE, cells)
+    return np.where(grid <= stop[:, None], cells, 0), many
 
 
 def _subsequences(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,7 +158,7 @@ def _dense(cells: np.ndarray) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
-def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> tuple[np.ndarray, float]:
+def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float) -> tuple[np.ndarray, float]:
     """A squared-hinge linear machine by Newton steps; y is -1 or 1."""
     x = np.hstack([z, np.ones((len(z), 1))])
     w = np.zeros(x.shape[1])
@@ -167,15 +174,15 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> t
     return w[:-1], float(w[-1])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """(slope, offset) of a calibration with smoothed targets."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """(slope, offset) of a calibration of weighted rows with smoothed targets."""
     n1, n0 = y.sum(), len(y) - y.sum()
     t = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     a, b = 1.0, 0.0
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g = np.array([((p - t) * x).sum() + 1e-3 * a, (p - t).sum()])
-        q = p * (1 - p)
+        g = np.array([(weight * (p - t) * x).sum() + 1e-3 * a, (weight * (p - t)).sum()])
+        q = weight * p * (1 - p)
         h = np.array([[(q * x * x).sum() + 1e-3, (q * x).sum()], [(q * x).sum(), q.sum() + 1e-6]])
         step = np.linalg.solve(h, g)
         a, b = a - step[0], b - step[1]
@@ -190,12 +197,13 @@ def _inserted(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     for a, b in zip(start.tolist(), end.tolist()):
         x = CLASS[raw[a:min(b, a + WINDOW)]].tolist()
         mid = len(x) // 2
-        gapped = [v for c in x for v in (c, 0)]
-        out += [y[:WINDOW] + [0] * (WINDOW - len(y)) for y in (gapped, x[:mid] + [x[mid]] + x[mid:], x[:mid] + [24] + x[mid:])]
+        gapped = [v for c in x for v in (c, 0)][:-1]
+        ways = [[EDGE, *y, EDGE] for y in (gapped, x[:mid] + x[mid:mid + 1] + x[mid:], x[:mid] + [24] + x[mid:])]
+        out += [y[:WINDOW] + [0] * (WINDOW - len(y)) for y in ways]
     return np.array(out, np.int32).reshape(-1, WINDOW)
 
 
-def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds: int = ROUNDS) -> dict:
+def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds: int = ROUNDS, c: float = COST, totals: tuple[int, int] | None = None) -> dict:
     """The model of labelled texts: a weight per subsequence, an offset and a calibration."""
     y = np.array(labels, int)
     if not len(y) or y.min() == y.max():
@@ -224,11 +232,13 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
             code = runs[w, k]
             counts[cls] += np.bincount(np.unique(r[code > 0] * np.int64(CODES) + code[code > 0]) % CODES, minlength=CODES)
     n0, n1 = (y == 0).sum(), (y == 1).sum()
-    odds = np.log((counts[1] + 1) / (n1 + 2)) - np.log((counts[0] + 1) / (n0 + 2))
+    # the lower end of an interval of the log odds, so that triples of one or two texts do not lead
+    odds = np.log((counts[1] + 0.5) / (n1 + 1)) - np.log((counts[0] + 0.5) / (n0 + 1)) - 1.5 * np.sqrt(1 / (counts[1] + 0.5) + 1 / (counts[0] + 0.5))
     odds[0] = 0
     score = np.maximum.reduceat(np.sort(odds[runs], axis=1)[:, -2:].mean(axis=1), begin)
     best_window = lambda v: np.array([b + int(np.argmax(v[b:b + m])) for b, m in zip(begin.tolist(), many.tolist())])
     window_score = np.sort(odds[runs], axis=1)[:, -2:].mean(axis=1)
+    able = score >= min(MIN_ODDS, score.max())  # what may stand for a toxic text, in all rounds
     model: dict = {}
     for _ in range(rounds):
         order = np.lexsort((-score[punit], prow))
@@ -236,6 +246,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
         chosen: dict[int, set] = {0: set(), 1: set()}
         for d in range(len(y)):
             own = punit[order[row_begin[d]:row_begin[d + 1]]]
+            own = own[able[own]] if y[d] else own
             if len(own):
                 chosen[int(y[d])].update(own[:1].tolist() if y[d] else own[:3].tolist())
         pos = np.array(sorted(chosen[1] - chosen[0]) or sorted(chosen[1]))
@@ -254,13 +265,14 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
         k = np.concatenate([_dense(shown[i:i + 512]) @ phi.T for i in range(0, len(shown), 512)])
         target = np.concatenate([np.ones(len(pos)), -np.ones(len(neg)), np.ones(len(shown) - len(train))])
         weight = np.where(target > 0, 0.5 / (target > 0).sum(), 0.5 / max(1, len(neg))) * 100
-        w, offset = _svm(k @ project, target, weight)
+        w, offset = _svm(k @ project, target, weight, c)
         model = {"table": (phi.T @ (project @ w)).astype(np.float32), "offset": offset}
         window_score = _values(cells, model["table"]) + offset
         score = np.maximum.reduceat(window_score, begin)
     top = np.full(len(y), model["offset"])
     np.maximum.at(top, prow, score[punit])
-    slope, shift = _logistic(top, y)
+    share = np.array([n0, n1] if totals is None else totals, float) / (n0, n1)  # the sample's classes count as in all labels
+    slope, shift = _logistic(top, y, share[y])
     return model | {"slope": slope, "shift": shift}
 
 
@@ -298,11 +310,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     short = docs.where(F.char_length("text").between(1, sample_chars)).select("doc_id", F.xxhash64("text").alias("key"))
     able = short.join(known, "doc_id")  # ids and hashes only: no text is shuffled
+    counted = {r["toxic"]: r["n"] for r in known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     take = [able.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(sample) for k in (0, 1)]
     picked = take[0].unionByName(take[1]).dropDuplicates(["doc_id", "key"])  # 2 * sample rows at most: may be broadcast
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).join(F.broadcast(picked), ["doc_id", "key"])
     rows = sorted({(r["doc_id"], r["text"], r["toxic"]) for r in texts.dropDuplicates(["doc_id", "key"]).collect()})
-    return fit([r[1] for r in rows], [r[2] for r in rows])
+    return fit([r[1] for r in rows], [r[2] for r in rows], totals=(counted.get(0, 0), counted.get(1, 0)))
 
 
 def with_scores(docs: DataFrame, model: dict, text_col: str = "text", out_col: str = "score") -> DataFrame:
