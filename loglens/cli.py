@@ -10,11 +10,11 @@
     python -m loglens stream-hits --source files --path DIR --available-now ...
     python -m loglens stream-count --source files --path DIR --trigger '5 seconds'
 
-Batch jobs compute the whole result; without ``--out`` the first ``--show``
-rows are printed, with it the whole result is written as parquet.  Stream
-jobs keep a checkpoint (``--checkpoint``, default below
-``spark.checkpoint.dir``) and write each micro-batch through the idempotent
-sinks of :mod:`loglens.streaming`.
+Batch jobs compute the whole result; without ``--out`` every row is printed,
+with it the result is written as parquet.  Stream jobs need a checkpoint folder
+(``--checkpoint``: a restart on the same one goes on where it stopped) and write
+each micro-batch through the idempotent sinks of :mod:`loglens.streaming`;
+``stream-print`` prints every value.
 """
 
 from __future__ import annotations
@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from loglens.operators import (
     concat_ordered, longest_line, member_filter, regex_filter, total_sum, word_count_sorted,
 )
-from loglens.session import build_session, staging_dir
+from loglens.session import build_session
 from loglens.sources import load_properties, read_kafka_stream, text_lines
 from loglens.streaming.jobs import ROCKSDB_PROVIDER
 from loglens.streaming import (
-    batch_count_sink, leaderboard_sink, run_available, socket_stream, text_stream,
-    windowed_hits,
+    batch_count_sink, leaderboard_sink, print_values, run_available, socket_stream,
+    text_stream, windowed_hits,
 )
 
 
@@ -72,20 +72,24 @@ def _stream_source(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def stream_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    root = args.checkpoint or staging_dir(spark, f"cli-{args.cmd}")
+    root = args.checkpoint
     source = _stream_source(spark, args)
     if args.cmd == "stream-hits":
         stream = windowed_hits(source, args.length, args.slide, args.watermark, args.time)
-        sink = leaderboard_sink(f"{root}/out", f"{root}/snapshots", args.top, args.by,
-                                args.min_hits)
-        mode = "update"
+        sink = leaderboard_sink(f"{root}/snapshots", args.top, args.by, args.min_hits)
+        mode = "append"
+    elif args.cmd == "stream-print":
+        stream, sink, mode = source, print_values(), "append"
     else:
         stream, sink, mode = source, batch_count_sink(f"{root}/out"), "append"
-    if args.state_store == "rocksdb":
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     if args.available_now:
-        run_available(stream, sink, f"{root}/checkpoint", output_mode=mode)
+        run_available(stream, sink, f"{root}/checkpoint", output_mode=mode,
+                      state_partitions=args.state_partitions, state_store=args.state_store)
         return
+    if args.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.state_partitions))
+    if args.state_store == "rocksdb":
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     q = (stream.writeStream.foreachBatch(sink).outputMode(mode)
                .option("checkpointLocation", f"{root}/checkpoint")
                .trigger(processingTime=args.trigger).start())
@@ -99,24 +103,24 @@ def parser() -> argparse.ArgumentParser:
         b = sub.add_parser(name)
         b.add_argument("path")
         b.add_argument("--out")
-        b.add_argument("--show", type=int, default=20)
         if name == "member-filter":
             b.add_argument("--keys", required=True)
         if name == "regex-filter":
             b.add_argument("--regex", required=True)
         if name == "concat":
             b.add_argument("--chunk", type=int, default=1000)
-    for name in ("stream-hits", "stream-count"):
+    for name in ("stream-hits", "stream-count", "stream-print"):
         s = sub.add_parser(name)
         s.add_argument("--source", choices=("kafka", "socket", "files"), default="files")
         s.add_argument("--props", help="Kafka consumer property file")
         s.add_argument("--host", default="localhost")
         s.add_argument("--port", type=int, default=9999)
         s.add_argument("--path", help="folder watched for new text files")
-        s.add_argument("--checkpoint")
+        s.add_argument("--checkpoint", required=True)
         s.add_argument("--trigger", default="1 second")
         s.add_argument("--available-now", action="store_true")
-        s.add_argument("--state-store", choices=("default", "rocksdb"), default="default")
+        s.add_argument("--state-store", choices=("memory", "rocksdb"), default="rocksdb")
+        s.add_argument("--state-partitions", type=int, help="fixed for the life of the checkpoint")
         if name == "stream-hits":
             s.add_argument("--length", default="30 seconds")
             s.add_argument("--slide", default="10 seconds")
@@ -138,7 +142,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.out:
         df.write.mode("errorifexists").parquet(args.out)
     else:
-        df.show(args.show, truncate=False)
+        print("\t".join(df.columns))
+        for row in df.toLocalIterator():  # one partition at a time
+            print("\t".join("NULL" if v is None else str(v) for v in row))
     return 0
 
 

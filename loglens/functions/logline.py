@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loglens.functions.numeric import floor_div
+
 # Fixed value: the timestamp layout of an access-log line.  It is zero padded
 # and fixed width, so the lexicographic maximum is the latest time.
 LOG_TS_PATTERN = "yyyy_MM_dd__HH_mm_ss_SSS"
@@ -15,33 +17,37 @@ def _col(c) -> Column:
 
 
 def format_seen(ts) -> Column:
-    """Render a timestamp in the log layout (wall clock, no zone shift for NTZ)."""
-    return F.date_format(_col(ts), LOG_TS_PATTERN)
+    """Render a ``timestamp_ntz`` in the log layout: its own wall clock, whatever the session time zone."""
+    text = _col(ts).cast("string")  # yyyy-MM-dd HH:mm:ss[.f...], zone-free for an NTZ value
+    return F.concat(F.translate(F.substring(text, 1, 10), "-", "_"), F.lit("__"), F.translate(F.substring(text, 12, 8), ":", "_"),
+                    F.lit("_"), F.rpad(F.substring(text, 21, 3), 3, "0"))
 
 
-def parse_seen(seen) -> Column:
-    """Parse the log layout as UTC into an absolute ``timestamp``.
+def try_parse_seen(seen) -> Column:
+    """Parse the log layout as UTC into an absolute ``timestamp``; NULL for other text.
 
     The explicit ``+0000`` makes the result independent of the session time
     zone, so window boundaries are the same on every cluster.
     """
-    return F.to_timestamp(F.concat(_col(seen), F.lit("+0000")), LOG_TS_PATTERN + "Z")
+    return F.try_to_timestamp(F.concat(_col(seen), F.lit("+0000")), F.lit(LOG_TS_PATTERN + "Z"))
 
 
-def try_parse_seen(seen) -> Column:
-    """As :func:`parse_seen`, but NULL for text that is not a log timestamp."""
-    return F.try_to_timestamp(F.concat(_col(seen), F.lit("+0000")),
-                              F.lit(LOG_TS_PATTERN + "Z"))
+def seen_key(seen, ets) -> Column:
+    """A bigint that sorts as the log text does, from the text and its parsed time.
 
+    Epoch microseconds and the number of fraction digits: fixed width, so its
+    maximum is a hash aggregate, zone-free, and :func:`seen_text` gives back
+    exactly the text that was read, also one with a short fraction.
+    """
+    digits = F.length(F.substring_index(_col(seen), "_", -1))
+    return F.unix_micros(_col(ets)) * F.lit(16) + digits
 
-def seen_wall_clock(seen, parsed) -> Column:
-    """``timestamp_ntz`` of the log text, NULL where ``parsed`` (its UTC parse) is NULL.
 
-    Zone-free and fixed width: the maximum of it is the latest time and can
-    be aggregated in a hash table, unlike the maximum of a string; the
-    ``CASE`` guard keeps the strict parser away from invalid text.
-    """
-    return F.when(_col(parsed).isNotNull(), F.to_timestamp_ntz(_col(seen), F.lit(LOG_TS_PATTERN)))
+def seen_text(key) -> Column:
+    """The log text of a :func:`seen_key`."""
+    seconds = floor_div(_col(key), 16).cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)")
+    ts = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return F.substring(format_seen(ts), F.lit(1), F.lit(21) + F.pmod(_col(key), F.lit(16)).cast("int"))
 
 
 def access_line(ip, path, ts) -> Column:

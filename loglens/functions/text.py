@@ -32,7 +32,7 @@ def java_split(value, sep: str = " ") -> Column:
     trimmed first.
     """
     v = _col(value)
-    trimmed = F.rtrim(v) if sep == " " else F.regexp_replace(v, f"\\Q{sep}\\E+$", "")
+    trimmed = F.rtrim(v) if sep == " " else F.regexp_replace(v, f"(?:\\Q{sep}\\E)+\\z", "")
     pattern = sep if len(sep) == 1 and sep not in _REGEX_META else f"\\Q{sep}\\E"
     return (F.when((v != F.lit("")) & (trimmed == F.lit("")),
                    F.array().cast("array<string>"))

@@ -9,7 +9,7 @@ from loglens.operators.filters import isin_filter, member_filter, regex_filter
 from loglens.operators.aggregates import total_sum, observe_sum, observed_total, concat_ordered
 from loglens.operators.udfs import (
     check_serializable, predicate_udf, regex_predicate_udf,
-    filter_with_partition_resource, concat_udaf,
+    series_predicate_udf, filter_with_partition_resource, user_aggregate, concat_udaf, span_udaf,
 )
 from loglens.operators.access_log import parse_access_log, access_log_rejects
 from loglens.operators.windows import (

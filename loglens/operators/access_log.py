@@ -13,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglens.functions.logline import LOG_TS_PATTERN, seen_wall_clock, try_parse_seen
+from loglens.functions.logline import LOG_TS_PATTERN, seen_key, try_parse_seen
 from loglens.functions.text import java_split
 from loglens.operators.filters import where_computed
 
-PARSED_COLUMNS = ("ip", "path", "seen", "ets", "seen_ts")
+PARSED_COLUMNS = ("ip", "path", "seen", "ets", "seen_key")
 
 
 def _tokens(column: str) -> Column:
@@ -31,11 +31,12 @@ def _reason(tokens: Column, ets: Column) -> Column:
 
 def parse_access_log(lines: DataFrame, column: str = "value", mode: str = "permissive",
                      time: str = "event") -> DataFrame:
-    """``ip, path, seen string, ets timestamp, seen_ts timestamp_ntz`` per line.
+    """``ip, path, seen string, ets timestamp`` and, with event time, ``seen_key bigint`` per line.
 
-    ``seen`` is the raw timestamp text, ``ets`` the instant used for
-    windows (event or arrival time) and ``seen_ts`` the text's own wall
-    clock (NULL when it does not parse), whose maximum gives ``last_seen``.
+    ``seen`` is the raw third token and ``ets`` the instant used for windows
+    (event or arrival time).  The time is parsed once per row; ``seen_key``
+    sorts as the text does and gives ``last_seen`` back exactly as read.  With
+    arrival time any third token is kept, and ``last_seen`` is the greatest text.
     Row-local: no shuffle, and the projection is pushed into the scan's
     column list.
     """
@@ -44,29 +45,25 @@ def parse_access_log(lines: DataFrame, column: str = "value", mode: str = "permi
     if time not in ("event", "arrival"):
         raise ValueError(f"time must be 'event' or 'arrival', not {time!r}")
     tok = lines.select(_tokens(column).alias("__t"))
+    third = F.get("__t", 2)
     if mode == "strict":
         third = F.when(F.size("__t") < 3, F.raise_error(F.concat(
             F.lit("access-log line has fewer than 3 tokens: "),
-            F.array_join("__t", " ")))).otherwise(F.get("__t", 2))
-        parsed = tok.select(F.get("__t", 0).alias("ip"), F.get("__t", 1).alias("path"),
-                            third.alias("seen"))
+            F.array_join("__t", " ")))).otherwise(third)
+    parsed = tok.select(F.get("__t", 0).alias("ip"), F.get("__t", 1).alias("path"), third.alias("seen"))
+    if time == "arrival":
+        if mode == "permissive":
+            parsed = parsed.where(F.col("seen").isNotNull())
+        return parsed.select("ip", "path", "seen", F.current_timestamp().alias("ets"))
+    parsed = parsed.withColumn("ets", try_parse_seen("seen"))
+    if mode == "strict":
         bad = F.raise_error(F.concat(F.lit("access-log time is not "), F.lit(LOG_TS_PATTERN),
-                                     F.lit(": "), F.col("seen")))
-        event = F.when(try_parse_seen("seen").isNull(), bad).otherwise(try_parse_seen("seen"))
-        if time == "arrival":
-            event = try_parse_seen("seen")
+                                     F.lit(": "), F.coalesce("seen", F.lit("NULL"))))
+        parsed = parsed.withColumn("ets", F.coalesce("ets", bad.cast("timestamp")))
     else:
-        parsed = tok.select(F.get("__t", 0).alias("ip"), F.get("__t", 1).alias("path"),
-                            F.get("__t", 2).alias("seen"))
-        event = try_parse_seen("seen")
-    parsed = parsed.withColumn("__event", event)
-    ets = F.current_timestamp() if time == "arrival" else F.col("__event")
-    if mode == "permissive":
         # A missing third token gives a NULL time, so one check covers both.
-        ok = F.col("seen").isNotNull() if time == "arrival" else F.col("__event").isNotNull()
-        parsed = where_computed(parsed.withColumn("__ok", ok), "__ok")
-    return parsed.select("ip", "path", "seen", ets.alias("ets"),
-                         seen_wall_clock("seen", "__event").alias("seen_ts"))
+        parsed = where_computed(parsed.withColumn("__ok", F.col("ets").isNotNull()), "__ok")
+    return parsed.select("ip", "path", "seen", "ets", seen_key("seen", "ets").alias("seen_key"))
 
 
 def access_log_rejects(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -14,7 +14,7 @@ def total_sum(df: DataFrame, column: str, alias: str = "total") -> DataFrame:
                   .alias(alias))
 
 
-def observe_sum(df: DataFrame, column: str, name: str = "myAcc") -> tuple[DataFrame, Observation]:
+def observe_sum(df: DataFrame, column: str, name: str = "total") -> tuple[DataFrame, Observation]:
     """Attach a named sum to ``df`` as an observed metric.
 
     The metric is filled when an action runs over the returned DataFrame,
@@ -27,7 +27,7 @@ def observe_sum(df: DataFrame, column: str, name: str = "myAcc") -> tuple[DataFr
     return observed, obs
 
 
-def observed_total(df: DataFrame, column: str, name: str = "myAcc") -> DataFrame:
+def observed_total(df: DataFrame, column: str, name: str = "total") -> DataFrame:
     """Run ``df`` once through a no-op sink and return its observed sum as one row."""
     observed, obs = observe_sum(df, column, name)
     observed.write.format("noop").mode("overwrite").save()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: the per-slot message (the job printed one per batch).
@@ -18,19 +18,17 @@ def tumbling_counts(df: DataFrame, ts: str, width_seconds: int) -> DataFrame:
     """``window_start bigint (epoch s), n bigint, message string``, one row per slot.
 
     Slots are ``[k * width, (k + 1) * width)`` seconds since the epoch, read
-    as UTC.  Counting is a partial + final aggregate; the slot list between
-    the first and last busy slot is generated in parallel by ``spark.range``
-    from their bounds (two numbers; the list grows with the time span, not
-    with the rows) and left-joined, so a quiet slot reports ``0``.
+    as UTC.  Counting is a partial + final aggregate; every busy slot then
+    brings the quiet slots up to the next busy one (a window over the counts,
+    which are few), so nothing runs while the plan is built.  Rows without a time
+    are counted in a slot whose start is NULL.
     """
-    spark = df.sparkSession
     slot = F.floor(F.unix_timestamp(F.col(ts)) / F.lit(width_seconds))
     counts = df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    lo, hi = counts.agg(F.min("slot"), F.max("slot")).first()
-    if lo is None:
-        return spark.createDataFrame([], "window_start bigint, n bigint, message string")
-    slots = spark.range(lo, hi + 1).select(F.col("id").alias("slot"))
-    filled = slots.join(counts, "slot", "left")
-    n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
-    return filled.select((F.col("slot") * F.lit(width_seconds)).alias("window_start"),
+    after = F.lead("slot").over(Window.partitionBy(F.col("slot").isNull()).orderBy("slot"))
+    upto = F.coalesce(F.col("after") - 1, F.col("slot"))
+    each = F.when(F.col("slot").isNull(), F.array(F.lit(None).cast("bigint"))).otherwise(F.sequence("slot", upto))
+    filled = counts.withColumn("after", after).select("slot", "n", F.explode(each).alias("at"))
+    n = F.when(F.col("at").eqNullSafe(F.col("slot")), F.col("n")).otherwise(F.lit(0).cast("bigint"))
+    return filled.select((F.col("at") * F.lit(width_seconds)).alias("window_start"),
                          n.alias("n"), count_message(n).alias("message"))

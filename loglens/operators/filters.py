@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglens.functions.text import full_match
-
-# A literal key list up to this many entries goes into the plan as an IN
-# set / broadcast relation; its size is known on the driver.
-MAX_LITERAL_KEYS = 100_000
+from loglens.sources.text import inline
 
 
 def where_computed(df: DataFrame, flag: str) -> DataFrame:
@@ -35,29 +32,18 @@ def isin_filter(df: DataFrame, column: str, keys: Iterable) -> DataFrame:
     return df.where(F.col(column).isin(keys))
 
 
-def member_filter(df: DataFrame, column: str, keys,
-                  max_broadcast_keys: int = MAX_LITERAL_KEYS) -> DataFrame:
-    """Keep rows whose ``column`` is in ``keys`` (a broadcast-set filter).
+def member_filter(df: DataFrame, column: str, keys) -> DataFrame:
+    """Keep rows whose ``column`` is in ``keys`` (a set filter).
 
-    ``keys`` is either a driver-side collection, whose size is checked and
-    which is then broadcast to a map-side semi join, or a DataFrame.  For a
-    DataFrame the size is checked first by counting at most
-    ``max_broadcast_keys + 1`` of its rows (a limited scan that stops
-    early); within the bound the distinct keys are broadcast, beyond it the
-    filter is an ordinary shuffle semi join (which AQE may still broadcast
-    if the keys turn out small, or split if a key is skewed).
+    ``keys`` is a DataFrame (its first column) or a driver-side collection of
+    any length.  A plain semi join: Spark broadcasts the keys if their bytes
+    are below its own threshold, also at run time, and shuffles otherwise.
     """
-    if isinstance(keys, DataFrame):
-        right = keys.select(F.col(keys.columns[0]).alias("__key")).distinct()
-        if keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
-            right = F.broadcast(right)
-        return df.join(right, df[column] == right["__key"], "left_semi")
-    keys = list(dict.fromkeys(keys))
-    if len(keys) > MAX_LITERAL_KEYS:
-        raise ValueError(f"{len(keys)} literal keys; pass a DataFrame instead")
-    key_type = df.schema[column].dataType.simpleString()
-    right = df.sparkSession.createDataFrame([(k,) for k in keys], f"__key {key_type}")
-    return df.join(F.broadcast(right), df[column] == right["__key"], "left_semi")
+    if not isinstance(keys, DataFrame):
+        key_type = df.schema[column].dataType.simpleString()
+        keys = inline(df.sparkSession, [(k,) for k in dict.fromkeys(keys)], f"k {key_type}")
+    right = keys.select(F.col(keys.columns[0]).alias("__key"))
+    return df.join(right, df[column] == right["__key"], "left_semi")
 
 
 def regex_filter(df: DataFrame, column: str, regex: str) -> DataFrame:

@@ -22,6 +22,8 @@ def hot_split_join(big: DataFrame, lookup: DataFrame, key: str, weight: str,
     sum of ``weight`` if the caller has a cheaper way to it (a column, e.g.
     a scalar subquery); by default it is summed from ``lookup``.
     """
+    if not 1e-4 <= hot_fraction <= 1:
+        raise ValueError("hot_fraction must be from 0.0001 to 1: it bounds the broadcast side to 1 / hot_fraction keys")
     if total is None:
         total = lookup.agg(F.sum(F.col(weight)).alias("w")).scalar()
     is_hot = (F.col(weight) > F.lit(0)) & (F.col(weight) >= total * F.lit(hot_fraction))

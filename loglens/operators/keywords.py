@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglens.functions.text import KEYWORD_REJECT, keyword_split
-from loglens.operators.joins import hot_split_join
-from loglens.session import materialize
 
 
 def agent_keywords(df: DataFrame, ip: str, agent: str) -> DataFrame:
@@ -35,24 +33,16 @@ def distinct_keywords(keywords: DataFrame, ip: str) -> DataFrame:
 def top_keywords(keywords: DataFrame, ip: str, n: int = 50) -> DataFrame:
     """Per client, its keywords by global frequency: ``<ip>, keyword, freq, rank``.
 
-    Frequency descending, ties by keyword.  The pair-to-frequency join splits
-    off the hot keywords (common words occur at nearly every client) so they
-    are matched map-side; the per-client ranking keeps at most ``n`` rows
-    per client in each task before the shuffle.
+    Frequency descending, ties by keyword.  Per-client counts give both the
+    distinct pairs and, summed per keyword, the global frequency; both sides of
+    the join keep the count, so they share one exchange and the text is split
+    once.  A keyword that nearly every client has is a skewed key of that
+    join, which AQE splits; the ranking keeps at most ``n`` rows per client in
+    each task before the shuffle.
     """
-    # One pass over the occurrences: per-client counts give both the
-    # distinct pairs and, summed per keyword, the global frequency.  The
-    # counts feed several branches, which column pruning makes differ, so
-    # Spark would tokenize the text once per branch; a table written to the
-    # shared folder computes them once (and cuts the lineage).
-    per_client = materialize(
-        keywords.groupBy(ip, "keyword").agg(F.count(F.lit(1)).alias("__n")), "keyword-counts")
+    per_client = keywords.groupBy(ip, "keyword").agg(F.count(F.lit(1)).alias("__n"))
     freq = per_client.groupBy("keyword").agg(F.sum("__n").alias("freq"))
-    # The total frequency is the number of occurrences: a plain sum over the
-    # stored counts, with no shuffle by keyword.
-    occurrences = per_client.agg(F.sum("__n")).scalar()
-    with_freq = hot_split_join(per_client.select(ip, "keyword"), freq, "keyword", "freq",
-                               total=occurrences)
+    with_freq = per_client.where("__n > 0").join(freq, "keyword")
     order = Window.partitionBy(ip).orderBy(F.desc("freq"), F.asc("keyword"))
     ranked = with_freq.withColumn("rank", F.row_number().over(order))
     return (ranked.where(F.col("rank") <= n)

@@ -5,33 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.session import materialize
-
 # Fixed value: the message key the dashboard listens for.
 PUSH_KEY = "dataPush"
 
 
-def newest_window(board: DataFrame) -> DataFrame:
-    """Rows of the window with the greatest ``window_end``.
+def newest_window(board: DataFrame, newest: DataFrame | None = None, delay_us: int = 0) -> DataFrame:
+    """Rows of the newest closed window: the greatest ``window_end`` at most ``delay_us`` before the newest event.
 
-    The maximum is one algebraic aggregate (a single row), joined back on
-    equality; its one-row side is broadcast, so the board is not shuffled.
+    ``newest`` has one row, the newest event time in epoch microseconds: a
+    sliding window that ends after it still lacks rows.  Without ``newest``
+    all windows of ``board`` count as closed (a stream's append mode emits
+    only such ones).  Both bounds are scalar subqueries of the same query.
     """
-    newest = board.agg(F.max("window_end").alias("__newest"))
-    return board.join(F.broadcast(newest), board["window_end"] == newest["__newest"]).drop("__newest")
+    if newest is not None:
+        board = board.where(F.col("window_end") * F.lit(1000000) <= newest.scalar() - F.lit(delay_us))
+    return board.where(F.col("window_end") == board.agg(F.max("window_end").alias("m")).scalar())
 
 
-def snapshot_json(board: DataFrame) -> DataFrame:
+def snapshot_json(board: DataFrame, newest: DataFrame | None = None, delay_us: int = 0) -> DataFrame:
     """``window_end bigint, message string``: ``{"id","key","data":[{ip,hits,last_seen}]}``.
 
-    ``data`` follows ``rank``.  A leaderboard window has at most ``n`` rows,
-    so collecting one window into a message is bounded.  The id is the
-    window end (stable on replay) rather than a clock reading.
+    ``data`` follows ``rank``.  ``board`` must be ranked: a leaderboard window
+    has at most ``n`` rows, so collecting one window into a message is bounded.
+    The id is the window end (stable on replay) rather than a clock reading.
     """
-    # The board is small (at most n rows per window) but expensive to
-    # recompute; written once to the shared folder, both the maximum and the
-    # rows read it.
-    return snapshot_message(newest_window(materialize(board, "board")))
+    if "rank" not in board.columns:
+        raise ValueError("a snapshot needs a ranked board, whose windows are bounded")
+    return snapshot_message(newest_window(board, newest, delay_us))
 
 
 def snapshot_message(rows: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ these helpers are for logic that only exists as Python.
 
 from __future__ import annotations
 
+import functools
+import pickle
 import re
 from collections.abc import Callable, Iterator
 
@@ -28,8 +30,19 @@ def check_serializable(obj, what: str = "function") -> None:
         raise TypeError(f"{what} cannot be serialized for the executors: {exc}") from exc
 
 
+def series_predicate_udf(fn: Callable[[pd.Series], pd.Series]):
+    """Wrap a vectorised predicate (Series to boolean Series) as a ``pandas_udf``; the first choice."""
+    check_serializable(fn, "predicate")
+
+    @F.pandas_udf(BooleanType())
+    def _pred(s: pd.Series) -> pd.Series:
+        return fn(s).astype("boolean")
+
+    return _pred
+
+
 def predicate_udf(fn: Callable[[str], bool]):
-    """Wrap a Python row predicate as an Arrow-batched ``pandas_udf`` returning boolean."""
+    """Wrap a Python row predicate as an Arrow-batched ``pandas_udf``, called row by row."""
     check_serializable(fn, "predicate")
 
     @F.pandas_udf(BooleanType())
@@ -75,20 +88,52 @@ def filter_with_partition_resource(df: DataFrame, column: str,
     return df.mapInPandas(per_partition, schema=df.schema)
 
 
-def concat_udaf(df: DataFrame, value: str, order: str, group: str, alias: str = "text") -> DataFrame:
-    """Ordered concatenation per group as a grouped-map pandas function.
+def user_aggregate(df: DataFrame, group: str, columns: list[str], out: str, zero: Callable[[], object],
+                   add: Callable, merge: Callable, value: Callable) -> DataFrame:
+    """A user-defined aggregate per group: ``<group>, <alias>`` with ``out`` like ``"text string"``.
 
-    The general user-defined aggregate surface (zero / add / merge / value
-    in one function).  Each group is handed to one task whole, so callers
-    must group by a key whose groups are bounded (for instance a chunk of
-    a unique ordering key).
+    ``zero()`` starts a state, ``add(state, *values)`` takes in a row,
+    ``merge(state, state)`` joins two and ``value(state)`` gives the result.
+    Every Arrow batch is reduced to one pickled state per group before the
+    shuffle, so a hot group sends as many states as it has batches, not its
+    rows, to the task that merges them.  Rows come in no particular order:
+    ``merge`` must be associative and commutative.
     """
-    key_type = df.schema[group].dataType.simpleString()
+    for fn, what in ((zero, "zero"), (add, "add"), (merge, "merge"), (value, "value")):
+        check_serializable(fn, what)
+    key_type, alias = df.schema[group].dataType.simpleString(), out.split()[0]
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            keys, states = [], []
+            for key, part in pdf.groupby(group, dropna=False, sort=False):
+                state = zero()
+                for row in part[columns].itertuples(index=False, name=None):
+                    state = add(state, *row)
+                keys.append(None if pd.isna(key) else key)
+                states.append(pickle.dumps(state))
+            yield pd.DataFrame({group: pd.Series(keys, dtype=pdf[group].dtype if keys else object), "state": states})
 
-    def concat(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        return pd.DataFrame({group: [pdf[group].iloc[0]],
-                             alias: ["".join(pdf[value].dropna().astype(str))]})
+    def final(pdf: pd.DataFrame) -> pd.DataFrame:
+        states = [pickle.loads(s) for s in pdf["state"]]
+        return pd.DataFrame({group: [pdf[group].iloc[0]], alias: [value(functools.reduce(merge, states, zero()))]})
 
-    return (df.select(group, value, order).groupBy(group)
-              .applyInPandas(concat, schema=f"{group} {key_type}, {alias} string"))
+    states = df.select(group, *columns).mapInPandas(partial, schema=f"`{group}` {key_type}, state binary")
+    return states.groupBy(group).applyInPandas(final, schema=f"`{group}` {key_type}, {out}")
+
+
+def concat_udaf(df: DataFrame, value: str, order: str, group: str, alias: str = "text") -> DataFrame:
+    """Ordered concatenation per group as a user aggregate; a state holds its group's values, so groups must be bounded."""
+    return user_aggregate(
+        df, group, [order, value], f"{alias} string", zero=list,
+        add=lambda state, at, text: state if text is None else state + [(at, str(text))],
+        merge=lambda a, b: a + b, value=lambda state: "".join(text for _, text in sorted(state)))
+
+
+def span_udaf(df: DataFrame, column: str, group: str, alias: str = "span") -> DataFrame:
+    """Greatest minus smallest value per group as a user aggregate."""
+    return user_aggregate(
+        df, group, [column], f"{alias} bigint", zero=lambda: None,
+        add=lambda state, v: state if pd.isna(v) else (v, v) if state is None else (min(state[0], v), max(state[1], v)),
+        merge=lambda a, b: b if a is None else a if b is None else (min(a[0], b[0]), max(a[1], b[1])),
+        value=lambda state: None if state is None else int(state[1] - state[0]))

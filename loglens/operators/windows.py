@@ -10,24 +10,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglens.functions.logline import format_seen
+from loglens.functions.logline import seen_text
 
 WINDOW_COLUMNS = ("window_start", "window_end", "ip", "hits", "last_seen")
 
 
-def _hits_aggs():
-    # max over the fixed-width wall clock, not the text: same answer (the
-    # layout sorts by time) but a hash aggregate instead of a sort aggregate.
-    return [F.count(F.lit(1)).alias("hits"), F.max("seen_ts").alias("last_ts")]
+def _hits_aggs(parsed: DataFrame):
+    # With event time the maximum is over the text's fixed-width key, not the text:
+    # the same answer, but a hash aggregate instead of a sort aggregate.
+    last = F.max("seen_key").alias("last_key") if "seen_key" in parsed.columns else F.max("seen").alias("last_text")
+    return [F.count(F.lit(1)).alias("hits"), last]
 
 
-def _last_seen():
-    return format_seen("last_ts").alias("last_seen")
+def _last_seen(agg: DataFrame):
+    last = seen_text("last_key") if "last_key" in agg.columns else F.col("last_text")
+    return last.alias("last_seen")
 
 
 def hits_by_ip(parsed: DataFrame) -> DataFrame:
     """``ip, hits bigint, last_seen string`` over all rows."""
-    return parsed.groupBy("ip").agg(*_hits_aggs()).select("ip", "hits", _last_seen())
+    agg = parsed.groupBy("ip").agg(*_hits_aggs(parsed))
+    return agg.select("ip", "hits", _last_seen(agg))
 
 
 def window_aggregate(parsed: DataFrame, length: str, slide: str | None = None) -> DataFrame:
@@ -37,14 +40,14 @@ def window_aggregate(parsed: DataFrame, length: str, slide: str | None = None) -
     lands in ``length / slide`` windows.
     """
     w = F.window("ets", length, slide) if slide else F.window("ets", length)
-    return parsed.groupBy(w.alias("window"), "ip").agg(*_hits_aggs())
+    return parsed.groupBy(w.alias("window"), "ip").agg(*_hits_aggs(parsed))
 
 
 def project_windows(agg: DataFrame) -> DataFrame:
     """Flatten the window struct to epoch seconds (zone-free) and fix the column order."""
     return agg.select(F.unix_seconds("window.start").alias("window_start"),
                       F.unix_seconds("window.end").alias("window_end"),
-                      "ip", "hits", _last_seen())
+                      "ip", "hits", _last_seen(agg))
 
 
 def hits_by_window(parsed: DataFrame, length: str, slide: str | None = None) -> DataFrame:

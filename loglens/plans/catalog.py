@@ -27,15 +27,21 @@ from loglens.operators import (
     distinct_keywords, filter_with_partition_resource, hits_by_ip, hits_by_window,
     isin_filter, keyword_freq, leaderboard, line_lengths, longest_line, member_filter,
     min_hits, observed_total, parse_access_log, regex_filter, regex_predicate_udf,
-    snapshot_json, tokenize, top_keywords, total_sum, tumbling_counts, word_count,
+    snapshot_json, span_udaf, tokenize, top_keywords, total_sum, tumbling_counts, word_count,
     word_count_sorted,
 )
-from loglens.sources import access_log_lines, document_lines, read_table, stage_text, text_lines
-from loglens.streaming import replay_batch_counts, replay_hits, replay_leaderboard
+from loglens.session import staging_dir
+from loglens.sources import access_log_lines, document_lines, lines_of_events, read_table, stage_text, text_lines
+from loglens.streaming import (
+    batch_count_sink, event_stream, leaderboard_sink, read_batch_counts, read_latest_snapshot,
+    read_window_upserts, run_available, text_stream, window_upsert_sink, windowed_hits,
+)
 
 # Fixed values of the test queries.
 KEEP_EVENT_TYPES = ("click", "view", "purchase")   # the broadcast set
 DIGITS_REGEX = r"1\d+"                              # whole-match pattern
+STATE_PARTITIONS = 8                                # of the streams' window state
+ONE_CLIENT = "src1"                                # the client whose agents are listed
 CONCAT_CHUNK = 1000                                 # event ids per concatenated chunk
 DAY = 86400
 
@@ -53,7 +59,7 @@ def _parsed(spark, d):
 
 
 def _agents(spark, d):
-    return read_table(spark, d, "documents", "doc_id", "text", spread_by="doc_id")
+    return read_table(spark, d, "documents", "doc_id", "text")
 
 
 def _keywords(spark, d):
@@ -61,7 +67,7 @@ def _keywords(spark, d):
 
 
 def _props_k(spark, d):
-    ev = read_table(spark, d, "events", "event_id", "props", spread_by="event_id")
+    ev = read_table(spark, d, "events", "event_id", "props")
     return ev.select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 
@@ -138,7 +144,7 @@ def q_acc_sum(spark, d):
 
 
 def q_observe_sum(spark, d):
-    return observed_total(read_table(spark, d, "lineitem", "l_linenumber"), "l_linenumber", "myAcc")
+    return observed_total(read_table(spark, d, "lineitem", "l_linenumber"), "l_linenumber", "linenumber_sum")
 
 
 def q_acc_concat(spark, d):
@@ -152,6 +158,11 @@ def q_udaf_concat(spark, d):
     return concat_udaf(ev, "event_type", "event_id", "chunk")
 
 
+def q_udaf_span(spark, d):
+    ev = read_table(spark, d, "events", "event_id", "event_type")
+    return span_udaf(ev, "event_id", "event_type")
+
+
 # -- access log ---------------------------------------------------------------
 
 def q_parse_access_log(spark, d):
@@ -197,7 +208,8 @@ def q_top50_by_hits(spark, d):
 
 
 def q_snapshot_json(spark, d):
-    return snapshot_json(q_top50_by_hits(spark, d))
+    newest = _parsed(spark, d).agg(F.unix_micros(F.max("ets")).alias("newest"))
+    return snapshot_json(q_top50_by_hits(spark, d), newest)
 
 
 def q_tumbling_counts(spark, d):
@@ -223,34 +235,57 @@ def q_agent_top50_keywords(spark, d):
 
 
 def q_agents_of_ip(spark, d):
-    return agents_of(read_table(spark, d, "documents", "source", "text"), "source", "text")
+    return agents_of(read_table(spark, d, "documents", "source", "text"), "source", "text", value=ONE_CLIENT)
+
+
+# -- streams (the events table, streamed in place) ------------------------------
+
+def _stream(spark, d):
+    return lines_of_events(event_stream(spark, d))
+
 
+def _run(stream, sink, root, mode="update"):
+    run_available(stream, sink, f"{root}/checkpoint", output_mode=mode, state_partitions=STATE_PARTITIONS)
 
-# -- streams (replayed from the tables) ---------------------------------------
 
 def q_stream_hits_kafka(spark, d):
-    return replay_hits(spark, _log(spark, d), "3 days", "1 day")
+    root = staging_dir(spark, "hits-stream")
+    _run(windowed_hits(_stream(spark, d), "3 days", "1 day"), window_upsert_sink(f"{root}/out"), root)
+    return read_window_upserts(spark, f"{root}/out")
 
 
 def q_stream_snapshot_kafka(spark, d):
-    # top(50) by the address, re-sorted by hits, newest window pushed as JSON
-    return replay_leaderboard(spark, _log(spark, d), "3 days", "1 day", 50, by="key")
+    # top(50) by the address, re-sorted by hits, newest closed window pushed as JSON
+    root = staging_dir(spark, "board-stream")
+    _run(windowed_hits(_stream(spark, d), "3 days", "1 day"), leaderboard_sink(f"{root}/snapshots", 50, by="key"), root, "append")
+    return read_latest_snapshot(spark, f"{root}/snapshots")
 
 
 def q_stream_hits_socket(spark, d):
-    return replay_hits(spark, _log(spark, d), "5 days", "1 day", min_hits=5)
+    root = staging_dir(spark, "hits-stream")
+    _run(windowed_hits(_stream(spark, d), "5 days", "1 day"), window_upsert_sink(f"{root}/out", 5), root)
+    return read_window_upserts(spark, f"{root}/out")
 
 
 def q_late_data_dropped(spark, d):
-    log = _log(spark, d)
-    # The earliest line, delivered again after everything else: past the watermark.
+    # The earliest line, delivered again after a restart: past the watermark.
     # The layout sorts by time, so the top-1 by the timestamp token is the oldest.
-    oldest = log.orderBy(F.substring_index("value", " ", -1)).limit(1)
-    return replay_hits(spark, log, "3 days", "1 day", late=oldest)
+    root = staging_dir(spark, "late-stream")
+    oldest = _log(spark, d).orderBy(F.substring_index("value", " ", -1)).limit(1)
+    oldest.limit(0).write.text(f"{root}/late")
+    lines = _stream(spark, d).unionByName(text_stream(spark, f"{root}/late"))
+    stream, sink = windowed_hits(lines, "3 days", "1 day"), window_upsert_sink(f"{root}/out")
+    _run(stream, sink, root)
+    oldest.write.mode("append").text(f"{root}/late")
+    _run(stream, sink, root)
+    return read_window_upserts(spark, f"{root}/out")
 
 
 def q_stream_batch_counts(spark, d):
-    return replay_batch_counts(spark, _log(spark, d))
+    # One file of the table per batch.
+    root = staging_dir(spark, "count-stream")
+    _run(event_stream(spark, d), batch_count_sink(f"{root}/out"), root, "append")
+    return read_batch_counts(spark, f"{root}/out")
 
 
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items())

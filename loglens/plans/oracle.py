@@ -63,9 +63,10 @@ def _top50(by: str) -> str:
         FROM ({base})) WHERE kr <= 50)"""
 
 
-def _snapshot(by: str) -> str:
+def _snapshot(by: str, delay_ms: int = 0) -> str:
     return f"""WITH b AS ({_top50(by)}),
-n AS (SELECT * FROM b WHERE window_end = (SELECT max(window_end) FROM b))
+x AS (WITH {_G} SELECT max(ets_ms) - {delay_ms} AS upto FROM g),
+n AS (SELECT * FROM b WHERE window_end = (SELECT max(window_end) FROM b, x WHERE window_end * 1000 <= upto))
 SELECT window_end,
        CAST(to_json({{'id': CAST(window_end AS VARCHAR), 'key': 'dataPush',
                      'data': list({{'ip': ip, 'hits': hits, 'last_seen': last_seen}} ORDER BY rank)}})
@@ -93,7 +94,7 @@ ORACLE = {
     "regex_full_match": f"SELECT event_id, {_PROPS_K} AS k FROM events "
                         f"WHERE regexp_full_match({_PROPS_K}, '1\\d+')",
     "acc_sum": "SELECT CAST(coalesce(sum(l_linenumber), 0) AS BIGINT) AS total FROM lineitem",
-    "observe_sum": "SELECT 'myAcc' AS name, CAST(coalesce(sum(l_linenumber), 0) AS BIGINT) AS value "
+    "observe_sum": "SELECT 'linenumber_sum' AS name, CAST(coalesce(sum(l_linenumber), 0) AS BIGINT) AS value "
                    "FROM lineitem",
     "acc_concat": "SELECT event_id // 1000 AS chunk, string_agg(event_type, '' ORDER BY event_id) AS text "
                   "FROM events GROUP BY 1",
@@ -118,10 +119,10 @@ WHERE len(tok) < 3 OR try_strptime(tok[3], '%Y_%m_%d__%H_%M_%S_%g') IS NULL""",
     "snapshot_json": _snapshot("hits"),
     "tumbling_counts": """WITH c AS (SELECT (epoch_us(ts) // 1000000) // 86400 AS slot, count(*) AS n
            FROM events GROUP BY 1),
-b AS (SELECT unnest(range(min(slot), max(slot) + 1)) AS slot FROM c)
+b AS (SELECT unnest(range(min(slot), max(slot) + 1)) AS slot FROM c UNION ALL SELECT NULL FROM c WHERE slot IS NULL)
 SELECT b.slot * 86400 AS window_start, coalesce(c.n, 0) AS n,
        'received ' || CAST(coalesce(c.n, 0) AS VARCHAR) || ' events' AS message
-FROM b LEFT JOIN c USING (slot)""",
+FROM b LEFT JOIN c ON b.slot IS NOT DISTINCT FROM c.slot""",
     "agent_keywords": f"WITH {_KW} SELECT doc_id, keyword FROM kw",
     "agent_keyword_freq": f"WITH {_KW} SELECT keyword, count(*) AS freq FROM kw GROUP BY keyword",
     "agent_distinct_keywords": f"WITH {_KW} SELECT DISTINCT doc_id, keyword FROM kw",
@@ -132,11 +133,14 @@ r AS (SELECT p.doc_id, p.keyword, f.freq,
              row_number() OVER (PARTITION BY p.doc_id ORDER BY f.freq DESC, p.keyword ASC) AS rank
       FROM p JOIN f USING (keyword))
 SELECT doc_id, keyword, freq, rank FROM r WHERE rank <= 50""",
-    "agents_of_ip": "SELECT source, text FROM documents ORDER BY source, text",
+    "agents_of_ip": "SELECT source, text FROM documents WHERE source = 'src1' ORDER BY source, text",
     # Streams are checked against the batch query they must equal.
     "stream_hits_kafka": _W3D,
     "stream_hits_socket": _W5D_MIN5,
-    "stream_snapshot_kafka": _snapshot("key"),
+    "stream_snapshot_kafka": _snapshot("key", 60_000),
+    # One file of the table per batch: the given tables are one file.
+    "stream_batch_counts": "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n, "
+                           "'received ' || CAST(count(*) AS VARCHAR) || ' events' AS message FROM events",
     "late_data_dropped": _W3D,
 }
 
@@ -144,3 +148,4 @@ SELECT doc_id, keyword, freq, rank FROM r WHERE rank <= 50""",
 ORACLE["udf_predicate"] = ORACLE["regex_full_match"]
 ORACLE["udf_partition_resource"] = ORACLE["regex_full_match"]
 ORACLE["udaf_concat"] = ORACLE["acc_concat"]
+ORACLE["udaf_span"] = "SELECT event_type, max(event_id) - min(event_id) AS span FROM events GROUP BY event_type"

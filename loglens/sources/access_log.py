@@ -25,8 +25,12 @@ def ip_of_user(user_id) -> Column:
 
 def access_log_lines(spark: SparkSession, data_dir: str) -> DataFrame:
     """``value string`` access-log lines, one per event."""
-    ev = read_table(spark, data_dir, "events", "event_id", "user_id", "event_type", "ts",
-                    spread_by="event_id")
-    return ev.select(access_line(ip_of_user("user_id"),
-                                 F.concat(F.lit("/"), F.col("event_type")),
-                                 F.col("ts")).alias("value"))
+    ev = read_table(spark, data_dir, "events", "event_id", "user_id", "event_type", "ts")
+    return lines_of_events(ev)
+
+
+def lines_of_events(events: DataFrame) -> DataFrame:
+    """``value string`` access-log lines of a table or stream of events."""
+    return events.select(access_line(ip_of_user("user_id"),
+                                     F.concat(F.lit("/"), F.col("event_type")),
+                                     F.col("ts")).alias("value"))

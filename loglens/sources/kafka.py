@@ -7,34 +7,67 @@ when the query starts.  The option mapping is pure Python and tested alone.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-# Consumer / producer keys with a dedicated option in Spark's
-# Kafka source and sink, and the keys Spark refuses (it casts instead).
-_SOURCE_RENAMES = {"auto.offset.reset": "startingOffsets"}
-_REFUSED_SUFFIXES = (".deserializer", ".serializer")
+# Consumer / producer keys that Spark's Kafka source and sink set
+# themselves (dropped here), and those that would change records (refused).
+_DROPPED = ("key.deserializer", "value.deserializer", "key.serializer", "value.serializer", "enable.auto.commit")
+_REFUSED = ("interceptor.classes",)
+_OFFSETS = ("earliest", "latest")
+_ESCAPES = {"t": "\t", "n": "\n", "r": "\r", "f": "\f"}
+
+
+def _logical_lines(text: str):
+    """Lines without comments and blank ones, joined where one ends in an odd number of backslashes."""
+    kept = ""
+    for raw in text.splitlines():
+        line = raw.lstrip(" \t\f")
+        if not kept and (not line or line[0] in "#!"):
+            continue
+        ends = len(line) - len(line.rstrip("\\"))
+        if ends % 2:
+            kept += line[:-1]
+            continue
+        yield kept + line
+        kept = ""
+    if kept:
+        yield kept
+
+
+def _unescape(text: str) -> str:
+    def one(m: re.Match) -> str:
+        return chr(int(m[1], 16)) if m[1] else _ESCAPES.get(m[2], m[2])
+    return re.sub(r"\\(?:u([0-9a-fA-F]{4})|(.))", one, text)
 
 
 def load_properties(path: str) -> dict[str, str]:
-    """Parse a ``key=value`` property file; a missing file gives ``{}``."""
-    props: dict[str, str] = {}
+    """Read a Java property file; a missing file gives ``{}``.
+
+    A key ends at the first ``=``, ``:`` or white space that is not escaped;
+    a backslash at a line's end continues it; later keys win.
+    """
     try:
-        with open(path, encoding="utf-8") as fh:
-            lines = fh.read().splitlines()
+        with open(path, encoding="latin-1") as fh:
+            text = fh.read()
     except FileNotFoundError:
-        return props
-    for raw in lines:
-        line = raw.strip()
-        if not line or line[0] in "#!":
-            continue
-        for sep in ("=", ":"):
-            if sep in line:
-                key, value = line.split(sep, 1)
-                props[key.strip()] = value.strip()
-                break
+        return {}
+    props: dict[str, str] = {}
+    for line in _logical_lines(text):
+        m = re.match(r"((?:\\.|[^\\=: \t\f])*)[ \t\f]*[=:]?[ \t\f]*(.*)", line, re.S)
+        props[_unescape(m[1])] = _unescape(m[2])
     return props
 
 
+def _plain(props: dict[str, str]) -> dict[str, str]:
+    """Client keys with their Spark prefix, without those that Spark sets; raises for those it cannot honour."""
+    for key in _REFUSED:
+        if key in props:
+            raise ValueError(f"Spark does not accept the Kafka property {key!r}")
+    return {f"kafka.{k}": v for k, v in props.items() if k not in (*_DROPPED, "topic", "topics", "auto.offset.reset")}
+
+
 def _topics(value: str) -> list[str]:
     return [t.strip() for t in value.split(",") if t.strip()]
 
@@ -43,41 +76,30 @@ def kafka_source_options(props: dict[str, str]) -> dict[str, str]:
     """Map consumer properties to ``readStream.format("kafka")`` options.
 
     ``topics`` (or ``topic``) becomes ``subscribe``; ``auto.offset.reset``
-    becomes ``startingOffsets``; de/serializer classes are dropped; every
-    other key is passed to the consumer with the ``kafka.`` prefix.
-    Raises when no topic is named, since the stream would read nothing.
+    becomes ``startingOffsets`` and must be ``earliest`` or ``latest``; what
+    Spark sets itself is dropped; every other key is passed to the consumer
+    with the ``kafka.`` prefix.  Raises when no topic is named, since the
+    stream would read nothing, and for properties that Spark does not accept.
     """
-    opts: dict[str, str] = {}
-    topics: list[str] = []
-    for key, value in props.items():
-        if key in ("topics", "topic"):
-            topics += _topics(value)
-        elif key.endswith(_REFUSED_SUFFIXES):
-            continue
-        elif key in _SOURCE_RENAMES:
-            opts[_SOURCE_RENAMES[key]] = value
-        else:
-            opts[f"kafka.{key}"] = value
+    topics = [t for key in ("topics", "topic") for t in _topics(props.get(key, ""))]
     if not topics:
         raise ValueError("no Kafka topic given (property 'topics')")
-    opts["subscribe"] = ",".join(topics)
+    opts = {**_plain(props), "subscribe": ",".join(topics)}
+    reset = props.get("auto.offset.reset")
+    if reset is not None:
+        if reset not in _OFFSETS:
+            raise ValueError(f"auto.offset.reset must be one of {_OFFSETS}, not {reset!r}")
+        opts["startingOffsets"] = reset
     return opts
 
 
 def kafka_sink_options(props: dict[str, str], topic: str | None = None) -> dict[str, str]:
     """Map producer properties to ``write.format("kafka")`` options."""
-    opts: dict[str, str] = {}
-    for key, value in props.items():
-        if key in ("topic", "topics"):
-            topic = topic or _topics(value)[0]
-        elif key.endswith(_REFUSED_SUFFIXES):
-            continue
-        else:
-            opts[f"kafka.{key}"] = value
+    named = [t for key in ("topic", "topics") for t in _topics(props.get(key, ""))]
+    topic = topic or (named[0] if named else None)
     if not topic:
         raise ValueError("no Kafka topic given (property 'topic')")
-    opts["topic"] = topic
-    return opts
+    return {**_plain(props), "topic": topic}
 
 
 def read_kafka_stream(spark: SparkSession, props: dict[str, str]) -> DataFrame:

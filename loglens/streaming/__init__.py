@@ -1,12 +1,11 @@
 """Structured Streaming jobs and idempotent ``foreachBatch`` sinks."""
 
 from loglens.streaming.jobs import (
-    text_stream, socket_stream, to_console, windowed_hits, run_available, stage_time_slices,
-    replay_hits, replay_leaderboard, replay_batch_counts,
+    text_stream, socket_stream, event_stream, to_console, windowed_hits, run_available,
 )
 from loglens.streaming.sinks import (
     window_upsert_sink, read_window_upserts, leaderboard_sink, read_latest_snapshot,
-    batch_count_sink, read_batch_counts,
+    batch_count_sink, read_batch_counts, print_values,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

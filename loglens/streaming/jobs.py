@@ -8,20 +8,13 @@ on the sink's output (a static table).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from contextlib import contextmanager
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loglens.operators.access_log import parse_access_log
 from loglens.operators.windows import window_aggregate
-from loglens.session import staging_dir
-from loglens.streaming.sinks import (
-    batch_count_sink, leaderboard_sink, read_batch_counts, read_latest_snapshot,
-    read_window_upserts, window_upsert_sink,
-)
 
 
 def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -39,7 +32,7 @@ def socket_stream(spark: SparkSession, host: str, port: int) -> DataFrame:
 
 def windowed_hits(lines: DataFrame, length: str, slide: str, watermark: str | None = "60 seconds",
                   time: str = "event") -> DataFrame:
-    """Streaming ``window, ip, hits, last_ts`` aggregate of access-log lines.
+    """Streaming ``window, ip, hits`` and last-seen aggregate of access-log lines.
 
     Sinks flatten it with :func:`loglens.operators.project_windows`.
 
@@ -66,17 +59,6 @@ def _session_conf(spark: SparkSession, settings: dict[str, str]):
             spark.conf.set(key, value)
 
 
-def default_state_partitions(spark: SparkSession) -> int:
-    """State partitions for a stateful stream: one per core of the cluster.
-
-    Every micro-batch runs one task per state partition whatever the batch
-    size, so the session's shuffle setting (sized for the largest batch
-    shuffle, 200 by default) would make small batches slow; the count is
-    fixed in the checkpoint at the first run.
-    """
-    return spark.sparkContext.defaultParallelism
-
-
 # Fixed value: Spark's built-in state store keeping state in RocksDB on local
 # disk (snapshots go to the checkpoint), instead of in the executor heap.
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -84,23 +66,23 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
                   output_mode: str = "update", timeout_s: float | None = None,
-                  state_partitions: int | None = None, state_store: str | None = None) -> None:
+                  state_partitions: int | None = None, state_store: str = "rocksdb") -> None:
     """Process everything available now and stop; rerun to pick up new input.
 
     Reusing ``checkpoint`` resumes from the committed offsets and state.
-    ``state_partitions`` applies when the checkpoint is new; a restart
-    keeps the number recorded in it.  ``state_store="rocksdb"`` keeps the
-    window state off-heap, the choice when it outgrows executor memory
-    (millions of clients times open windows); it must stay the same for
-    the life of a checkpoint.
+    ``state_partitions`` (default: the session's shuffle partitions) is
+    recorded in a new checkpoint and kept for its life, so size it for the
+    state the stream will hold, not for the cluster it starts on.
+    ``state_store`` is ``"rocksdb"`` (state on local disk, snapshots in the
+    checkpoint) or ``"memory"`` (the executor heap, for small state).
     """
     settings = {}
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     if state_store == "rocksdb":
         settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
-    elif state_store is not None:
-        raise ValueError(f"state_store must be None or 'rocksdb', not {state_store!r}")
+    elif state_store != "memory":
+        raise ValueError(f"state_store must be 'rocksdb' or 'memory', not {state_store!r}")
     with _session_conf(stream.sparkSession, settings):
         q = (stream.writeStream.foreachBatch(sink).outputMode(output_mode)
                    .option("checkpointLocation", checkpoint)
@@ -129,97 +111,9 @@ def to_console(stream: DataFrame, num_rows: int = 10, processing_time: str | Non
     return writer.trigger(availableNow=True).start()
 
 
-def _slice_bounds(lo: str, hi: str, n_slices: int) -> list[str] | None:
-    """``n_slices - 1`` inner boundaries between two log times, as log text."""
-    fmt = "%Y_%m_%d__%H_%M_%S_%f"
-    try:
-        t0 = datetime.strptime(lo + "000", fmt)
-        t1 = datetime.strptime(hi + "000", fmt)
-    except ValueError:
-        return None
-    step = (t1 - t0) / n_slices
-    return [(t0 + step * i).strftime(fmt)[:-3] for i in range(1, n_slices)]
-
-
-def stage_time_slices(lines: DataFrame, n_slices: int, root: str) -> Iterator[str]:
-    """Write access-log ``lines`` as ``n_slices`` text folders in event-time order.
-
-    A generator: each slice is one parallel write job and is written only
-    when the caller asks for the next one, so a stream run in between sees
-    the slices arrive in time order, as a log shipper delivers them.
-    The time text is fixed width and zero padded, so slices are cut with
-    string comparisons on it (cheap, and safe to push into the scan); only
-    the two bounds are parsed, on the driver.  Every line lands in exactly
-    one slice; lines without a time go to the first.
-    """
-    seen = F.split_part(F.col("value"), F.lit(" "), F.lit(3))
-    valid = seen.rlike(r"^\d{4}_\d{2}_\d{2}__\d{2}_\d{2}_\d{2}_\d{3}$")
-    bounds = lines.agg(F.min(F.when(valid, seen)).alias("lo"),
-                       F.max(F.when(valid, seen)).alias("hi")).first()
-    cuts = _slice_bounds(bounds["lo"], bounds["hi"], n_slices) if bounds["lo"] else None
-    if cuts is None:
-        cuts = []
-    edges = [None] + cuts + [None]
-    for i in range(len(edges) - 1):
-        cond = F.lit(True)
-        if edges[i] is not None:
-            cond = cond & (seen >= F.lit(edges[i]))
-        if edges[i + 1] is not None:
-            cond = cond & (seen < F.lit(edges[i + 1]))
-        if i == 0:
-            cond = cond | seen.isNull()
-        folder = f"{root}/slice-{i:04d}"
-        lines.where(cond).write.mode("errorifexists").text(folder)
-        yield folder
-
-
-def replay_hits(spark: SparkSession, lines: DataFrame, length: str, slide: str,
-                n_slices: int = 3, watermark: str = "60 seconds", min_hits: int | None = None,
-                late: DataFrame | None = None, state_store: str | None = None) -> DataFrame:
-    """Replay a table of log lines as a stream, slice by slice, with restarts.
-
-    Every slice is picked up by a fresh ``availableNow`` run on the same
-    checkpoint (a restart), so the result also checks recovery.  ``late``
-    lines, if given, are delivered after everything else.  Returns the
-    upserted windows read back as a static table.
-    """
-    root = staging_dir(spark, "hits-stream")
-    incoming, out, ckpt = f"{root}/incoming", f"{root}/out", f"{root}/checkpoint"
-    stream = windowed_hits(text_stream(spark, f"{incoming}/*/*.txt"), length, slide, watermark)
-    sink = window_upsert_sink(out, min_hits)
-    parts = default_state_partitions(spark)
-    for _ in stage_time_slices(lines, n_slices, incoming):
-        run_available(stream, sink, ckpt, state_partitions=parts, state_store=state_store)
-    if late is not None:
-        late.select("value").write.mode("errorifexists").text(f"{incoming}/slice-late")
-        run_available(stream, sink, ckpt, state_partitions=parts, state_store=state_store)
-    return read_window_upserts(spark, out)
-
-
-def replay_leaderboard(spark: SparkSession, lines: DataFrame, length: str, slide: str,
-                       n: int = 50, by: str = "hits", n_slices: int = 3,
-                       watermark: str = "60 seconds") -> DataFrame:
-    """Replay log lines as a stream publishing a top-``n`` snapshot per batch.
-
-    Returns the newest snapshot (``window_end, message``) once all slices
-    are processed.
-    """
-    root = staging_dir(spark, "board-stream")
-    incoming, ckpt = f"{root}/incoming", f"{root}/checkpoint"
-    stream = windowed_hits(text_stream(spark, f"{incoming}/*/*.txt"), length, slide, watermark)
-    sink = leaderboard_sink(f"{root}/out", f"{root}/snapshots", n, by)
-    parts = default_state_partitions(spark)
-    for _ in stage_time_slices(lines, n_slices, incoming):
-        run_available(stream, sink, ckpt, state_partitions=parts)
-    return read_latest_snapshot(spark, f"{root}/snapshots")
-
-
-def replay_batch_counts(spark: SparkSession, lines: DataFrame, n_slices: int = 3) -> DataFrame:
-    """Records per micro-batch of a replayed table: ``batch_id, n, message``."""
-    root = staging_dir(spark, "count-stream")
-    incoming, out, ckpt = f"{root}/incoming", f"{root}/out", f"{root}/checkpoint"
-    stream = text_stream(spark, f"{incoming}/*/*.txt")
-    sink = batch_count_sink(out)
-    for _ in stage_time_slices(lines, n_slices, incoming):
-        run_available(stream, sink, ckpt, output_mode="append")
-    return read_batch_counts(spark, out)
+def event_stream(spark: SparkSession, data_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """The ``events`` table as a stream, read where it is, a bounded number of files per batch."""
+    path = f"{data_dir.rstrip('/')}/events.parquet"
+    # As a pattern the path may be one file as well as a folder of files.
+    return (spark.readStream.schema(spark.read.parquet(path).schema)
+                 .option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(f"{path[:-1]}[t]"))

@@ -45,66 +45,54 @@ def window_upsert_sink(out_dir: str, min_hits: int | None = None
     return sink
 
 
-def read_window_upserts(spark: SparkSession, out_dir: str,
-                        windows: DataFrame | None = None) -> DataFrame:
+def read_window_upserts(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current value of every ``(window_start, ip)``: the row of its latest batch.
 
-    ``windows`` (a ``window_start`` column) restricts the read to those
-    windows: their range goes into the parquet scan as a pushed filter, so
-    row-group statistics skip files of batches that only hold older windows,
-    and a semi join keeps exactly the given ones.
     ``max_by`` is an aggregate with a partial step, so a key updated in many
     batches is reduced map-side.
     """
     rows = spark.read.schema(_UPSERT_SCHEMA).parquet(out_dir)
-    if windows is not None:
-        wanted = windows.select("window_start").distinct()
-        lo, hi = wanted.agg(F.min("window_start"), F.max("window_start")).first()
-        if lo is None:
-            return spark.createDataFrame([], "window_start bigint, window_end bigint, ip string, "
-                                             "hits bigint, last_seen string")
-        rows = (rows.where(F.col("window_start").between(lo, hi))
-                    .join(wanted, "window_start", "left_semi"))
     latest = F.max_by(F.struct("hits", "last_seen"), "batch_id").alias("v")
     return (rows.groupBy("window_start", "window_end", "ip").agg(latest)
                 .select("window_start", "window_end", "ip",
                         F.col("v.hits").alias("hits"), F.col("v.last_seen").alias("last_seen")))
 
 
-def leaderboard_sink(out_dir: str, snap_dir: str, n: int = 50, by: str = "hits",
+def leaderboard_sink(snap_dir: str, n: int = 50, by: str = "hits",
                      min_hits: int | None = None) -> Callable[[DataFrame, int], None]:
-    """Upsert the batch, re-rank the windows it touched, store a JSON snapshot.
+    """Rank the windows that a batch closed and store the newest as a JSON snapshot.
 
-    What the dashboard job did per micro-batch: top ``n`` per window (by
-    ``"hits"`` or by ``"key"``), then the newest window as one push message.
-    The message is written per ``batch_id`` (idempotent); the newest one is
-    :func:`read_latest_snapshot`.  Only the windows this batch changed are
-    read back and ranked, so the work per batch does not grow with history.
+    For append mode: a window arrives once, whole, when the watermark passes
+    its end, so a message always covers a full window and nothing is read
+    back.  The message is written per ``batch_id`` (idempotent); a batch that
+    closes no window writes nothing.  :func:`read_latest_snapshot` picks the
+    newest window.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         rows = _updated_rows(batch, min_hits).persist()
         try:
-            _write_upserts(rows, out_dir, batch_id)
-            # An empty batch gives an empty board and an empty snapshot file,
-            # which read_latest_snapshot never picks (it has no rows).
-            board = leaderboard(read_window_upserts(spark, out_dir, rows), n, by).persist()
-            try:
-                (snapshot_message(newest_window(board))
+            if not rows.isEmpty():
+                (snapshot_message(newest_window(leaderboard(rows, n, by)))
                     .write.mode("overwrite").parquet(_batch_path(snap_dir, batch_id)))
-            finally:
-                board.unpersist()
         finally:
             rows.unpersist()
     return sink
 
 
 def read_latest_snapshot(spark: SparkSession, snap_dir: str) -> DataFrame:
-    """``window_end, message`` of the last batch that produced a snapshot."""
-    snaps = spark.read.schema("window_end bigint, message string, batch_id bigint").parquet(snap_dir)
-    last = snaps.agg(F.max("batch_id").alias("__last"))
-    return (snaps.join(F.broadcast(last), snaps["batch_id"] == last["__last"])
-                 .select("window_end", "message"))
+    """``window_end, message`` of the newest window published, from its last batch."""
+    schema = "window_end bigint, message string, batch_id bigint"
+    snaps = spark.read.schema(schema).option("ignoreMissingFiles", "true").parquet(snap_dir)
+    newest = F.max(F.struct("window_end", "batch_id", "message")).alias("s")
+    return snaps.agg(newest).where("s is not null").select("s.window_end", "s.message")
+
+
+def print_values(column: str = "value") -> Callable[[DataFrame, int], None]:
+    """Sink printing every value of a batch, one line each, with one partition on the driver at a time."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        for row in batch.select(column).toLocalIterator():
+            print(row[0])
+    return sink
 
 
 def batch_count_sink(out_dir: str) -> Callable[[DataFrame, int], None]:

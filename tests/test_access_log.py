@@ -5,6 +5,7 @@ import pytest
 from loglens.operators import (
     access_log_rejects, hits_by_ip, hits_by_window, leaderboard, min_hits, parse_access_log,
 )
+from loglens.functions import format_seen
 from loglens.sources import inline
 
 BASE = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -22,7 +23,7 @@ def test_parse_fields(spark):
     df = _log(spark, [("1.2.3.4", BASE + dt.timedelta(milliseconds=7))])
     row = parse_access_log(df).first()
     assert (row.ip, row.path, row.seen) == ("1.2.3.4", "/a", "2024_01_01__00_00_00_007")
-    assert row.seen_ts == dt.datetime(2024, 1, 1, 0, 0, 0, 7000)
+    assert row.ets.timestamp() == dt.datetime(2024, 1, 1, 0, 0, 0, 7000, tzinfo=dt.timezone.utc).timestamp()
 
 
 def test_strict_mode_fails_on_short_line(spark):
@@ -57,15 +58,19 @@ def test_window_edges_are_half_open(spark):
 
 
 def test_windows_do_not_depend_on_session_time_zone(spark):
-    rows = [("a", BASE + dt.timedelta(hours=23, minutes=30))]
+    # one of them in an hour that New York's clocks skip
+    rows = [("a", BASE + dt.timedelta(hours=23, minutes=30)), ("b", dt.datetime(2024, 3, 10, 2, 30))]
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         results = []
-        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
             spark.conf.set("spark.sql.session.timeZone", tz)
             w = hits_by_window(parse_access_log(_log(spark, rows)), "1 day", "1 day")
             results.append(sorted(tuple(r) for r in w.collect()))
+            ntz = inline(spark, [(dt.datetime(2024, 3, 10, 2, 30),)], "t timestamp_ntz")
+            assert ntz.select(format_seen("t")).first()[0] == "2024_03_10__02_30_00_000"
         assert results[0] == results[1] == results[2]
+        assert "2024_03_10__02_30_00_000" in {r[4] for r in results[1]}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
@@ -92,3 +97,15 @@ def test_top50_by_key_and_by_hits_differ(spark):
     ordered = sorted(by_hits, key=lambda r: r["rank"])
     assert [(r.hits, r.ip) for r in ordered] == sorted(((r.hits, r.ip) for r in by_hits), reverse=True)
     assert sorted(r["rank"] for r in by_key) == list(range(1, 51))
+
+
+def test_last_seen_is_the_text_as_read(spark):
+    df = inline(spark, [("a /x 2024_01_01__00_00_01_5",), ("a /x 2024_01_01__00_00_01_45",), ("b /x 2024_01_01__00_00_01_500",)], "value string")
+    got = {r.ip: (r.hits, r.last_seen) for r in hits_by_ip(parse_access_log(df)).collect()}
+    assert got == {"a": (2, "2024_01_01__00_00_01_5"), "b": (1, "2024_01_01__00_00_01_500")}
+
+
+def test_arrival_time_takes_any_third_token(spark):
+    df = inline(spark, [("a /x yesterday",), ("a /x 12",), ("a /x",)], "value string")
+    got = [tuple(r) for r in hits_by_ip(parse_access_log(df, time="arrival")).collect()]
+    assert got == [("a", 2, "yesterday")]

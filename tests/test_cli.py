@@ -38,7 +38,7 @@ def test_filters_sum_concat(spark):
 def test_stream_hits_on_files(spark):
     folder = stage_text(access_log_lines(spark, SF_SMALL), name="cli-stream")
     root = staging_dir(spark, "cli-run")
-    args = parser().parse_args(["stream-hits", "--path", folder, "--available-now",
+    args = parser().parse_args(["stream-hits", "--path", folder, "--available-now", "--state-partitions", "4",
                                 "--length", "3 days", "--slide", "1 day", "--checkpoint", root])
     stream_job(spark, args)
     from loglens.streaming import read_latest_snapshot

@@ -1,6 +1,5 @@
 """Golden results of the inline programs (FIXTURES §1)."""
 
-import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,9 +18,9 @@ def test_long_accumulator_sum(spark):
 
 def test_observed_sum_is_side_result_of_an_action(spark):
     ints = inline(spark, [(v,) for v in [1, 2, 3, 4, 5]], "v int")
-    observed, obs = observe_sum(ints, "v", "myAcc")
+    observed, obs = observe_sum(ints, "v", "adds_up")
     assert observed.count() == 5
-    assert obs.get["myAcc"] == 15
+    assert obs.get["adds_up"] == 15
 
 
 def test_string_accumulator_in_defined_order(spark):
@@ -66,46 +65,58 @@ def test_regex_predicate_three_ways(spark):
     assert sorted(r.v for r in df.where(py("v")).collect()) == expected
 
 
-class _NotSerializable:
-    def __init__(self):
-        self.lock = threading.Lock()
+class _DigitFile:
+    """Keeps a binary file open, which cannot be pickled."""
 
+    def __init__(self, path):
+        self.handle = open(path, "rb")
+        self.digits = set(self.handle.read().decode())
 
-class _Matcher:
-    def __init__(self, regex):
-        import re
-        self.regex = re.compile(regex)
-        self.something = _NotSerializable()
+    def all_in(self, text):
+        return text != "" and set(text) <= self.digits
 
-    def is_match(self, s):
-        return self.regex.fullmatch(s) is not None
 
+@pytest.fixture
+def digit_path(tmp_path):
+    p = tmp_path / "digits"
+    p.write_text("0123456789")
+    return str(p)
 
-def test_closure_over_unserializable_object_fails_before_running(spark):
-    lock = threading.Lock()
+
+def test_closure_over_open_file_fails_before_running(spark, digit_path):
+    handle = open(digit_path, "rb")
     with pytest.raises(TypeError, match="cannot be serialized"):
-        predicate_udf(lambda s: lock is not None and s.isdigit())
+        predicate_udf(lambda s: s in handle.read())
+    handle.close()
 
 
-def test_unserializable_attribute_fails_before_running(spark):
-    matcher = _Matcher(r"\d+")
+def test_object_with_open_file_fails_before_running(spark, digit_path):
+    held = _DigitFile(digit_path)
     with pytest.raises(TypeError, match="cannot be serialized"):
-        predicate_udf(matcher.is_match)
+        predicate_udf(held.all_in)
     with pytest.raises(TypeError):
-        check_serializable(matcher)
+        check_serializable(held)
 
 
-def test_resource_built_per_partition(spark):
+def test_resource_built_per_partition(spark, digit_path):
     df = inline(spark, [(v,) for v in MIXED], "v string").repartition(3)
+    kept = filter_with_partition_resource(df, "v", lambda: _DigitFile(digit_path), lambda r, s: s.map(r.all_in))
+    assert sorted(r.v for r in kept.collect()) == ["123", "4", "5"]
 
-    def make():
-        return _Matcher(r"\d+")
 
-    def test(m, s):
-        return s.map(m.is_match)
+def test_vectorised_predicate(spark):
+    from loglens.operators import series_predicate_udf
+    df = inline(spark, [(v,) for v in MIXED], "v string")
+    assert sorted(r.v for r in df.where(series_predicate_udf(lambda s: s.str.isdigit())("v")).collect()) == ["123", "4", "5"]
 
-    kept = filter_with_partition_resource(df, "v", make, test)
-    assert sorted(r.v for r in kept.collect()) == ["123", "4", "5"]
+
+def test_user_aggregate_merges_partial_states(spark):
+    from loglens.operators import span_udaf, user_aggregate
+    df = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id % 7 as string)) as g").repartition(5)
+    got = {r.g: r.n for r in user_aggregate(df, "g", ["id"], "n bigint", lambda: 0, lambda s, v: s + 1, lambda a, b: a + b, int).collect()}
+    assert got == {r.g: r["count"] for r in df.groupBy("g").count().collect()}
+    edge = inline(spark, [(None, 1), (None, 5), ("a", None)], "g string, v bigint")
+    assert {r.g: r.span for r in span_udaf(edge, "v", "g").collect()} == {None: 4, "a": None}
 
 
 def test_quiet_slots_report_zero(spark):
@@ -120,12 +131,17 @@ def test_quiet_slots_report_zero(spark):
                    (day0 + 2 * 86400, 1, "received 1 events")]
 
 
-def test_key_frame_broadcast_only_within_bound(spark):
-    words = inline(spark, [(w,) for w in ["one", "two", "three", "four"]], "w string")
+def test_rows_without_a_time_are_counted(spark):
+    import datetime as dt
+    from loglens.operators import tumbling_counts
+    df = inline(spark, [(dt.datetime(2024, 1, 1),), (None,), (None,)], "ts timestamp_ntz")
+    got = {tuple(r) for r in tumbling_counts(df, "ts", 86400).collect()}
+    assert got == {(1704067200, 1, "received 1 events"), (None, 2, "received 2 events")}
+    assert tumbling_counts(df.where("false"), "ts", 86400).count() == 0
+
+
+def test_set_filter_takes_any_number_of_keys(spark):
+    words = inline(spark, [(w,) for w in ["one", "two", "three", "four", "k199999"]], "w string")
     keys = inline(spark, [("one",), ("two",), ("three",)], "k string")
-    small = member_filter(words, "w", keys)
-    big = member_filter(words, "w", keys, max_broadcast_keys=2)
-    assert sorted(r.w for r in small.collect()) == sorted(r.w for r in big.collect()) == \
-        ["one", "three", "two"]
-    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
+    assert sorted(r.w for r in member_filter(words, "w", keys).collect()) == ["one", "three", "two"]
+    assert [r.w for r in member_filter(words, "w", [f"k{i}" for i in range(200_000)]).collect()] == ["k199999"]

@@ -6,8 +6,7 @@ import __spark_entry__ as entry
 from conftest import SF_ORACLE
 from oracle_compare import compare, duck_connection
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from loglens.plans import ORACLE, QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -15,9 +14,8 @@ def duck():
     return duck_connection(SF_ORACLE)
 
 
-def test_every_query_has_an_oracle_or_is_a_stream():
-    missing = set(QUERIES) - set(ORACLE)
-    assert missing <= {"stream_batch_counts"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
