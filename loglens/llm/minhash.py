@@ -88,20 +88,44 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int, id_col: str,
     return own.mapInArrow(sign, f"doc_id {kind}, n_shingles bigint, digest binary, bands array<bigint>")
 
 
+def _bitmap(ids: DataFrame, count: int) -> np.ndarray:
+    """Set bits for a hash of every id: 16 bits an id, 2 ** 28 bits (32 MB) at most.
+
+    Full or not, it only spares work: it passes every id of ``ids``.
+    """
+    bits = 1 << max(10, min(28, (16 * count).bit_length()))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    word = ids.select(slot.alias("slot")).groupBy((F.col("slot") / 64).cast("bigint").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("slot", F.lit(64)).cast("int"))).alias("set")).collect()
+    out = np.zeros(bits // 64, np.int64)
+    for r in word:
+        out[r["word"]] = r["set"]
+    return out.view(U)
+
+
 def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(digest, items) for the wanted (doc_id, digest) classes: all their shingles."""
+    """(digest, items) for the wanted (doc_id, digest) classes: all their shingles.
+
+    The texts are read again, and only the sets of ids that a bitmap of the
+    wanted ones lets pass are made and shuffled.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted, wanted.count()))
 
     def cut(batches):
+        bits = shared.value
         for batch in chunks(batches):
-            flat, off = shingles(Words(batch.column("text")), width)
+            at = batch.column("slot").to_numpy().view(U) & U(len(bits) * 64 - 1)
+            rows = np.flatnonzero(bits[at >> U(6)] >> (at & U(63)) & U(1))
+            if not len(rows):
+                continue
+            flat, off = shingles(Words(batch.column("text").take(pa.array(rows))), width)
             raw = memoryview(np.ascontiguousarray(flat)).cast("B") if len(flat) else b""
             digest = [xxhash.xxh3_128_digest(raw[8 * a:8 * b]) if b > a else None for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), lists(flat.view(np.int64), off, pa.int64())], ["digest", "items"])
 
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    some = own.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
-    sets = some.mapInArrow(cut, "digest binary, items array<bigint>")
-    # A document row may be repeated or have a second text under its id: one row per wanted class stays.
+    own = docs.where(F.col(id_col).isNotNull()).select(F.xxhash64(F.col(id_col)).alias("slot"), F.col(text_col).alias("text"))
+    sets = own.mapInArrow(cut, "digest binary, items array<bigint>")
+    # Other texts may pass, and copies: one row per wanted class stays.
     return sets.join(wanted.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
 
 
@@ -221,10 +245,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMIL
     signed = Staged(signatures(docs, width, bands, rows, id_col, text_col), "signatures").df
     classes = (signed.where("doc_id is not null and digest is not null")
                .groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
-    members = Staged(classes.select("digest", "doc_id", F.explode("bands").alias("band")), "band-members")
-    crowded = members.df.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    buckets = Staged(members.df.join(crowded, "band"), "buckets")
-    members.drop()
+    classes = Staged(classes, "classes")
+    members = classes.df.select("digest", "doc_id", F.explode("bands").alias("band"))
+    # Buckets of the same members (by count, sum and xor of their hashes) say the same: one of them stays.
+    h = F.xxhash64("digest")
+    crowded = members.groupBy("band").agg(F.count("*").alias("n"), F.sum(h.cast("decimal(20,0)")).alias("s"), F.bit_xor(h).alias("x")).where("n > 1")
+    crowded = crowded.groupBy("n", "s", "x").agg(F.min("band").alias("band")).select("band")
+    buckets = Staged(members.join(crowded, "band"), "buckets")
+    classes.drop()
     wanted = buckets.df.select("doc_id", "digest").distinct()
     sets = Staged(_whole_sets(docs, wanted, width, id_col, text_col), "shingle-sets")
     of = Staged(wanted.select(F.col("digest").alias("node"), F.col("digest").alias("root")), "roots")
@@ -250,6 +278,21 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMIL
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One document of each group, with all its columns: that of the smallest id.
+
+    Rows with a null id stay; of repeated rows (same id and text) one stays.
+    """
+    found = near_duplicates(docs, width, similarity, id_col=id_col, text_col=text_col, **options).where("doc_id is not null")
+    # One small table of ids, so that texts move only if there are very many of them.
+    ids = Staged(found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1"), "duplicate-ids").df
+    ids = ids.select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"))
+    same = docs[id_col] == F.col("__id")
+    alone = docs.join(ids, same, "left_anti")
+    again = docs.join(ids.where("__kept"), same, "left_semi").dropDuplicates([id_col, text_col])
+    return alone.unionByName(again)
+
+
 def q_op1(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=4)
 
