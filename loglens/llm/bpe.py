@@ -36,9 +36,11 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 LONG = 256            # bytes of a match
 BUCKETS = (4, 8, 12, 16, 24, 32, 64, 128, LONG)
 CELLS = 1 << 18       # of a matrix
+BATCH_BYTES = 2 << 20  # text bytes encoded at a time
 KNOWN = 500_000       # pieces whose ids a task remembers; then it starts anew
 NONE = np.int32(2**31 - 1)
 
+MARKS = frozenset(",.;:!?")
 OTHER_SPACE = re.compile(r"[^\S \n]")
 BEFORE_WORD = re.compile(r"(?= [^ \n])")
 
@@ -254,9 +256,11 @@ def by_merging(merger: Merger, pattern: str):
     split = regex.compile(pattern).findall
 
     def learn(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        # A piece of letters, or of a space and letters, is one match as it is.
-        plain = pattern == public_tokenizers.PATTERN
-        parts = [[p] if plain and (p[1:] if p[:1] == " " else p).isalpha() else split(p) for p in new]
+        if pattern == public_tokenizers.PATTERN:
+            # Letters after a space are one match as they are, and letters and a mark two.
+            parts = [(p,) if p[1:].isalpha() and p[0] == " " else (p[:-1], p[-1]) if p[-1:] in MARKS and p[1:-1].isalpha() and p[0] == " " else split(p) for p in new]
+        else:
+            parts = [split(p) for p in new]
         flat = list(chain.from_iterable(parts))
         slot = {m: k for k, m in enumerate(dict.fromkeys(flat))}
         ids, size = merger.encode([m.encode() for m in slot])
@@ -276,7 +280,7 @@ def encode(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.
 
     def run(batches):
         encoder = Memory(by_merging(Merger(tables.value), pattern))
-        for batch in chunks(batches, text_col):
+        for batch in chunks(batches, text_col, BATCH_BYTES):
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
             ids, off = encoder.encode(texts)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), lists(ids, off, pa.int32())], [*keep, out_col])

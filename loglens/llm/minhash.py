@@ -272,7 +272,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMIL
     for old in (left, sets, buckets):
         old.drop()
     roots = of.df.select(F.col("node").alias("digest"), "root")
-    known = signed.select("doc_id", "n_shingles", "digest").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    known = signed.select("doc_id", "n_shingles", "digest").join(roots, "digest", "left").withColumn("root", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "digest")))
     spans = known.where("doc_id is not null and root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = known.join(spans, "root", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-CHUNK_BYTES = 2 << 20          # text bytes handled at a time
+CHUNK_BYTES = 1 << 20          # text bytes handled at a time
 _P = 0x9E3779B97F4A7C15 | 1    # odd multiplier of the polynomial
 _PINV = pow(_P, -1, 1 << 64)
 

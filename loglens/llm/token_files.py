@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglens.llm.bpe import Memory
+from loglens.llm.bpe import BATCH_BYTES, Memory
 from loglens.llm.tables import Staged, table
 from loglens.llm.text import chunks
 from loglens.session import staging_dir
@@ -201,7 +201,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id:
         memory = Memory(learn, whole if cut else re.compile(""))
         with store.open_output_stream(f"{path}/{name}") as out:
             writer = Writer(out, bits, block)
-            for batch in chunks(batches):
+            for batch in chunks(batches, "text", BATCH_BYTES):
                 ids, off = memory.encode([t or "" for t in batch.column("text").to_pylist()])
                 size = np.diff(off) + 1
                 end = np.cumsum(size)

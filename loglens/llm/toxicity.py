@@ -51,6 +51,7 @@ ROUNDS = 4
 THRESHOLD = 0.3
 MIN_ODDS = 2.0            # log odds of the letter triples of a unit that may stand for a toxic text
 COST = 300.0
+BATCH_BYTES = 2 << 20     # text bytes scored at a time
 KNOWN = 400_000           # units whose scores a task remembers
 CODES = 1 << 15
 
@@ -326,7 +327,7 @@ def with_scores(docs: DataFrame, model: dict, text_col: str = "text", out_col: s
 
     def run(batches):
         scorer = Scorer(shared.value)
-        for batch in chunks(batches, text_col):
+        for batch in chunks(batches, text_col, BATCH_BYTES):
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(scorer.rows(batch.column(text_col)))], [*keep, out_col])
 
     return docs.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keep), f"`{out_col}` double"]))
