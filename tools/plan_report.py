@@ -19,7 +19,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from loglens import build_session  # noqa: E402
-import __spark_entry__ as entry  # noqa: E402
+from loglens.plans import QUERIES  # noqa: E402
 
 PATTERNS = {
     "shuffles": r"^\(\d+\) Exchange$",
@@ -53,7 +53,7 @@ def main() -> None:
     keys = list(PATTERNS)
     print("| query | " + " | ".join(keys) + " |")
     print("| --- |" + " --- |" * len(keys))
-    for name, fn in sorted(entry.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         if name.startswith(("stream_", "late_")):
             continue
         s = summarize(plan_text(fn(spark, data_dir)))
