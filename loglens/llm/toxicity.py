@@ -21,8 +21,8 @@ inserted characters are learned as well.  A text's score is its highest
 unit's, through a logistic calibration.
 
 Training reads ``SAMPLE`` labelled texts per class at most, of ``SAMPLE_CHARS``
-characters at most each, chosen by a hash of their id: that bounds what the
-driver holds.  Scoring reads every whole text.
+characters at most each, chosen by a hash of their id: that bounds the one task
+that fits them.  Scoring reads every whole text.
 
 Nulls and empty texts have no units and get the score of an unknown word, a low
 one.  Labels that are null, and documents without a label, are not learned from;
@@ -33,6 +33,8 @@ a row; other columns have no influence.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -51,7 +53,7 @@ ROUNDS = 4
 THRESHOLD = 0.3
 MIN_ODDS = 2.0            # log odds of the letter triples of a unit that may stand for a toxic text
 COST = 300.0
-BATCH_BYTES = 2 << 20     # text bytes scored at a time
+BATCH_BYTES = 1 << 20     # text bytes scored at a time
 KNOWN = 400_000           # units whose scores a task remembers
 CODES = 1 << 15
 
@@ -159,6 +161,13 @@ def _dense(cells: np.ndarray) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
+def _kernel(cells: np.ndarray, phi: np.ndarray) -> np.ndarray:
+    """Normalized kernel values of windows with the landmarks, whose vectors are the rows of ``phi``."""
+    codes, weights = _subsequences(cells)
+    norm = _norms(codes, weights)
+    return np.einsum("nkm,k->nm", phi.T[codes], weights) / np.where(norm > 0, norm, 1)[:, None]
+
+
 def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float) -> tuple[np.ndarray, float]:
     """A squared-hinge linear machine by Newton steps; y is -1 or 1."""
     x = np.hstack([z, np.ones((len(z), 1))])
@@ -263,7 +272,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
         project = vector[:, good] / np.sqrt(value[good])
         train = np.concatenate([pos, neg])
         shown = np.concatenate([cells[at[train]], _inserted(u.raw, u.start[first][pos], u.end[first][pos])])
-        k = np.concatenate([_dense(shown[i:i + 512]) @ phi.T for i in range(0, len(shown), 512)])
+        k = np.concatenate([_kernel(shown[i:i + 128], phi) for i in range(0, len(shown), 128)])
         target = np.concatenate([np.ones(len(pos)), -np.ones(len(neg)), np.ones(len(shown) - len(train))])
         weight = np.where(target > 0, 0.5 / (target > 0).sum(), 0.5 / max(1, len(neg))) * 100
         w, offset = _svm(k @ project, target, weight, c)
@@ -315,8 +324,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars
     take = [able.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(sample) for k in (0, 1)]
     picked = take[0].unionByName(take[1]).dropDuplicates(["doc_id", "key"])  # 2 * sample rows at most: may be broadcast
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).join(F.broadcast(picked), ["doc_id", "key"])
-    rows = sorted({(r["doc_id"], r["text"], r["toxic"]) for r in texts.dropDuplicates(["doc_id", "key"]).collect()})
-    return fit([r[1] for r in rows], [r[2] for r in rows], totals=(counted.get(0, 0), counted.get(1, 0)))
+    totals = (counted.get(0, 0), counted.get(1, 0))
+
+    def run(batches):
+        rows = sorted({row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic")))})
+        model = fit([r[1] for r in rows], [r[2] for r in rows], totals=totals)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # The sample is bounded: one task fits it, the driver only gets the model.
+    made = texts.select("doc_id", "text", "toxic").dropDuplicates(["doc_id", "text"]).coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else fit([], [])
 
 
 def with_scores(docs: DataFrame, model: dict, text_col: str = "text", out_col: str = "score") -> DataFrame:
