@@ -26,18 +26,19 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglens.llm.tables import table
-from loglens.llm.text import U, chunks, lists, mix
+from loglens.llm.text import U, chunks, kept, lists, mix
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 LONG = 256            # bytes of a match
 BUCKETS = (4, 8, 12, 16, 24, 32, 64, 128, LONG)
 CELLS = 1 << 18       # of a matrix
 BATCH_BYTES = 2 << 20  # text bytes encoded at a time
-KNOWN = 500_000       # pieces whose ids a task remembers; then it starts anew
+KNOWN = 500_000       # pieces whose ids a worker remembers; then it forgets those used once
 NONE = np.int32(2**31 - 1)
 
 MARKS = frozenset(",.;:!?")
@@ -229,13 +230,25 @@ class Memory:
     def _clear(self) -> None:
         self.slot: dict = {}
         self.flat, self.first, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.uses = np.empty(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the pieces that were used again, unless those are too many as well."""
+        again = np.flatnonzero(self.uses > 1)
+        ids = gather(self.flat, self.first, self.size, again)
+        if len(again) > KNOWN // 2 or len(ids) > 4 * KNOWN:
+            return self._clear()
+        names = list(self.slot)
+        self.slot = {names[i]: k for k, i in enumerate(again.tolist())}
+        self.size = self.size[again]
+        self.flat, self.first, self.uses = ids, np.cumsum(self.size) - self.size, np.zeros(len(again), np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of the texts)."""
         parts = [pieces(t, self.whole) for t in texts]
         flat = list(chain.from_iterable(parts))
         if len(self.slot) > KNOWN or len(self.flat) > 8 * KNOWN:
-            self._clear()
+            self._forget()
         at = np.fromiter(map(self.slot.get, flat, repeat(-1)), np.int64, len(flat))
         unknown = np.flatnonzero(at < 0).tolist()
         if unknown:
@@ -245,7 +258,9 @@ class Memory:
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
             self.flat = np.concatenate([self.flat, ids])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
             at[unknown] = [self.slot[flat[i]] for i in unknown]
+        self.uses += np.bincount(at, minlength=len(self.uses))
         ids = gather(self.flat, self.first, self.size, at)
         ends = np.concatenate([[0], np.cumsum(self.size[at])])
         return ids, ends[np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)]
@@ -274,12 +289,14 @@ def by_merging(merger: Merger, pattern: str):
 
 def encode(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """All rows and columns with the text's ids as ``out_col array<int>`` (which replaces a column of that name)."""
-    tables = docs.sparkSession.sparkContext.broadcast(pair_table(load_ranks(path)))
+    ranks = load_ranks(path)
+    tables = docs.sparkSession.sparkContext.broadcast(pair_table(ranks))
+    name = (xxhash.xxh3_128_hexdigest(repr(sorted(ranks.items())).encode()), pattern)
     keep = [c for c in docs.columns if c != out_col]
     types = dict(docs.dtypes)
 
     def run(batches):
-        encoder = Memory(by_merging(Merger(tables.value), pattern))
+        encoder = kept("bpe", name, lambda: Memory(by_merging(Merger(tables.value), pattern)))
         for batch in chunks(batches, text_col, BATCH_BYTES):
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
             ids, off = encoder.encode(texts)

@@ -27,8 +27,8 @@ from loglens.llm.text import SPACED, U, Words, chunks
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
-KNOWN = 1_000_000       # pre-tokens whose counts a task remembers
-BATCH_BYTES = 8 << 20   # text whose new pre-tokens share a trie
+KNOWN = 500_000       # pre-tokens whose counts a task remembers
+BATCH_BYTES = 4 << 20   # text whose new pre-tokens share a trie
 
 
 def load_pieces(path: str = MODEL) -> dict[str, float]:

@@ -29,10 +29,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 
 from loglens.llm.bpe import BATCH_BYTES, Memory
 from loglens.llm.tables import Staged, table
-from loglens.llm.text import chunks
+from loglens.llm.text import chunks, kept
 from loglens.session import staging_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -160,19 +162,55 @@ class Reader:
             yield (doc_id if named else None), flat[:size]
 
 
-def _by_library(json: str):
-    """(learn, whole) for :class:`Memory`: pieces go through the tokenizers library."""
+#: A space, letters whose class no Unicode version changes, and perhaps a mark: one or two pre-tokens for sure.
+PLAIN = re.compile("( [A-Za-zÀ-ÖØ-öø-ɏ]+)([,.;:!?]?)")
+AT_ONCE = 1000  # other pieces per call: what the library returns takes memory
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
+
+
+def _by_library(json: str, cut: bool):
+    """(learn, whole) for :class:`Memory`: the tokenizers library encodes every piece.
+
+    Pieces that are surely one or two pre-tokens go straight to the library's
+    model, each distinct pre-token once; the others through its whole encoding.
+    """
     from tokenizers import Tokenizer
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_str(json)
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    whole = re.compile("|".join(map(re.escape, added))) if added else None
+    model, letters = tokenizer.model, _byte_letters()
+
+    def token_ids(match: str) -> list[int]:
+        return [t.id for t in model.tokenize(match.encode().decode("latin-1").translate(letters))]
 
     def learn(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        ids: list = [None] * len(new)
+        seen: dict[str, list[int]] = {"": []}
+        hard = []
+        for k, piece in enumerate(new):
+            m = PLAIN.fullmatch(piece) if cut and not (whole and whole.search(piece)) else None
+            if m is None:
+                hard.append(k)
+                continue
+            for part in m.groups():
+                if part not in seen:
+                    seen[part] = token_ids(part)
+            ids[k] = seen[m[1]] + seen[m[2]] if m[2] else seen[m[1]]
+        for i in range(0, len(hard), AT_ONCE):
+            some = hard[i:i + AT_ONCE]
+            for k, e in zip(some, tokenizer.encode_batch_fast([new[k] for k in some], add_special_tokens=False)):
+                ids[k] = e.ids
         size = np.array([len(x) for x in ids])
-        return np.fromiter((i for x in ids for i in x), np.int32, int(size.sum())), size
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
 
-    return learn, re.compile("|".join(map(re.escape, added))) if added else None
+    return learn, whole
 
 
 def _cuttable(json: str) -> bool:
@@ -190,6 +228,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id:
         json = file.read()
     vocabulary = docs.sparkSession.sparkContext.broadcast(json)
     cut = _cuttable(json)
+    key = xxhash.xxh3_128_hexdigest(json.encode())
     target = re.sub(r"^(file:)?/+", "file:///", folder)  # a plain path is a file URI
 
     def run(batches):
@@ -197,8 +236,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id:
         store.create_dir(path, recursive=True)
         task = TaskContext.get()
         name = f"ids-{task.partitionId():05d}-{task.taskAttemptId()}.planes"
-        learn, whole = _by_library(vocabulary.value)
-        memory = Memory(learn, whole if cut else re.compile(""))
+        learn, whole = kept("tokenizer", key, lambda: _by_library(vocabulary.value, cut))
+        memory = kept("pieces", key, lambda: Memory(learn, whole if cut else re.compile("")))
         with store.open_output_stream(f"{path}/{name}") as out:
             writer = Writer(out, bits, block)
             for batch in chunks(batches, "text", BATCH_BYTES):
