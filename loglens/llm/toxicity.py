@@ -14,9 +14,8 @@ linear in a unit's subsequence weights, the fitted machine is one weight per
 subsequence, and a unit is scored without looking at landmarks again.  Labels
 belong to whole texts, so learning is by multiple instances: a toxic text is
 represented by its highest-scoring unit (at first: the one with the letter
-triples most typical of toxic texts), which is chosen anew after each fit among
-those whose triples are clearly typical, and a clean text by its three
-highest-scoring ones.  A toxic text without such a unit is not learned from.  Copies of toxic units with
+triples most typical of toxic texts), which is chosen anew after each fit
+whatever its odds, and a clean text by its three highest-scoring ones.  Copies of toxic units with
 inserted characters are learned as well.  A text's score is its highest
 unit's, through a logistic calibration.
 
@@ -51,7 +50,6 @@ SPAN = 6
 WINDOW, STRIDE = 16, 8
 ROUNDS = 4
 THRESHOLD = 0.3
-MIN_ODDS = 2.0            # log odds of the letter triples of a unit that may stand for a toxic text
 COST = 300.0
 BATCH_BYTES = 1 << 20     # text bytes scored at a time
 KNOWN = 400_000           # units whose scores a task remembers
@@ -248,7 +246,6 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
     score = np.maximum.reduceat(np.sort(odds[runs], axis=1)[:, -2:].mean(axis=1), begin)
     best_window = lambda v: np.array([b + int(np.argmax(v[b:b + m])) for b, m in zip(begin.tolist(), many.tolist())])
     window_score = np.sort(odds[runs], axis=1)[:, -2:].mean(axis=1)
-    able = score >= min(MIN_ODDS, score.max())  # what may stand for a toxic text, in all rounds
     model: dict = {}
     for _ in range(rounds):
         order = np.lexsort((-score[punit], prow))
@@ -256,7 +253,6 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds:
         chosen: dict[int, set] = {0: set(), 1: set()}
         for d in range(len(y)):
             own = punit[order[row_begin[d]:row_begin[d + 1]]]
-            own = own[able[own]] if y[d] else own
             if len(own):
                 chosen[int(y[d])].update(own[:1].tolist() if y[d] else own[:3].tolist())
         pos = np.array(sorted(chosen[1] - chosen[0]) or sorted(chosen[1]))

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -99,3 +100,21 @@ def test_kernel_equals_its_definition():
     w = np.random.default_rng(0).normal(size=tx.CODES)
     w[0] = 0
     assert np.allclose(tx._values(cells, w), dense @ w, atol=1e-4)
+
+
+@pytest.fixture(scope="module")
+def by_language():
+    """{(lang, toxic): (rows predicted toxic, rows)} over the held-out labels of sf0.1, whose insults differ by language."""
+    big = "/root/testdata/sf0.1"
+    rows = pd.read_parquet(f"{big}/documents.parquet").merge(pd.read_parquet(f"{big}/labels.parquet"), on="doc_id")
+    held = rows.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)
+    known = rows[~held & rows.text.str.len().between(1, tx.SAMPLE_CHARS)].sample(frac=1, random_state=1).groupby("toxic").head(tx.SAMPLE).sort_values("doc_id")
+    model = tx.fit(known.text.tolist(), known.toxic.tolist(), totals=tuple(rows[~held].toxic.value_counts().sort_index()))
+    rows = rows[held].assign(found=tx.Scorer(model).rows(pa.array(rows[held].text.tolist())) >= tx.THRESHOLD)
+    return {key: (int(g.found.sum()), len(g)) for key, g in rows.groupby(["lang", "toxic"])}
+
+
+def test_toxic_texts_without_rare_triples_are_learned_from(by_language):
+    for lang in ("es", "fr"):
+        found, n = by_language[lang, 1]
+        assert found >= n / 2, (lang, found, n)
