@@ -118,3 +118,9 @@ def test_toxic_texts_without_rare_triples_are_learned_from(by_language):
     for lang in ("es", "fr"):
         found, n = by_language[lang, 1]
         assert found >= n / 2, (lang, found, n)
+
+
+def test_evidence_of_several_words_adds_up(by_language):
+    # German insults begin with a stem that clean texts have as well, but once
+    found, n = by_language["de", 1]
+    assert found >= n / 2, (found, n)
