@@ -5,9 +5,11 @@ words (and runs of three or more one-letter words, as in ``b a d``), each as
 often as it occurs, over the root of their number; long units are cut into
 overlapping windows.  The kernel of two units sums over all common subsequences
 of three letters, within ``SPAN`` positions, the product of their weights
-``DECAY ** gaps``, and is normalized by the units' own kernel values.  Other
-characters only count as gaps, so inserted characters weaken a match but do not
-destroy it.  Common digit and symbol stand-ins count as their letters.
+``DECAY ** gaps``, and is normalized by the units' own kernel values.  Letters of
+all scripts are distinct; other ASCII characters only count as gaps, so inserted
+characters weaken a match but do not destroy it.  Common digit and symbol
+stand-ins count as their letters.  Subsequences of ASCII letters have a weight
+each, the others share ``1 << 20`` by a hash.
 
 A support vector machine (squared hinge) is fitted to the texts in the space that
 the Nystroem method spans with ``LANDMARKS`` landmark units: of each text's unit
@@ -55,29 +57,51 @@ FOLDS = 4
 COST = 300.0
 BATCH_BYTES = 1 << 20     # text bytes scored at a time
 KNOWN = 400_000           # units whose scores a task remembers
-CODES = 1 << 15
+ASCII_CODES = 1 << 15     # triples of ASCII classes have a code each, the others share the rest by a hash
+CODES = ASCII_CODES + (1 << 20)
 
-#: Byte classes: letters 1-26, stand-ins as their letters, other digits 27, other characters by their last byte 28-30, gaps 0.
+#: ASCII classes: letters 1-26, stand-ins as their letters, other digits 27, gaps 0.  Other characters are 32 + their code point.
 EDGE = 31                 # before a unit's first character and after its last
-CLASS = np.zeros(256, np.int32)
+CLASS = np.zeros(128, np.int32)
 CLASS[ord("a"):ord("z") + 1] = CLASS[ord("A"):ord("Z") + 1] = np.arange(1, 27)
 CLASS[ord("0"):ord("9") + 1] = 27
-CLASS[0x80:0xC0] = 28 + np.arange(64) % 3
 for _a, _b in zip("013457@$", "oieastas"):
     CLASS[ord(_a)] = CLASS[ord(_b)]
 GAPS = [(i, j) for i in range(1, SPAN) for j in range(1, SPAN - i)]
 
 
+#: Lower case of the characters that have one of their own.
+FOLD = np.arange(1 << 17, dtype=np.int32)
+for _i in range(128, 1 << 17):
+    if not 0xD800 <= _i < 0xE000 and len(_low := chr(_i).lower()) == 1:
+        FOLD[_i] = ord(_low)
+
+
+def _points(raw: np.ndarray) -> np.ndarray:
+    """The code points of UTF-8 bytes, letters in lower case."""
+    head = np.flatnonzero(raw & 0xC0 != 0x80)
+    lead = raw[head].astype(np.int32)
+    out = np.where(lead < 0x80, lead, np.where(lead < 0xE0, lead & 0x1F, np.where(lead < 0xF0, lead & 0x0F, lead & 0x07)))
+    for k, least in ((1, 0xC0), (2, 0xE0), (3, 0xF0)):
+        more = np.flatnonzero(lead >= least)
+        out[more] = out[more] << 6 | raw[np.minimum(head[more] + k, len(raw) - 1)] & 0x3F
+    return np.where(out < len(FOLD), FOLD[np.minimum(out, len(FOLD) - 1)], out)
+
+
+def _symbols(points: np.ndarray) -> np.ndarray:
+    return np.where(points < 128, CLASS[np.minimum(points, 127)], points.astype(np.int32) + 32)
+
+
 class Units:
-    """The units of the rows of a text column: spans of bytes, a hash and a row each."""
+    """The units of the rows of a text column: spans of characters, a hash and a row each."""
 
     def __init__(self, column):
         w = Words(column)
-        kept = w.raw < 0xC0  # without the first bytes of longer characters
-        self.raw, self.rows = w.raw[kept], len(w)
+        kept = w.raw & 0xC0 != 0x80  # the first byte of each character
+        self.raw, self.rows = _points(w.raw), len(w)
         place = np.concatenate([[0], np.cumsum(kept)])
         row = np.repeat(np.arange(len(w)), w.counts)
-        letter = (w.end - w.start == 1) & (CLASS[w.raw[w.start]] > 0) if len(w.start) else np.zeros(0, bool)
+        letter = (w.end - w.start == 1) & (CLASS[w.raw[w.start] & 127] > 0) if len(w.start) else np.zeros(0, bool)
         edge = np.flatnonzero(np.diff(np.concatenate([[0], letter.astype(np.int8), [0]])))
         # a run ends with its row
         first, last = edge[::2], edge[1::2]
@@ -100,7 +124,7 @@ def _cells(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     k = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     begin, stop = np.repeat(start, many), np.repeat(end, many)
     grid = (begin - 1 + k * STRIDE)[:, None] + np.arange(WINDOW)[None, :]
-    cells = CLASS[raw[np.clip(grid, 0, len(raw) - 1)]] if len(raw) else np.zeros(grid.shape, np.int32)
+    cells = _symbols(raw[np.clip(grid, 0, len(raw) - 1)]) if len(raw) else np.zeros(grid.shape, np.int32)
     cells = np.where((grid < begin[:, None]) | (grid == stop[:, None]), EDGE, cells)
     return np.where(grid <= stop[:, None], cells, 0), many
 
@@ -108,9 +132,16 @@ def _cells(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 def _subsequences(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(codes, weights) per window; code 0 has weight 0."""
     codes, weights = [], []
+    wide = np.flatnonzero((cells > EDGE).any(axis=1))  # windows with characters outside ASCII
+    x = cells[wide].astype(np.uint32)
     for i, j in GAPS:
         a, b, c = cells[:, :WINDOW - i - j], cells[:, i:WINDOW - j], cells[:, i + j:]
         code = np.where((a > 0) & (b > 0) & (c > 0), a << 10 | b << 5 | c, 0)
+        if len(wide):
+            a, b, c = x[:, :WINDOW - i - j], x[:, i:WINDOW - j], x[:, i + j:]
+            h = ((a * np.uint32(0x9E3779B1) + b) * np.uint32(0x85EBCA6B) + c) * np.uint32(0xC2B2AE35)
+            hashed = ASCII_CODES + ((h ^ h >> 15) * np.uint32(0x27D4EB2F) >> 12).astype(np.int32)
+            code[wide] = np.where((a | b | c) < 32, code[wide], np.where((a > 0) & (b > 0) & (c > 0), hashed, 0))
         codes.append(code)
         weights.append(np.full(code.shape[1], DECAY ** (i + j - 2), np.float32))
     return np.concatenate(codes, axis=1), np.concatenate(weights)
@@ -226,7 +257,7 @@ def _inserted(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     """Class matrix of the units with characters inserted: gaps between all letters, a doubled and a foreign letter."""
     out = []
     for a, b in zip(start.tolist(), end.tolist()):
-        x = CLASS[raw[a:min(b, a + WINDOW)]].tolist()
+        x = _symbols(raw[a:min(b, a + WINDOW)]).tolist()
         mid = len(x) // 2
         gapped = [v for c in x for v in (c, 0)][:-1]
         ways = [[EDGE, *y, EDGE] for y in (gapped, x[:mid] + x[mid:mid + 1] + x[mid:], x[:mid] + [24] + x[mid:])]

@@ -124,3 +124,18 @@ def test_evidence_of_several_words_adds_up(by_language):
     # German insults begin with a stem that clean texts have as well, but once
     found, n = by_language["de", 1]
     assert found >= n / 2, (found, n)
+
+
+def test_letters_of_all_scripts_are_distinct():
+    u = tx.Units(pa.array(["дурак", "рукав", "Дурак", "漢字文", "文漢字"]))
+    cells, _ = tx._cells(u.raw, u.start, u.end)
+    dense = tx._dense(cells)
+    assert np.allclose(dense[0] @ dense[2], 1)
+    assert abs(dense[0] @ dense[1]) < 0.2 and dense[3] @ dense[4] < 0.7
+    words = ["стол", "окно", "книга", "рукав", "карта", "вода", "город", "рука", "курад", "арукд"]
+    rng = np.random.default_rng(4)
+    texts = [" ".join([*rng.choice(words, 30), *(["дурак"] if i % 4 == 0 else [])]) for i in range(200)]
+    model = tx.fit(texts, [int(i % 4 == 0) for i in range(200)])
+    clean = " ".join(rng.choice(words, 30))
+    low, high = tx.Scorer(model).rows(pa.array([clean, clean + " Дурак"]))
+    assert low < tx.THRESHOLD <= high
