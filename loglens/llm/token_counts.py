@@ -10,6 +10,14 @@ computed once, from those of the prefixes at which a piece that ends here
 begins, for all pre-tokens that share it.  Terminal counts are remembered by the
 pre-token's hash.
 
+With ``spaces``, white space has tokens as well: each tab, line end and the like
+one, and the blanks that are no word's mark (one blank before a word is; one more
+mark begins every text that is not empty) those of their run's best segmentation.
+
+The scores are taken as log probabilities.  The given vocabulary file is one of
+byte-pair merges, whose scores are merge ranks and -1e9: the counts are those of
+this method over its pieces, not those that the sentencepiece library gives.
+
 Null and empty texts have no tokens.  Repeated rows each get a row; very long
 words take time in proportion to their length.
 """
@@ -23,7 +31,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from loglens.llm.tables import table
-from loglens.llm.text import SPACED, U, Words, chunks
+from loglens.llm.text import SPACED, U, Words, chunks, utf8
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
@@ -102,8 +110,36 @@ def count_words(words: list[str], children: list[dict], score: list, penalty: fl
     return out
 
 
-def token_counts(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_tokens) per row."""
+def space_tokens(column, children: list[dict], score: list, penalty: float) -> np.ndarray:
+    """The white-space tokens of each row."""
+    raw, off = utf8(column)
+    rows = np.flatnonzero(np.diff(off))
+    out = np.zeros(len(off) - 1, np.int64)
+    other = ~SPACED[raw] & (raw != 0x20)
+    out += np.diff(np.concatenate([[0], np.cumsum(other)])[off])
+    # Runs of blanks: they end with their row.
+    blank = raw == 0x20
+    head, tail = blank.copy(), blank.copy()
+    head[1:] &= ~blank[:-1]
+    tail[:-1] &= ~blank[1:]
+    head[off[rows]] = blank[off[rows]]
+    tail[off[rows + 1] - 1] = blank[off[rows + 1] - 1]
+    start, end = np.flatnonzero(head), np.flatnonzero(tail) + 1
+    row = np.searchsorted(off, start, "right") - 1
+    before_word = end < off[row + 1]
+    before_word[before_word] = SPACED[raw[end[before_word]]]
+    marks = end - start + (start == off[row]) - before_word
+    # A row that begins with other white space has a mark of its own.
+    alone = rows[other[off[rows]]]
+    row, marks = np.concatenate([row, alone]), np.concatenate([marks, np.ones(len(alone), np.int64)])
+    distinct, back = np.unique(marks, return_inverse=True)
+    counts = np.array([0 if not n else count_words([MARK * (n - 1)], children, score, penalty)[0] for n in distinct.tolist()], np.int64)
+    np.add.at(out, row, counts[back])
+    return out
+
+
+def token_counts(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text", spaces: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_tokens) per row; ``spaces`` counts the tokens of white space as well."""
     pieces = load_pieces(model)
     shared = docs.sparkSession.sparkContext.broadcast((*piece_trie(pieces), min(pieces.values()) - 10.0))
 
@@ -130,7 +166,10 @@ def token_counts(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", te
                 by = np.argsort(h)
                 known, value = h[by], np.concatenate([value, fresh])[by]
             upto = np.concatenate([[0], np.cumsum(counts[back])])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(w.counts, pa.int64()), pa.array(np.diff(upto[w.first]), pa.int64())],
+            tokens = np.diff(upto[w.first])
+            if spaces:
+                tokens = tokens + space_tokens(batch.column("text"), children, score, penalty)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(w.counts, pa.int64()), pa.array(tokens, pa.int64())],
                                              ["doc_id", "n_words", "n_tokens"])
 
     own = docs.selectExpr(f"`{id_col}` as doc_id", f"`{text_col}` as text")
@@ -138,4 +177,4 @@ def token_counts(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", te
 
 
 def q_op4(spark, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), spaces=True)

@@ -40,3 +40,13 @@ def test_shared_prefixes_and_ties():
     children, score = tc.piece_trie(pieces)
     words = sorted(["a", "ab", "abab", "abc", "b", "", "abx"])
     assert tc.count_words(words, children, score, -20.0) == [_plain(w, pieces, -20.0) for w in words]
+
+
+def test_white_space_has_tokens(spark, tmp_path):
+    texts = ["a b", "a  b", "a\nb", "a\n\n\nb", "a\tb", " a", "a ", "\n", "  ", "", None, "a \n b", "a" + " " * 18 + "b", "a\r\n\x0b", "  ", " x", " é  é "]
+    expect = [0, 1, 1, 3, 1, 1, 1, 2, 1, 0, 0, 2, 2, 3, 1, 1, 3]  # the library's tokens without those of the words
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    words = {r.doc_id: r.n_tokens for r in tc.token_counts(df).collect()}
+    got = {r.doc_id: r.n_tokens for r in tc.q_op4(spark, str(tmp_path)).collect()}
+    assert [got[i] - words[i] for i in range(len(texts))] == expect
