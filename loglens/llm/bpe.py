@@ -25,43 +25,67 @@ from itertools import chain, repeat
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglens.llm.tables import table
-from loglens.llm.text import U, chunks, kept, lists, mix
+from loglens.llm.text import U, chunks, lists, mix
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 LONG = 256            # bytes of a match
 BUCKETS = (4, 8, 12, 16, 24, 32, 64, 128, LONG)
 CELLS = 1 << 18       # of a matrix
 BATCH_BYTES = 2 << 20  # text bytes encoded at a time
-KNOWN = 500_000       # pieces whose ids a worker remembers; then it forgets those used once
+KNOWN = 300_000       # pieces whose ids a task remembers; then it forgets those used once
 NONE = np.int32(2**31 - 1)
 
 MARKS = frozenset(",.;:!?")
-OTHER_SPACE = re.compile(r"[^\S \n]")
+FIRST = "\t"            # marks a piece that no space precedes; a piece never begins with a tab otherwise
+#: White space other than a blank or line end (fixed values: the characters that Unicode or the pattern count as such).
+OTHER_SPACE = "[\\x09\\x0b-\\x0d\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+ODD = f"{OTHER_SPACE}|  | \n| $"
 BEFORE_WORD = re.compile(r"(?= [^ \n])")
 
 
-def pieces(text: str, whole=None) -> list:
-    """Parts of a text that the pattern splits independently of each other.
+def _cut(text: str) -> list[str]:
+    """The pieces of a text without other white space, at every blank before a word."""
+    first, *rest = BEFORE_WORD.split(text)
+    return [FIRST + first, *(x[1:] for x in rest)]
+
+
+def pieces(texts: pa.Array, whole: str | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Parts of texts that the pattern splits independently: (all parts, each text's first part, its number of parts).
 
     A space before a character that is not white space always begins a match:
     no match runs on over it, and white space before it is a match of its own.
-    A ``str`` stands for a space and itself, a 1-tuple for just its text.  A text
-    in which the regex ``whole`` is found is not cut.
+    A part stands for a space and itself; one that begins with FIRST, for what
+    follows that.  A text with other white space, or in which the regex ``whole``
+    is found, is not cut.
     """
-    if OTHER_SPACE.search(text) or (whole and whole.search(text)):
-        return [(text,)]
-    if "  " in text or " \n" in text or text.endswith(" "):
-        first, *rest = BEFORE_WORD.split(text)
-        return [(first,), *(x[1:] for x in rest)]
-    parts = text.split(" ")
-    parts[0] = (parts[0],)
-    return parts
+    marked = pc.binary_join_element_wise(pa.scalar(FIRST, pa.large_string()), texts, pa.scalar("", pa.large_string()))
+    odd = pc.match_substring_regex(texts, ODD)
+    if whole is not None:
+        odd = pc.or_(odd, pc.match_substring_regex(texts, whole))
+    strange = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+    usual = np.flatnonzero(~odd.to_numpy(zero_copy_only=False))
+    lists_ = pc.split_pattern(marked.take(pa.array(usual)), " ")
+    n = np.zeros(len(texts), np.int64)
+    n[usual] = np.diff(lists_.offsets.to_numpy())
+    flat = lists_.flatten()
+    if len(strange):
+        some = texts.take(pa.array(strange))
+        uncut = pc.match_substring_regex(some, OTHER_SPACE)
+        if whole is not None:
+            uncut = pc.or_(uncut, pc.match_substring_regex(some, whole))
+        parts = [[FIRST + t] if u else _cut(t) for t, u in zip(some.to_pylist(), uncut.to_pylist())]
+        n[strange] = [len(x) for x in parts]
+        flat = pa.concat_arrays([flat, pa.array(chain.from_iterable(parts), flat.type)])
+    first = np.empty(len(texts), np.int64)
+    order = np.concatenate([usual, strange])
+    first[order] = np.cumsum(n[order]) - n[order]
+    return flat, first, n
 
 
 def load_ranks(path: str = RANKS) -> dict[bytes, int]:
@@ -221,14 +245,17 @@ def gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray, at: np.ndarray
 
 
 class Memory:
-    """Ids of texts, where ``learn`` encodes each distinct piece once: list of texts -> (ids, sizes)."""
+    """Ids of texts, where ``learn`` encodes each distinct piece once: texts -> (ids, offsets).
 
-    def __init__(self, learn, whole=None):
+    It lives as long as its task and remembers KNOWN pieces at most, besides those of one call.
+    """
+
+    def __init__(self, learn, whole: str | None = None):
         self.learn, self.whole = learn, whole
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict = {}
+        self.slot: dict[str, int] = {}
         self.flat, self.first, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
         self.uses = np.empty(0, np.int64)
 
@@ -243,27 +270,32 @@ class Memory:
         self.size = self.size[again]
         self.flat, self.first, self.uses = ids, np.cumsum(self.size) - self.size, np.zeros(len(again), np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets of the texts)."""
-        parts = [pieces(t, self.whole) for t in texts]
-        flat = list(chain.from_iterable(parts))
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets of the texts) of an Arrow column or a list; nulls are empty."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        flat, first, n = pieces(column.cast(pa.large_string()).fill_null(""), self.whole)
         if len(self.slot) > KNOWN or len(self.flat) > 8 * KNOWN:
             self._forget()
-        at = np.fromiter(map(self.slot.get, flat, repeat(-1)), np.int64, len(flat))
-        unknown = np.flatnonzero(at < 0).tolist()
-        if unknown:
-            new = list(dict.fromkeys(flat[i] for i in unknown))
-            ids, size = self.learn([" " + p if type(p) is str else p[0] for p in new])
-            self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new))))
+        coded = flat.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        at = np.fromiter(map(self.slot.get, names, repeat(-1)), np.int64, len(names))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            new = [names[i] for i in unknown.tolist()]
+            ids, size = self.learn([p[1:] if p.startswith(FIRST) else " " + p for p in new])
+            at[unknown] = np.arange(len(self.slot), len(self.slot) + len(new))
+            self.slot.update(zip(new, at[unknown].tolist()))
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
             self.flat = np.concatenate([self.flat, ids])
             self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
-            at[unknown] = [self.slot[flat[i]] for i in unknown]
-        self.uses += np.bincount(at, minlength=len(self.uses))
-        ids = gather(self.flat, self.first, self.size, at)
-        ends = np.concatenate([[0], np.cumsum(self.size[at])])
-        return ids, ends[np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)]
+        which = coded.indices.to_numpy()
+        self.uses[at] += np.bincount(which, minlength=len(names))
+        # in the order of the texts
+        where = gather(at[which], first, n, np.arange(len(n)))
+        ids = gather(self.flat, self.first, self.size, where)
+        ends = np.concatenate([[0], np.cumsum(self.size[where])])
+        return ids, ends[np.concatenate([[0], np.cumsum(n)])]
 
 
 def by_merging(merger: Merger, pattern: str):
@@ -289,17 +321,14 @@ def by_merging(merger: Merger, pattern: str):
 
 def encode(docs: DataFrame, path: str = RANKS, pattern: str = public_tokenizers.PATTERN, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """All rows and columns with the text's ids as ``out_col array<int>`` (which replaces a column of that name)."""
-    ranks = load_ranks(path)
-    tables = docs.sparkSession.sparkContext.broadcast(pair_table(ranks))
-    name = (xxhash.xxh3_128_hexdigest(repr(sorted(ranks.items())).encode()), pattern)
+    tables = docs.sparkSession.sparkContext.broadcast(pair_table(load_ranks(path)))
     keep = [c for c in docs.columns if c != out_col]
     types = dict(docs.dtypes)
 
     def run(batches):
-        encoder = kept("bpe", name, lambda: Memory(by_merging(Merger(tables.value), pattern)))
+        encoder = Memory(by_merging(Merger(tables.value), pattern))
         for batch in chunks(batches, text_col, BATCH_BYTES):
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            ids, off = encoder.encode(texts)
+            ids, off = encoder.encode(batch.column(text_col))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), lists(ids, off, pa.int32())], [*keep, out_col])
 
     return docs.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keep), f"`{out_col}` array<int>"]))

@@ -9,10 +9,25 @@ from loglens.session import materialize
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One given table, with only the named columns read."""
+    bounded_batches(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
+#: Bytes of one Arrow batch between the JVM and a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches of whole texts by bytes, where the session still has Spark's own default (64 MB).
+
+    A batch is held by the JVM, in flight and by the worker at once, for every task of an executor.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key) and spark.conf.get(key) in ("67108864", "67108864b", "64MB"):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 class Staged:
     """Tables written once to the shared checkpoint folder; old ones can be dropped early.
 

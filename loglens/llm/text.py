@@ -7,9 +7,6 @@ every executor.
 
 from __future__ import annotations
 
-import sys
-import types
-
 import numpy as np
 import pyarrow as pa
 
@@ -19,18 +16,6 @@ _P = 0x9E3779B97F4A7C15 | 1    # odd multiplier of the polynomial
 _PINV = pow(_P, -1, 1 << 64)
 
 
-def kept(kind: str, key, make):
-    """What ``make()`` gives, remembered by this Python worker for its next tasks; one value per kind.
-
-    Only for what results do not depend on, such as tables and caches: functions
-    that are shipped by value have no module state of their own.
-    """
-    store = sys.modules.setdefault("_loglens_llm_kept", types.ModuleType("_loglens_llm_kept")).__dict__
-    if store.get(kind, (None,))[0] != key:
-        store[kind] = (key, make())
-    return store[kind][1]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer (bijective) over an array."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)

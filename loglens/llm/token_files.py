@@ -29,12 +29,10 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -43,7 +41,7 @@ from pyspark.sql import functions as F
 
 from loglens.llm.bpe import BATCH_BYTES, Memory
 from loglens.llm.tables import Staged, table
-from loglens.llm.text import chunks, kept
+from loglens.llm.text import chunks
 from loglens.session import staging_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -162,8 +160,9 @@ class Reader:
             yield (doc_id if named else None), flat[:size]
 
 
-#: A space, letters whose class no Unicode version changes, and perhaps a mark: one or two pre-tokens for sure.
-PLAIN = re.compile("( [A-Za-zÀ-ÖØ-öø-ɏ]+)([,.;:!?]?)")
+#: Letters whose class no Unicode version changes, after a space or not, perhaps a mark, and the same again on a next line: each is one pre-token for sure.
+_LETTERS, _MARK = "[A-Za-zÀ-ÖØ-öø-ɏ]+", "[,.;:!?]"
+PLAIN = re.compile(f"( ?{_LETTERS})({_MARK}?)(?:(\n)({_LETTERS})({_MARK}?))?")
 AT_ONCE = 1000  # other pieces per call: what the library returns takes memory
 
 
@@ -184,31 +183,43 @@ def _by_library(json: str, cut: bool):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_str(json)
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    whole = re.compile("|".join(map(re.escape, added))) if added else None
-    model, letters = tokenizer.model, _byte_letters()
+    whole = "|".join(map(re.escape, added)) if added else None
+    # A plain piece can hold an added token only if that has nothing but its characters.
+    inside = re.compile("|".join(map(re.escape, added))) if any(re.fullmatch(f"(?:{_LETTERS}|{_MARK}|[ \n])+", x) for x in added) else None
+    tokenize, letters = tokenizer.model.tokenize, _byte_letters()
+    space = letters[0x20]
 
     def token_ids(match: str) -> list[int]:
-        return [t.id for t in model.tokenize(match.encode().decode("latin-1").translate(letters))]
+        if match.isascii() and match != "\n":
+            match = space + match[1:] if match[0] == " " else match
+        else:
+            match = match.encode().decode("latin-1").translate(letters)
+        return [t.id for t in tokenize(match)]
+
+    known = {"": [], **{x: token_ids(x) for x in ",.;:!?\n"}}
 
     def learn(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids: list = [None] * len(new)
-        seen: dict[str, list[int]] = {"": []}
-        hard = []
-        for k, piece in enumerate(new):
-            m = PLAIN.fullmatch(piece) if cut and not (whole and whole.search(piece)) else None
+        matched = [PLAIN.fullmatch(p) for p in new] if cut else [None] * len(new)
+        if inside:
+            matched = [m if m and not inside.search(p) else None for m, p in zip(matched, new)]
+        hard = [p for p, m in zip(new, matched) if m is None]
+        others = (e.ids for i in range(0, len(hard), AT_ONCE) for e in tokenizer.encode_batch_fast(hard[i:i + AT_ONCE], add_special_tokens=False))
+        ids: list[int] = []
+        ends = [0]
+        for m in matched:
             if m is None:
-                hard.append(k)
-                continue
-            for part in m.groups():
-                if part not in seen:
-                    seen[part] = token_ids(part)
-            ids[k] = seen[m[1]] + seen[m[2]] if m[2] else seen[m[1]]
-        for i in range(0, len(hard), AT_ONCE):
-            some = hard[i:i + AT_ONCE]
-            for k, e in zip(some, tokenizer.encode_batch_fast([new[k] for k in some], add_special_tokens=False)):
-                ids[k] = e.ids
-        size = np.array([len(x) for x in ids])
-        return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
+                ids += next(others)
+            else:
+                word, mark, line, word2, mark2 = m.groups()
+                ids += token_ids(word)
+                if mark:
+                    ids += known[mark]
+                if line:
+                    ids += known[line]
+                    ids += token_ids(word2)
+                    ids += known[mark2]
+            ends.append(len(ids))
+        return np.array(ids, np.int32), np.diff(ends)
 
     return learn, whole
 
@@ -228,7 +239,6 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id:
         json = file.read()
     vocabulary = docs.sparkSession.sparkContext.broadcast(json)
     cut = _cuttable(json)
-    key = xxhash.xxh3_128_hexdigest(json.encode())
     target = re.sub(r"^(file:)?/+", "file:///", folder)  # a plain path is a file URI
 
     def run(batches):
@@ -236,12 +246,12 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id:
         store.create_dir(path, recursive=True)
         task = TaskContext.get()
         name = f"ids-{task.partitionId():05d}-{task.taskAttemptId()}.planes"
-        learn, whole = kept("tokenizer", key, lambda: _by_library(vocabulary.value, cut))
-        memory = kept("pieces", key, lambda: Memory(learn, whole if cut else re.compile("")))
+        learn, whole = _by_library(vocabulary.value, cut)
+        memory = Memory(learn, whole if cut else "")
         with store.open_output_stream(f"{path}/{name}") as out:
             writer = Writer(out, bits, block)
             for batch in chunks(batches, "text", BATCH_BYTES):
-                ids, off = memory.encode([t or "" for t in batch.column("text").to_pylist()])
+                ids, off = memory.encode(batch.column("text"))
                 size = np.diff(off) + 1
                 end = np.cumsum(size)
                 flat = np.full(int(end[-1]), end_id, "<u4")
