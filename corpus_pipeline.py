@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.llm import bpe, decontaminate, minhash, quality, toxicity
-from loglens.llm.tables import table
+from loglens.llm.tables import bounded_batches, table
 from loglens.session import materialize
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the string-kernel machine scores below the threshold; it learns from labelled rows that are not held out."""
+    bounded_batches(spark)
     model = toxicity.train(docs.where(~toxicity.held_out("doc_id")), table(spark, sf_dir, "labels", "doc_id", "toxic"))
     return toxicity.drop_toxic(docs, model)
 
