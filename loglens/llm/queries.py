@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loglens.llm import bpe, decontaminate, licenses, minhash, preference, quality, token_counts, token_files, toxicity, urls
+from loglens.llm import bpe, decontaminate, licenses, minhash, negatives, preference, quality, token_counts, token_files, toxicity, urls
 
 QUERIES = {
     "op1_minhash_dedup": minhash.q_op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe": bpe.q_op8,
     "op9_url_filter": urls.q_op9,
     "op10_decontamination": decontaminate.q_op10,
+    "op13_hard_negatives": negatives.q_op13,
 }
 
 ORACLE = {
@@ -23,4 +24,5 @@ ORACLE = {
     "op5_quality_rules": quality.ORACLE_OP5,
     "op9_url_filter": urls.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
+    "op13_hard_negatives": negatives.ORACLE_OP13,
 }
