@@ -244,6 +244,11 @@ def gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray, at: np.ndarray
     return flat[np.arange(total) + np.repeat(first[at] - (end - n), n)]
 
 
+def names_of(parts: pa.Array) -> list[str]:
+    """The texts that parts of :func:`pieces` stand for."""
+    return [p[1:] if p.startswith(FIRST) else " " + p for p in parts.to_numpy(zero_copy_only=False)]
+
+
 class Memory:
     """Ids of texts, where ``learn`` encodes each distinct piece once: texts -> (ids, offsets).
 
@@ -277,14 +282,14 @@ class Memory:
         if len(self.slot) > KNOWN or len(self.flat) > 8 * KNOWN:
             self._forget()
         coded = flat.dictionary_encode()
-        names = coded.dictionary.to_pylist()
+        names = coded.dictionary.to_numpy(zero_copy_only=False)
         at = np.fromiter(map(self.slot.get, names, repeat(-1)), np.int64, len(names))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
-            new = [names[i] for i in unknown.tolist()]
-            ids, size = self.learn([p[1:] if p.startswith(FIRST) else " " + p for p in new])
+            new = coded.dictionary.take(pa.array(unknown))
+            ids, size = self.learn(new)
             at[unknown] = np.arange(len(self.slot), len(self.slot) + len(new))
-            self.slot.update(zip(new, at[unknown].tolist()))
+            self.slot.update(zip(names[unknown], at[unknown].tolist()))
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
             self.flat = np.concatenate([self.flat, ids])
@@ -302,7 +307,8 @@ def by_merging(merger: Merger, pattern: str):
     """A ``learn`` for :class:`Memory`: split by the pattern, encode the distinct matches."""
     split = regex.compile(pattern).findall
 
-    def learn(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def learn(parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        new = names_of(parts)
         if pattern == public_tokenizers.PATTERN:
             # Letters after a space are one match as they are, and letters and a mark two.
             parts = [(p,) if p[1:].isalpha() and p[0] == " " else (p[:-1], p[-1]) if p[-1:] in MARKS and p[1:-1].isalpha() and p[0] == " " else split(p) for p in new]

@@ -29,17 +29,19 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglens.llm.bpe import BATCH_BYTES, Memory
+from loglens.llm.bpe import BATCH_BYTES, FIRST, Memory, gather, names_of
 from loglens.llm.tables import Staged, table
 from loglens.llm.text import chunks
 from loglens.session import staging_dir
@@ -160,9 +162,10 @@ class Reader:
             yield (doc_id if named else None), flat[:size]
 
 
-#: Letters whose class no Unicode version changes, after a space or not, perhaps a mark, and the same again on a next line: each is one pre-token for sure.
+#: Letters whose class no Unicode version changes, perhaps a mark, and the same again on a next line: each is one pre-token for sure.
 _LETTERS, _MARK = "[A-Za-zÀ-ÖØ-öø-ɏ]+", "[,.;:!?]"
-PLAIN = re.compile(f"( ?{_LETTERS})({_MARK}?)(?:(\n)({_LETTERS})({_MARK}?))?")
+PLAIN = f"^(?P<word>{FIRST}?{_LETTERS})(?P<mark>{_MARK}?)(?:(?P<line>\n)(?P<next>{_LETTERS})(?P<end>{_MARK}?))?$"
+MARKS = [*",.;:!?", "\n"]
 AT_ONCE = 1000  # other pieces per call: what the library returns takes memory
 
 
@@ -185,41 +188,45 @@ def _by_library(json: str, cut: bool):
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     whole = "|".join(map(re.escape, added)) if added else None
     # A plain piece can hold an added token only if that has nothing but its characters.
-    inside = re.compile("|".join(map(re.escape, added))) if any(re.fullmatch(f"(?:{_LETTERS}|{_MARK}|[ \n])+", x) for x in added) else None
+    inside = whole if any(re.fullmatch(f"(?:{_LETTERS}|{_MARK}|[ \n])+", x) for x in added) else None
     tokenize, letters = tokenizer.model.tokenize, _byte_letters()
     space = letters[0x20]
 
     def token_ids(match: str) -> list[int]:
-        if match.isascii() and match != "\n":
-            match = space + match[1:] if match[0] == " " else match
-        else:
-            match = match.encode().decode("latin-1").translate(letters)
-        return [t.id for t in tokenize(match)]
+        if match.isascii() and match.isalpha():
+            return [t.id for t in tokenize(match)]
+        if match[:1] == " " and match.isascii():
+            return [t.id for t in tokenize(space + match[1:])]
+        return [t.id for t in tokenize(match.encode().decode("latin-1").translate(letters))]
 
-    known = {"": [], **{x: token_ids(x) for x in ",.;:!?\n"}}
+    marks = pa.array(MARKS, pa.large_string())
+    mark_ids = [token_ids(x) for x in MARKS]
 
-    def learn(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        matched = [PLAIN.fullmatch(p) for p in new] if cut else [None] * len(new)
+    def learn(new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        plain = pc.extract_regex(new, PLAIN) if cut else pa.nulls(len(new), pa.struct([]))
         if inside:
-            matched = [m if m and not inside.search(p) else None for m, p in zip(matched, new)]
-        hard = [p for p, m in zip(new, matched) if m is None]
-        others = (e.ids for i in range(0, len(hard), AT_ONCE) for e in tokenizer.encode_batch_fast(hard[i:i + AT_ONCE], add_special_tokens=False))
-        ids: list[int] = []
-        ends = [0]
-        for m in matched:
-            if m is None:
-                ids += next(others)
-            else:
-                word, mark, line, word2, mark2 = m.groups()
-                ids += token_ids(word)
-                if mark:
-                    ids += known[mark]
-                if line:
-                    ids += known[line]
-                    ids += token_ids(word2)
-                    ids += known[mark2]
-            ends.append(len(ids))
-        return np.array(ids, np.int32), np.diff(ends)
+            plain = pc.if_else(pc.match_substring_regex(pa.array(names_of(new), new.type), inside), None, plain)
+        hard = np.flatnonzero(plain.is_null().to_numpy(zero_copy_only=False))
+        easy = np.flatnonzero(plain.is_valid().to_numpy(zero_copy_only=False))
+        # A table of distinct parts, and for each piece its up to five parts in it.
+        table: list[list[int]] = [[], *mark_ids]
+        parts = np.zeros((len(new), 5), np.int64)
+        if len(easy):
+            word, mark, line, after, end = plain.filter(plain.is_valid()).flatten()
+            first = pc.starts_with(word, FIRST)
+            word = pc.if_else(first, pc.utf8_slice_codeunits(word, 1), pc.binary_join_element_wise(pa.scalar(" ", word.type), word, pa.scalar("", word.type)))
+            coded = pa.concat_arrays([word, after]).dictionary_encode()
+            slot = coded.indices.to_numpy() + len(table)
+            table += [token_ids(x) if x else [] for x in coded.dictionary.to_numpy(zero_copy_only=False)]
+            parts[easy, 0], parts[easy, 3] = slot[:len(easy)], slot[len(easy):]
+            for k, column in ((1, mark), (2, line), (4, end)):
+                parts[easy, k] = pc.index_in(column, value_set=marks).fill_null(-1).to_numpy() + 1
+        parts[hard, 0] = np.arange(len(table), len(table) + len(hard))
+        strange = names_of(new.take(pa.array(hard)))
+        table += [e.ids for i in range(0, len(strange), AT_ONCE) for e in tokenizer.encode_batch_fast(strange[i:i + AT_ONCE], add_special_tokens=False)]
+        size = np.fromiter(map(len, table), np.int64, len(table))
+        flat = np.fromiter(chain.from_iterable(table), np.int32, int(size.sum()))
+        return gather(flat, np.cumsum(size) - size, size, parts.ravel()), size[parts].sum(axis=1)
 
     return learn, whole
 
