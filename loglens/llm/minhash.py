@@ -10,37 +10,32 @@ variance is lower as the two are negatively correlated.  The values are cut into
 bands.  Sets that are equal form one class first (a 128-bit digest of the
 whole set); classes that share a band are compared on their whole sets.
 
-Not all pairs of a bucket are made: in each round a bucket offers one hub
-(another one in each round), the members that are not yet connected with it
-are verified against it, and verified links are contracted to components.
-Buckets that then still hold several components are cut into blocks, and
-tasks compare the whole sets of two blocks each and return only links that
-connect components, so that no link between candidates is lost and no list of
-pairs is built.
+Candidates are verified on their whole sets by :mod:`loglens.llm.linking`, which
+loses no link between them and never makes all pairs of a bucket.
 
 Nulls, empty texts and texts without words have no set and no links.  Rows
 with a null id take no part: their component is null and they are kept.
 Repeated rows of an id each get a row; an id with different texts has each
-row judged by its own text.
+row judged by its own text.  An empty table gives no rows.  A very long text is one
+row's work for one task, in slices of bounded memory but for its set.  Columns
+other than the two named in the calls have no influence; ``drop_near_duplicates``
+keeps them, whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.components import connected_components
-from loglens.llm.tables import Staged, table
+from loglens.llm import linking
+from loglens.llm.tables import Staged, bounded_batches, table
 from loglens.llm.text import U, Words, chunks, lists, mix, shingles, stream
 
 WIDTH = 5
 SIMILARITY = 80        # per cent
 BANDS, ROWS = 30, 5    # 150 values of 75 permutations: a link of similarity 0.8 is missed with 7e-6
-ROUNDS = 2
-BLOCK = 256             # members of one bucket whose whole sets meet in a task, from either side
 
 
 def _extremes(flat: np.ndarray, off: np.ndarray, permutations: int) -> np.ndarray:
@@ -77,8 +72,7 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int, id_col: str,
             flat, off = shingles(Words(batch.column("text")), width)
             sizes = np.diff(off)
             values = _bands(_extremes(flat, off, -(-bands * rows // 2)), bands, rows)
-            raw = memoryview(np.ascontiguousarray(flat)).cast("B") if len(flat) else b""
-            digest = [xxhash.xxh3_128_digest(raw[8 * a:8 * b]) if b > a else None for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+            digest = linking.set_digests(flat, off)
             keys = lists(values.view(np.int64).ravel(), np.arange(len(values) + 1) * bands, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digest, pa.binary()), keys],
                                              ["doc_id", "n_shingles", "digest", "bands"])
@@ -88,194 +82,21 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int, id_col: str,
     return own.mapInArrow(sign, f"doc_id {kind}, n_shingles bigint, digest binary, bands array<bigint>")
 
 
-def _bitmap(ids: DataFrame, count: int) -> np.ndarray:
-    """Set bits for a hash of every id: 16 bits an id, 2 ** 28 bits (32 MB) at most.
-
-    Full or not, it only spares work: it passes every id of ``ids``.
-    """
-    bits = 1 << max(10, min(28, (16 * count).bit_length()))
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    word = ids.select(slot.alias("slot")).groupBy((F.col("slot") / 64).cast("bigint").alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("slot", F.lit(64)).cast("int"))).alias("set")).collect()
-    out = np.zeros(bits // 64, np.int64)
-    for r in word:
-        out[r["word"]] = r["set"]
-    return out.view(U)
-
-
-def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(digest, items) for the wanted (doc_id, digest) classes: all their shingles.
-
-    The texts are read again, and only the sets of ids that a bitmap of the
-    wanted ones lets pass are made and shuffled.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted, wanted.count()))
-
-    def cut(batches):
-        bits = shared.value
-        for batch in chunks(batches):
-            at = batch.column("slot").to_numpy().view(U) & U(len(bits) * 64 - 1)
-            rows = np.flatnonzero(bits[at >> U(6)] >> (at & U(63)) & U(1))
-            if not len(rows):
-                continue
-            flat, off = shingles(Words(batch.column("text").take(pa.array(rows))), width)
-            raw = memoryview(np.ascontiguousarray(flat)).cast("B") if len(flat) else b""
-            digest = [xxhash.xxh3_128_digest(raw[8 * a:8 * b]) if b > a else None for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), lists(flat.view(np.int64), off, pa.int64())], ["digest", "items"])
-
-    own = docs.where(F.col(id_col).isNotNull()).select(F.xxhash64(F.col(id_col)).alias("slot"), F.col(text_col).alias("text"))
-    sets = own.mapInArrow(cut, "digest binary, items array<bigint>")
-    # Other texts may pass, and copies: one row per wanted class stays.
-    return sets.join(wanted.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets are similar enough."""
-    x = sets.select(F.col("digest").alias("a"), F.col("items").alias("x"))
-    y = sets.select(F.col("digest").alias("b"), F.col("items").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(x, "a").join(y, "b")
-            .where(F.lit(100) * both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b"))
-
-
-def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of sorted distinct arrays, as a matrix; memory is bounded by slabs of tokens."""
-    sides, flat = (left, right), []
-    for side, arrays in enumerate(sides):
-        who = np.repeat(np.arange(len(arrays)), [len(x) for x in arrays])
-        flat.append((np.concatenate(arrays), who))
-    shared = np.intersect1d(flat[0][0], flat[1][0])
-    out = np.zeros((len(left), len(right)), np.float32)
-    if not len(shared):
-        return out
-    cells = []
-    for tokens, who in flat:
-        at = np.minimum(np.searchsorted(shared, tokens), len(shared) - 1)
-        ok = shared[at] == tokens
-        order = np.argsort(at[ok], kind="stable")
-        cells.append((at[ok][order], who[ok][order]))
-    for lo in range(0, len(shared), 4096):
-        part = []
-        for (at, who), arrays in zip(cells, sides):
-            x = np.zeros((len(arrays), 4096), np.float32)
-            i, j = np.searchsorted(at, [lo, lo + 4096])
-            x[who[i:j], at[i:j] - lo] = 1
-            part.append(x)
-        out += part[0] @ part[1].T
-    return out
-
-
-def _connecting(rows: list[tuple], similarity: int) -> list[tuple]:
-    """Links (root, root) that connect components among the rows (side, root, items) of one pair of blocks."""
-    left = [r for r in rows if r[0] <= 0]
-    right = [r for r in rows if r[0] >= 0]
-    if not left or not right:
-        return []
-    both = _overlaps([r[2] for r in left], [r[2] for r in right])
-    sizes = np.array([len(r[2]) for r in left])[:, None] + np.array([len(r[2]) for r in right])[None, :]
-    parent: dict = {}
-
-    def top(x):
-        while parent.get(x, x) != x:
-            x = parent[x]
-        return x
-
-    out = []
-    for i, j in np.argwhere(100 * both.astype(np.float64) >= similarity * (sizes - both.astype(np.float64))).tolist():
-        a, b = top(left[i][1]), top(right[j][1])
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            out.append((left[i][1], right[j][1]))
-    return out
-
-
-def _block_links(members: DataFrame, sets: DataFrame, similarity: int, block: int) -> DataFrame:
-    """(ra, rb): links between components of a bucket; members (band, node, root) are dealt to pairs of blocks."""
-    size = members.groupBy("band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = (members.join(size, "band").withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("node", "root", "band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                     F.signum(F.col("mine") - F.col("other")).cast("int").alias("side")))
-    keyed = (dealt.join(sets.select(F.col("digest").alias("node"), "items"), "node")
-             .select("band", "i", "j", "side", "root", "items"))
-    cores = keyed.sparkSession.sparkContext.defaultParallelism
-    shuffles = max(cores, int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-    def compare(batches):
-        key, rows = None, []
-
-        def done():
-            links = _connecting(rows, similarity)
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()), pa.array([x[1] for x in links], pa.binary())], ["ra", "rb"])
-
-        for batch in batches:
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("band", "i", "j", "side", "root")]
-            items = batch.column("items")
-            off, flat = items.offsets.to_numpy(), items.values.to_numpy()
-            for k, (band, i, j, side, root) in enumerate(zip(*cols)):
-                if (band, i, j) != key:
-                    if len(rows) > 1:
-                        yield done()
-                    key, rows = (band, i, j), []
-                rows.append((side, bytes(root), flat[off[k]:off[k + 1]].copy()))
-        if len(rows) > 1:
-            yield done()
-
-    return keyed.repartition(shuffles, "band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(compare, "ra binary, rb binary")
-
-
-def _merge(of: Staged, ends: DataFrame) -> Staged:
-    """The roots (node, root) after joining components along the links ``ends`` (ra, rb) of roots."""
-    links = Staged(ends.distinct(), "links")
-    if links.df.isEmpty():
-        links.drop()
-        return of
-    to = connected_components(links.df, "ra", "rb")
-    merged = Staged(of.df.join(to.df.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
-                    .select("node", F.coalesce("to", "root").alias("root")), "roots")
-    for old in (of, to, links):
-        old.drop()
-    return merged
-
-
 def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
-                    rounds: int = ROUNDS, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    rounds: int = linking.ROUNDS, block: int = linking.BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row; component_id is the smallest id reachable over links."""
+    bounded_batches(docs.sparkSession)
     signed = Staged(signatures(docs, width, bands, rows, id_col, text_col), "signatures").df
     classes = (signed.where("doc_id is not null and digest is not null")
                .groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
-    classes = Staged(classes, "classes")
-    members = classes.df.select("digest", "doc_id", F.explode("bands").alias("band"))
-    # Buckets of the same members (by count, sum and xor of their hashes) say the same: one of them stays.
-    h = F.xxhash64("digest")
-    crowded = members.groupBy("band").agg(F.count("*").alias("n"), F.sum(h.cast("decimal(20,0)")).alias("s"), F.bit_xor(h).alias("x")).where("n > 1")
-    crowded = crowded.groupBy("n", "s", "x").agg(F.min("band").alias("band")).select("band")
-    buckets = Staged(members.join(crowded, "band"), "buckets")
-    classes.drop()
-    wanted = buckets.df.select("doc_id", "digest").distinct()
-    sets = Staged(_whole_sets(docs, wanted, width, id_col, text_col), "shingle-sets")
-    of = Staged(wanted.select(F.col("digest").alias("node"), F.col("digest").alias("root")), "roots")
-    for k in range(rounds):
-        rooted = buckets.df.select("band", F.col("digest").alias("node")).join(of.df, "node")
-        order = F.struct(F.xxhash64(F.lit(k), "node").alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-        hubs = rooted.groupBy("band").agg(F.min(order).alias("s"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-        found = rooted.join(hubs.select("band", "s.hub", "s.hub_root"), "band").where("root <> hub_root")
-        pairs = found.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        x = of.df.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-        y = of.df.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        of = _merge(of, _linked(pairs, sets.df, similarity).join(x, "a").join(y, "b").select("ra", "rb"))
-    rooted = buckets.df.select("band", F.col("digest").alias("node")).join(of.df, "node")
-    apart = rooted.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
-    left = Staged(rooted.join(apart, "band"), "apart")
-    of = _merge(of, _block_links(left.df, sets.df, similarity, block))
-    for old in (left, sets, buckets):
+    classes = Staged(classes.withColumnRenamed("digest", "node"), "classes")
+    buckets = linking.crowded(classes.df.select("node", F.explode("bands").alias("bucket")))
+    wanted = Staged(classes.df.select("doc_id", "node").join(buckets.df.select("node").distinct(), "node"), "wanted")
+    sets = linking.shingle_sets(docs, wanted.df, width, id_col, text_col)
+    for old in (classes, wanted):
         old.drop()
-    roots = of.df.select(F.col("node").alias("digest"), "root")
-    known = signed.select("doc_id", "n_shingles", "digest").join(roots, "digest", "left").withColumn("root", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "digest")))
-    spans = known.where("doc_id is not null and root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = known.join(spans, "root", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    found = linking.component_ids(signed, linking.components(buckets, sets, similarity, block, rounds))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -286,10 +107,10 @@ def drop_near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int =
     found = near_duplicates(docs, width, similarity, id_col=id_col, text_col=text_col, **options).where("doc_id is not null")
     # One small table of ids, so that texts move only if there are very many of them.
     ids = Staged(found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1"), "duplicate-ids").df
-    ids = ids.select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept"))
-    same = docs[id_col] == F.col("__id")
-    alone = docs.join(ids, same, "left_anti")
-    again = docs.join(ids.where("__kept"), same, "left_semi").dropDuplicates([id_col, text_col])
+    # The ids' own column names never meet those of the documents: both joins return documents only.
+    kept = ids.where("kept")
+    alone = docs.join(ids, docs[id_col] == ids["doc_id"], "left_anti")
+    again = docs.join(kept, docs[id_col] == kept["doc_id"], "left_semi").dropDuplicates([id_col, text_col])
     return alone.unionByName(again)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loglens.llm import bpe, decontaminate, licenses, minhash, negatives, preference, prefix_trie, quality, token_counts, token_files, toxicity, urls
+from loglens.llm import bpe, decontaminate, jaccard, licenses, minhash, negatives, preference, prefix_trie, quality, token_counts, token_files, toxicity, urls
 
 QUERIES = {
     "op1_minhash_dedup": minhash.q_op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe": bpe.q_op8,
     "op9_url_filter": urls.q_op9,
     "op10_decontamination": decontaminate.q_op10,
+    "op11_jaccard_join": jaccard.q_op11,
     "op12_conversation_trie": prefix_trie.q_op12,
     "op13_hard_negatives": negatives.q_op13,
 }
@@ -25,6 +26,7 @@ ORACLE = {
     "op5_quality_rules": quality.ORACLE_OP5,
     "op9_url_filter": urls.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
+    "op11_jaccard_join": jaccard.ORACLE_OP11,
     "op12_conversation_trie": prefix_trie.ORACLE_OP12,
     "op13_hard_negatives": negatives.ORACLE_OP13,
 }

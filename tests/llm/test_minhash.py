@@ -8,49 +8,7 @@ import pytest
 
 from loglens.llm import minhash
 from loglens.llm.text import Words, combine, shingles
-
-SPACE = "\t\n\x0b\x0c\r "
-
-
-def _words(text):
-    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    out, own = [], ""
-    for c in low + " ":
-        if c in SPACE:
-            if own:
-                out.append(own)
-            own = ""
-        else:
-            own += c
-    return out
-
-
-def _set(text, width):
-    w = _words(text)
-    return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
-
-
-def _brute(rows, width, percent):
-    sets = [_set(t, width) for _, t in rows]
-    parent = list(range(len(rows)))
-
-    def top(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i in range(len(rows)):
-        for j in range(i):
-            if sets[i] and sets[j] and rows[i][0] is not None and rows[j][0] is not None:
-                if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
-                    parent[top(i)] = top(j)
-    least = {}
-    for i, (d, _) in enumerate(rows):
-        if d is not None:
-            least[top(i)] = min(least.get(top(i), d), d)
-    return sorted((repr(d), len(s), least.get(top(i)) if d is not None else None, d is None or least[top(i)] == d)
-                  for i, ((d, _), s) in enumerate(zip(rows, sets)))
-
+from llm_brute import _set, brute
 
 def _rows():
     random.seed(3)
@@ -73,7 +31,7 @@ def test_groups_equal_brute_force(spark, width, block, rounds):
     rows = _rows()
     docs = spark.createDataFrame([(d, t, b"x", 1) for d, t in rows], "doc_id bigint, text string, digest binary, band int").repartition(3)
     got = minhash.near_duplicates(docs, width, block=block, rounds=rounds).collect()
-    assert sorted((repr(r.doc_id), r.n_shingles, r.component_id, r.kept) for r in got) == _brute(rows, width, 80)
+    assert sorted((repr(r.doc_id), r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, width, 80)
 
 
 def test_drop_keeps_one_of_each_group_and_all_columns(spark):
@@ -81,7 +39,7 @@ def test_drop_keeps_one_of_each_group_and_all_columns(spark):
     docs = spark.createDataFrame([(d, t, "en", "kept") for d, t in rows], "doc_id bigint, text string, lang string, kept string")
     out = minhash.drop_near_duplicates(docs)
     assert out.columns == docs.columns
-    want = sorted({(d, t) for (d, t), b in zip(sorted(rows, key=lambda r: repr(r[0])), sorted(_brute(rows, 5, 80))) if b[3]}, key=repr)
+    want = sorted({(d, t) for (d, t), b in zip(sorted(rows, key=lambda r: repr(r[0])), sorted(brute(rows, 5, 80))) if b[3]}, key=repr)
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == want
 
 
