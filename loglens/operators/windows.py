@@ -7,10 +7,14 @@ row per map task in the shuffle, whatever its share of the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglens.functions.logline import seen_text
+from loglens.functions.numeric import floor_div
 
 WINDOW_COLUMNS = ("window_start", "window_end", "ip", "hits", "last_seen")
 
@@ -34,7 +38,7 @@ def hits_by_ip(parsed: DataFrame) -> DataFrame:
 
 
 def window_aggregate(parsed: DataFrame, length: str, slide: str | None = None) -> DataFrame:
-    """Grouped but unprojected windowed aggregate (for streaming state).
+    """Grouped but unprojected windowed aggregate (for a stream in update mode, which allows only one stateful operator).
 
     Windows are aligned to the epoch and half open, ``[start, end)``; a row
     lands in ``length / slide`` windows.
@@ -50,9 +54,53 @@ def project_windows(agg: DataFrame) -> DataFrame:
                       "ip", "hits", _last_seen(agg))
 
 
+# Microseconds of the units of a window's length.
+UNIT_US = {"microsecond": 1, "millisecond": 1000, "second": 10 ** 6, "minute": 60 * 10 ** 6, "hour": 3600 * 10 ** 6,
+           "day": 86400 * 10 ** 6, "week": 7 * 86400 * 10 ** 6}
+
+
+def duration_us(text: str) -> int:
+    """Microseconds of ``"30 seconds"`` or ``"1 day 2 hours"``; a day has 24 hours, as in Spark's windows."""
+    parts = re.findall(r"(\d+)\s+([a-z]+?)s?(?:\s+|$)", text.strip().lower())
+    if not parts or re.sub(r"(\d+)\s+([a-z]+)(\s+|$)", "", text.strip().lower()) or any(u not in UNIT_US for _, u in parts):
+        raise ValueError(f"not a duration: {text!r}")
+    return sum(int(n) * UNIT_US[u] for n, u in parts)
+
+
+def pane_us(length: str, slide: str | None) -> int:
+    """The longest span that every window is made of: the greatest common divisor of length and slide."""
+    return math.gcd(duration_us(length), duration_us(slide or length))
+
+
+def window_starts(pane: Column, length: str, slide: str | None) -> Column:
+    """Array of the starts (epoch microseconds) of the windows that contain the pane starting at ``pane``."""
+    size, step, width = duration_us(length), duration_us(slide or length), pane_us(length, slide)
+    first = floor_div(pane + F.lit(width - size + step - 1), step) * F.lit(step)
+    last = floor_div(pane, step) * F.lit(step)
+    # A slide longer than the length leaves panes that are in no window.
+    return F.when(first <= last, F.sequence(first, last, F.lit(step))).otherwise(F.array().cast("array<bigint>"))
+
+
+def hits_by_pane(parsed: DataFrame, length: str, slide: str | None = None) -> DataFrame:
+    """``pane bigint (epoch us), ip, hits, last_key|last_text``: rows that share all their windows, counted once."""
+    width = pane_us(length, slide)
+    pane = floor_div(F.unix_micros("ets"), width) * F.lit(width)
+    return parsed.groupBy(pane.alias("pane"), "ip").agg(*_hits_aggs(parsed))
+
+
 def hits_by_window(parsed: DataFrame, length: str, slide: str | None = None) -> DataFrame:
-    """``window_start, window_end bigint (epoch s), ip, hits, last_seen``."""
-    return project_windows(window_aggregate(parsed, length, slide))
+    """``window_start, window_end bigint (epoch s), ip, hits, last_seen``.
+
+    Rows are not expanded to their length / slide windows: they are counted per
+    client and pane (the span that divides length and slide), and the few panes are
+    then combined into the windows that hold them.
+    """
+    panes = hits_by_pane(parsed, length, slide)
+    last = "last_key" if "last_key" in panes.columns else "last_text"
+    each = panes.select(F.explode(window_starts(F.col("pane"), length, slide)).alias("start"), "ip", "hits", last)
+    agg = each.groupBy("start", "ip").agg(F.sum("hits").alias("hits"), F.max(last).alias(last))
+    return agg.select(floor_div("start", 10 ** 6).alias("window_start"), floor_div(F.col("start") + F.lit(duration_us(length)), 10 ** 6).alias("window_end"),
+                      "ip", "hits", _last_seen(agg))
 
 
 def min_hits(df: DataFrame, threshold: int) -> DataFrame:

@@ -163,6 +163,15 @@ def q_udaf_span(spark, d):
     return span_udaf(ev, "event_id", "event_type")
 
 
+def q_udaf_span_nulls(spark, d):
+    # nullable 64-bit values beyond what a double holds, and a nullable 64-bit key
+    ev = read_table(spark, d, "events", "event_id", "user_id")
+    big = F.lit(9007199254740993).cast("bigint")
+    value = F.when(F.col("event_id") % 7 != 0, big + F.col("event_id"))
+    key = F.when(F.col("user_id") % 5 != 0, big + F.col("user_id"))
+    return span_udaf(ev.select(key.alias("key"), value.alias("v")), "v", "key")
+
+
 # -- access log ---------------------------------------------------------------
 
 def q_parse_access_log(spark, d):

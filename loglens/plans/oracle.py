@@ -149,3 +149,5 @@ ORACLE["udf_predicate"] = ORACLE["regex_full_match"]
 ORACLE["udf_partition_resource"] = ORACLE["regex_full_match"]
 ORACLE["udaf_concat"] = ORACLE["acc_concat"]
 ORACLE["udaf_span"] = "SELECT event_type, max(event_id) - min(event_id) AS span FROM events GROUP BY event_type"
+ORACLE["udaf_span_nulls"] = """SELECT CASE WHEN user_id % 5 <> 0 THEN 9007199254740993 + user_id END AS key,
+  max(CASE WHEN event_id % 7 <> 0 THEN event_id END) - min(CASE WHEN event_id % 7 <> 0 THEN event_id END) AS span FROM events GROUP BY 1"""
