@@ -19,8 +19,11 @@ The boundary between both is the size of least cost: names of the enumerated
 subsets on one side, and on the other the postings and the lengths of the lists
 that they are in, both summed over all classes.
 
-Candidates are verified on their whole sets and contracted to components by
-:mod:`loglens.llm.linking`; no link is lost, and no pairs of a list are enumerated.
+A bounded sketch of all postings proves most lists to have one entry; these go before
+any shuffle.  Candidates are compared by their prefixes first, of which linked sets
+share not one shingle but many, then verified on their whole sets and contracted to
+components by :mod:`loglens.llm.linking`; no link is lost, and no pairs of a list are
+enumerated.
 
 Nulls, empty texts and texts without words have an empty set and no links.  Rows
 with a null id take no part: their component is null.  Repeated rows of an id each
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm import linking
+from loglens.llm import linking, sketch
 from loglens.llm.tables import Staged, bounded_batches, table
 from loglens.llm.text import U, Words, chunks, lists, mix, shingles, stream
 
@@ -167,6 +170,24 @@ def boundary(classes: DataFrame, small: int, similarity: int) -> int:
     return min(range(small + 1), key=cost)
 
 
+def _not_alone(listed: DataFrame, column: str, bits: int | None = None) -> DataFrame:
+    """(node, bucket) of the lists in ``column``, without buckets that a bounded sketch proves to have one member."""
+    keys = listed.select(F.explode(column).alias("bucket"))
+    total = listed.agg(F.sum(F.size(column))).first()[0] or 0
+    shared = listed.sparkSession.sparkContext.broadcast(sketch.build(keys, "bucket", bits or sketch.bits_for(total)))
+
+    def run(batches):
+        found = shared.value
+        for batch in batches:
+            names = batch.column(column)
+            flat = names.flatten()
+            node = np.repeat(np.arange(batch.num_rows), names.value_lengths().to_numpy(zero_copy_only=False))
+            kept = np.flatnonzero(found.met_twice(flat.to_numpy().view(U)))
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(node[kept])), flat.take(pa.array(kept))], ["node", "bucket"])
+
+    return listed.select("node", column).mapInArrow(run, "node binary, bucket bigint")
+
+
 def candidates(classes: DataFrame, x: int, similarity: int) -> DataFrame:
     """(node, bucket): names of the subsets of sets up to x shingles, and postings of all that a larger one may link to."""
 
@@ -182,7 +203,7 @@ def candidates(classes: DataFrame, x: int, similarity: int) -> DataFrame:
 
     light = classes.where(F.col("n") <= x).select("node", "items").mapInArrow(enumerate_, "node binary, bucket bigint")
     listed = classes.where(F.floor(F.lit(100) * F.col("n") / similarity) > x)
-    return listed.select("node", F.explode("prefix").alias("bucket")).unionByName(light)
+    return _not_alone(listed, "prefix").unionByName(light)
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, limit: int | None = None, common: int = COMMON,
@@ -197,11 +218,10 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, similarity: int = SI
     classes = Staged(one, "classes")
     x = boundary(classes.df, small, similarity) if limit is None else min(limit, small)
     buckets = linking.crowded(candidates(classes.df, x, similarity))
-    wanted = Staged(classes.df.select("doc_id", "node").join(buckets.df.select("node").distinct(), "node"), "wanted")
-    sets = linking.shingle_sets(docs, wanted.df, width, id_col, text_col)
-    for old in (classes, wanted):
-        old.drop()
-    return linking.component_ids(signed, linking.components(buckets, sets, similarity))
+    ids = classes.df.select("doc_id", "node")
+    fetch = lambda nodes: linking.shingle_sets(docs, ids.join(nodes, "node"), width, id_col, text_col)
+    heads = classes.df.select("node", "n", F.col("prefix").alias("head"))
+    return linking.component_ids(signed, linking.components(buckets, fetch, similarity, heads=heads))
 
 
 def q_op11(spark, sf_dir: str) -> DataFrame:

@@ -18,6 +18,8 @@ No link between candidates is lost.  Tasks hold two blocks of whole sets at most
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -45,6 +47,7 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, width: int, id_col: str, t
     The texts are read again, and only the sets of ids that a bounded sketch of the
     wanted ones lets pass are made and shuffled.
     """
+    classes = Staged(classes, "wanted-sets").df
     hashed = classes.select(F.xxhash64("doc_id").alias("key"))
     shared = docs.sparkSession.sparkContext.broadcast(sketch.build(hashed, "key", sketch.bits_for(classes.count()), 1))
 
@@ -123,6 +126,31 @@ def _connecting(rows: list[tuple], similarity: int) -> list[tuple]:
     return out
 
 
+def least_shared(n, m, p, q, similarity: int):
+    """How many of their first ``p`` and ``q`` elements linked sets of ``n`` and ``m`` share at least, in whatever common order.
+
+    Of the shared elements, ``need`` or more, at most n - p follow the first set's head
+    and m - q the second's.  Numbers or arrays.
+    """
+    need = -(-similarity * (n + m) // (100 + similarity))
+    return need, np.minimum(p - (n - need), q - (m - need))
+
+
+def _may_link(rows: list[tuple], similarity: int) -> bool:
+    """Whether heads (side, root, head, size) of one pair of blocks leave a link between two components possible."""
+    left = [r for r in rows if r[0] <= 0]
+    right = [r for r in rows if r[0] >= 0]
+    if not left or not right:
+        return False
+    both = _overlaps([r[2] for r in left], [r[2] for r in right])
+    column = lambda f, x: np.array([f(r) for r in x], np.int64)
+    n, m = column(lambda r: r[3], left)[:, None], column(lambda r: r[3], right)[None, :]
+    need, least = least_shared(n, m, column(lambda r: len(r[2]), left)[:, None], column(lambda r: len(r[2]), right)[None, :], similarity)
+    number = {root: k for k, root in enumerate({r[1] for r in rows})}
+    apart = column(lambda r: number[r[1]], left)[:, None] != column(lambda r: number[r[1]], right)[None, :]
+    return bool((apart & (both >= least) & (need <= np.minimum(n, m))).any())
+
+
 def deal(members: DataFrame, similarity: int, block: int) -> DataFrame:
     """(bucket, i, j, side, node, root): the members (bucket, node, root, size) dealt to pairs of blocks.
 
@@ -148,33 +176,55 @@ def deal(members: DataFrame, similarity: int, block: int) -> DataFrame:
     return main_side.unionByName(other_side).unionByName(among)
 
 
-def _block_links(members: DataFrame, sets: DataFrame, similarity: int, block: int) -> DataFrame:
-    """(ra, rb): links between components of a bucket."""
-    keyed = deal(members, similarity, block).join(sets, "node").select("bucket", "i", "j", "side", "root", "items")
+def _by_blocks(keyed: DataFrame, judge, schema: str) -> DataFrame:
+    """What ``judge(key, rows)`` gives (a record batch) for the rows (side, root, items, size) of each pair of blocks (bucket, i, j)."""
     spark = keyed.sparkSession
     shuffles = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def compare(batches):
         key, rows = None, []
-
-        def done():
-            links = _connecting(rows, similarity)
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()), pa.array([x[1] for x in links], pa.binary())], ["ra", "rb"])
-
         for batch in batches:
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "side", "root")]
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "side", "root", "size")]
             items = batch.column("items")
             off, flat = items.offsets.to_numpy(), items.values.to_numpy()
-            for k, (bucket, i, j, side, root) in enumerate(zip(*cols)):
+            for k, (bucket, i, j, side, root, size) in enumerate(zip(*cols)):
                 if (bucket, i, j) != key:
                     if len(rows) > 1:
-                        yield done()
+                        yield judge(key, rows)
                     key, rows = (bucket, i, j), []
-                rows.append((side, bytes(root), flat[off[k]:off[k + 1]].copy()))
+                rows.append((side, bytes(root), flat[off[k]:off[k + 1]].copy(), size))
         if len(rows) > 1:
-            yield done()
+            yield judge(key, rows)
+
+    return (keyed.select("bucket", "i", "j", "side", "root", "items", "size").repartition(shuffles, "bucket", "i", "j")
+            .sortWithinPartitions("bucket", "i", "j").mapInArrow(compare, schema))
+
+
+def _block_links(dealt: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """(ra, rb): links between components of a bucket."""
+    def judge(key, rows):
+        links = _connecting(rows, similarity)
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()), pa.array([x[1] for x in links], pa.binary())], ["ra", "rb"])
+
+    return _by_blocks(dealt.join(sets, "node").withColumn("size", F.size("items")), judge, "ra binary, rb binary")
+
+
+def _possible_blocks(dealt: DataFrame, heads: DataFrame, similarity: int) -> DataFrame:
+    """(bucket, i, j): the pairs of blocks in which heads leave a link possible."""
+    def judge(key, rows):
+        some = [key] if _may_link(rows, similarity) else []
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in some], pa.int64()), pa.array([k[1] for k in some], pa.int32()), pa.array([k[2] for k in some], pa.int32())], ["bucket", "i", "j"])
+
+    return _by_blocks(dealt.join(heads.select("node", F.col("head").alias("items"), F.col("n").alias("size")), "node"), judge, "bucket bigint, i int, j int")
+
 
-    return keyed.repartition(shuffles, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(compare, "ra binary, rb binary")
+def _possible(pairs: DataFrame, heads: DataFrame, similarity: int) -> DataFrame:
+    """The pairs (a, b) that their heads leave possible."""
+    side = lambda k: heads.select(*(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "head"))).withColumnRenamed(f"node_{k}", k)
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * similarity / (100 + similarity))
+    least = F.least(F.size("head_a") - F.col("n_a"), F.size("head_b") - F.col("n_b")) + need
+    return both.where((need <= F.least("n_a", "n_b")) & (F.size(F.array_intersect("head_a", "head_b")) >= least)).select("a", "b")
 
 
 def _merge(of: Staged, ends: DataFrame) -> Staged:
@@ -199,28 +249,50 @@ def crowded(members: DataFrame) -> Staged:
     return Staged(members.join(full, "bucket"), "buckets")
 
 
-def components(buckets: Staged, sets: Staged, similarity: int, block: int = BLOCK, rounds: int = ROUNDS) -> Staged:
-    """(node, root) of all nodes in ``buckets`` (see :func:`crowded`); both are dropped.  A link: 100 * shared >= similarity * united.
+def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, rounds: int = ROUNDS, heads: DataFrame | None = None) -> Staged:
+    """(node, root) of all nodes in ``buckets`` (see :func:`crowded`), which is dropped.  A link: 100 * shared >= similarity * united.
 
-    ``rounds`` (0 to 2) hubs are tried before blocks are compared; any number gives the same components.
+    ``fetch(nodes)`` gives the staged whole sets (node, items) of nodes.  ``heads`` (node, n, head), the
+    first elements of every set in one order and its size, spare most whole sets of
+    dissimilar members (:func:`least_shared`).  ``rounds`` (0 to 2) hubs are tried before blocks are
+    compared.  Neither changes the components.
     """
     nodes = buckets.df.select("node").distinct()
     of = Staged(nodes.select("node", F.col("node").alias("root")), "roots")
-    hubs = ["hub", "hub2"][:rounds]
-    others = buckets.df
-    for hub in hubs:
+    others, pairs = buckets.df, []
+    for hub in ("hub", "hub2")[:rounds]:
         others = others.where(F.col("node") != F.col(hub))
-        pairs = others.select(F.col("node").alias("a"), F.col(hub).alias("b")).distinct()
+        some = others.select(F.col("node").alias("a"), F.col(hub).alias("b")).distinct()
+        pairs.append(Staged(some if heads is None else _possible(some, heads, similarity), "pairs"))
+    wanted = nodes
+    if heads is not None:
+        ends = [x.df.select(F.col(c).alias("node")) for x in pairs for c in ("a", "b")]
+        wanted = functools.reduce(DataFrame.union, ends, nodes.limit(0)).distinct()
+    sets = fetch(wanted)
+    for k, found in enumerate(pairs):
         x = of.df.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         y = of.df.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        apart = pairs.join(x, "a").join(y, "b").where("ra <> rb").select("a", "b") if hub != hubs[0] else pairs
+        apart = found.df.join(x, "a").join(y, "b").where("ra <> rb").select("a", "b") if k else found.df
         of = _merge(of, _verified(apart, sets.df, similarity).join(x, "a").join(y, "b").select("ra", "rb"))
-    sizes = sets.df.select("node", F.size("items").alias("size"))
+        found.drop()
+    sizes = sets.df.select("node", F.size("items").alias("size")) if heads is None else heads.select("node", F.col("n").alias("size"))
     rooted = others.where(F.col("n") > rounds + 1).select("bucket", "node").join(of.df, "node").join(sizes, "node")
     several = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("bucket")
     left = Staged(rooted.join(several, "bucket"), "apart")
     if not left.df.isEmpty():
-        of = _merge(of, _block_links(left.df, sets.df, similarity, block))
+        dealt = Staged(deal(left.df, similarity, block), "dealt")
+        if heads is None:
+            of = _merge(of, _block_links(dealt.df, sets.df, similarity))
+        else:
+            near = Staged(_possible_blocks(dealt.df, heads, similarity), "near-blocks")
+            if not near.df.isEmpty():
+                again = Staged(dealt.df.join(near.df, ["bucket", "i", "j"]), "dealt-again")
+                more = fetch(again.df.select("node").distinct())
+                of = _merge(of, _block_links(again.df, more.df, similarity))
+                again.drop()
+                more.drop()
+            near.drop()
+        dealt.drop()
     for old in (left, sets, buckets):
         old.drop()
     return of

@@ -91,11 +91,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMIL
                .groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
     classes = Staged(classes.withColumnRenamed("digest", "node"), "classes")
     buckets = linking.crowded(classes.df.select("node", F.explode("bands").alias("bucket")))
-    wanted = Staged(classes.df.select("doc_id", "node").join(buckets.df.select("node").distinct(), "node"), "wanted")
-    sets = linking.shingle_sets(docs, wanted.df, width, id_col, text_col)
-    for old in (classes, wanted):
-        old.drop()
-    found = linking.component_ids(signed, linking.components(buckets, sets, similarity, block, rounds))
+    ids = classes.df.select("doc_id", "node")
+    fetch = lambda nodes: linking.shingle_sets(docs, ids.join(nodes, "node"), width, id_col, text_col)
+    found = linking.component_ids(signed, linking.components(buckets, fetch, similarity, block, rounds))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

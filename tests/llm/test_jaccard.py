@@ -121,10 +121,26 @@ def test_every_pair_of_components_meets(spark):
 def test_block_links_connect_what_hubs_leave(spark):
     """Chains of sets in one bucket, most of them not similar to either hub."""
     sets = [(f"n{k:03d}".encode(), list(range(k * 3 + 1000 * (k // 20), k * 3 + 1000 * (k // 20) + 40))) for k in range(60)]
-    for rounds in (0, 1, 2):
-        stored = Staged(spark.createDataFrame(sets, "node binary, items array<bigint>"), "test-sets")
+    heads_of = [(n, len(x), x[:len(x) - 32 + 1]) for n, x in sets]
+    for rounds, heads in [(0, None), (1, None), (2, None), (0, 1), (1, 1), (2, 1)]:
+        heads = heads and spark.createDataFrame(heads_of, "node binary, n bigint, head array<bigint>")
+        stored = spark.createDataFrame(sets, "node binary, items array<bigint>")
+        fetch = lambda nodes: Staged(stored.join(nodes, "node"), "test-sets")
         buckets = linking.crowded(spark.createDataFrame([(n, 1) for n, _ in sets], "node binary, bucket bigint"))
         roots = {}
-        for x in linking.components(buckets, stored, 80, 4, rounds).df.collect():
+        for x in linking.components(buckets, fetch, 80, 4, rounds, heads).df.collect():
             roots.setdefault(bytes(x.root), []).append(bytes(x.node))
         assert sorted(sorted(v) for v in roots.values()) == [[f"n{k:03d}".encode() for k in range(i, i + 20)] for i in (0, 20, 40)]
+
+
+def test_heads_never_exclude_a_link():
+    r = random.Random(8)
+    for similarity in (60, 80, 90):
+        for _ in range(300):
+            a = sorted(r.sample(range(60), r.randint(1, 40)))
+            b = sorted(set(a) - set(r.sample(a, min(len(a) - 1, r.randint(0, 3)))) | set(r.sample(range(60), r.randint(0, 3))))
+            both = len(set(a) & set(b))
+            if 100 * both >= similarity * (len(a) + len(b) - both):
+                p, q = jaccard.prefix_length(len(a), similarity), jaccard.prefix_length(len(b), similarity)
+                need, least = linking.least_shared(len(a), len(b), p, q, similarity)
+                assert need <= both and least >= 1 and len(set(a[:p]) & set(b[:q])) >= least
