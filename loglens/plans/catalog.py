@@ -33,8 +33,9 @@ from loglens.operators import (
 from loglens.session import staging_dir
 from loglens.sources import access_log_lines, document_lines, lines_of_events, read_table, stage_text, text_lines
 from loglens.streaming import (
-    batch_count_sink, event_stream, leaderboard_sink, read_batch_counts, read_latest_snapshot,
-    read_window_upserts, run_available, text_stream, window_upsert_sink, windowed_hits,
+    PANE_ROWS, batch_count_sink, closed_windows, event_stream, late_rows, latest_wins, leaderboard_sink,
+    newest_push, pane_windows, push_for, read_batch_counts, read_latest, read_latest_snapshot, read_open_windows, read_pushes,
+    read_window_upserts, run_available, run_to_files, snapshot_stream, text_stream, window_upsert_sink, windowed_hits,
 )
 
 # Fixed values of the test queries.
@@ -290,6 +291,45 @@ def q_late_data_dropped(spark, d):
     return read_window_upserts(spark, f"{root}/out")
 
 
+def q_stream_hits_panes(spark, d):
+    # closed windows from the sink, open ones from the state
+    root = staging_dir(spark, "panes-stream")
+    run_to_files(pane_windows(_stream(spark, d), "3 days", "1 day"), f"{root}/out", f"{root}/checkpoint", state_partitions=STATE_PARTITIONS)
+    closed = closed_windows(spark.read.schema(PANE_ROWS).parquet(f"{root}/out"), "3 days")
+    return closed.unionByName(read_open_windows(spark, f"{root}/checkpoint", "3 days", "1 day"))
+
+
+def q_stream_late_rows(spark, d):
+    # The earliest line, delivered again after a restart: given out with the windows it missed.
+    root = staging_dir(spark, "late-rows")
+    oldest = _log(spark, d).orderBy(F.substring_index("value", " ", -1), "value").limit(1)
+    oldest.limit(0).write.text(f"{root}/late")
+    stream = pane_windows(_stream(spark, d).unionByName(text_stream(spark, f"{root}/late")), "3 days", "1 day")
+    for _ in range(2):
+        run_to_files(stream, f"{root}/out", f"{root}/checkpoint", state_partitions=STATE_PARTITIONS)
+        oldest.write.mode("append").text(f"{root}/late")
+    return late_rows(spark.read.schema(PANE_ROWS).parquet(f"{root}/out"))
+
+
+def q_stream_latest_event(spark, d):
+    # the newest event type of each user, kept in the state and read from there
+    root = staging_dir(spark, "latest-stream")
+    rows = event_stream(spark, d).withColumn("at", F.unix_micros(F.col("ts").cast("string").cast("timestamp")))
+    run_to_files(latest_wins(rows, "user_id", "at", "event_type"), f"{root}/out", f"{root}/checkpoint", "update", state_partitions=STATE_PARTITIONS)
+    return read_latest(spark, f"{root}/checkpoint").select(F.col("key").alias("user_id"), F.col("value").alias("event_type"))
+
+
+def q_stream_push_newest(spark, d):
+    # the newest closed window, pushed by a timer once a second at most
+    root = staging_dir(spark, "push-stream")
+    _run(windowed_hits(_stream(spark, d), "3 days", "1 day"), leaderboard_sink(f"{root}/snapshots", 50, by="key"), root, "append")
+    if read_latest_snapshot(spark, f"{root}/snapshots").isEmpty():
+        return read_latest_snapshot(spark, f"{root}/snapshots")
+    push_for(newest_push(snapshot_stream(spark, f"{root}/snapshots"), 1000), f"{root}/pushed", f"{root}/push-checkpoint", 120,
+             lambda: not read_pushes(spark, f"{root}/pushed").isEmpty())
+    return read_pushes(spark, f"{root}/pushed")
+
+
 def q_stream_batch_counts(spark, d):
     # One file of the table per batch.
     root = staging_dir(spark, "count-stream")

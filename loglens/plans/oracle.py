@@ -151,3 +151,14 @@ ORACLE["udaf_concat"] = ORACLE["acc_concat"]
 ORACLE["udaf_span"] = "SELECT event_type, max(event_id) - min(event_id) AS span FROM events GROUP BY event_type"
 ORACLE["udaf_span_nulls"] = """SELECT CASE WHEN user_id % 5 <> 0 THEN 9007199254740993 + user_id END AS key,
   max(CASE WHEN event_id % 7 <> 0 THEN event_id END) - min(CASE WHEN event_id % 7 <> 0 THEN event_id END) AS span FROM events GROUP BY 1"""
+
+ORACLE["stream_hits_panes"] = _W3D
+ORACLE["stream_push_newest"] = ORACLE["stream_snapshot_kafka"]
+ORACLE["stream_latest_event"] = """SELECT user_id, event_type FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL AND event_type IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) = 1"""
+ORACLE["stream_late_rows"] = f"""WITH {_G},
+o AS (SELECT ip, seen, (es // 86400) * 86400 AS day FROM g ORDER BY seen, {_G_LINE} LIMIT 1),
+x AS (SELECT max(ets_ms) - 60000 AS upto FROM g)
+SELECT ip, day * 1000000 AS pane, CAST(1 AS BIGINT) AS hits, seen AS last_seen,
+       CAST(len(list_filter([1, 2, 3], lambda k: (day + k * 86400) * 1000 <= upto)) AS INTEGER) AS missed
+FROM o, x WHERE (day + 86400) * 1000 <= upto"""

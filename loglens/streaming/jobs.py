@@ -8,6 +8,7 @@ on the sink's output (a static table).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -95,6 +96,42 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
         raise RuntimeError(str(q.exception()))
 
 
+def run_to_files(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
+                 state_partitions: int | None = None) -> None:
+    """Like :func:`run_available` with Spark's parquet sink (exactly once, its log of files is compacted) or, in update mode, none.
+
+    Without a sink only the state is kept, for a reader of the state.
+    """
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
+    if state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    with _session_conf(stream.sparkSession, settings):
+        q = writer.format("parquet").start(path) if output_mode == "append" else writer.format("noop").start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def push_for(stream: DataFrame, path: str, checkpoint: str, seconds: float, until: Callable[[], bool] | None = None,
+             trigger: str = "200 milliseconds") -> None:
+    """Run a stream with processing-time timers into parquet files under ``path`` for ``seconds``, or until ``until()`` holds.
+
+    Such a stream never runs dry: its timers need batches without rows.
+    """
+    with _session_conf(stream.sparkSession, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER, "spark.sql.shuffle.partitions": "1"}):
+        q = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+                   .trigger(processingTime=trigger).start(path))
+    end = time.monotonic() + seconds
+    try:
+        while time.monotonic() < end and q.isActive and not (until and until()):
+            time.sleep(0.1)
+    finally:
+        q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def to_console(stream: DataFrame, num_rows: int = 10, processing_time: str | None = None,
                checkpoint: str | None = None, output_mode: str = "append"):
     """Print the first ``num_rows`` rows of every micro-batch (a debugging sink).

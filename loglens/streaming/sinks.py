@@ -20,6 +20,15 @@ from loglens.operators.windows import leaderboard, project_windows
 # Layout of the upsert log: <out>/batch_id=<n>/*.parquet
 _UPSERT_SCHEMA = ("window_start bigint, window_end bigint, ip string, hits bigint, "
                   "last_seen string, batch_id bigint")
+_SNAPSHOT_SCHEMA = "window_end bigint, message string, batch_id bigint"
+
+
+def _read_batches(spark: SparkSession, out_dir: str, schema: str) -> DataFrame:
+    """What a sink has written; no rows if no batch has written anything yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_dir)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out_dir)
 
 
 def _batch_path(out_dir: str, batch_id: int) -> str:
@@ -51,7 +60,7 @@ def read_window_upserts(spark: SparkSession, out_dir: str) -> DataFrame:
     ``max_by`` is an aggregate with a partial step, so a key updated in many
     batches is reduced map-side.
     """
-    rows = spark.read.schema(_UPSERT_SCHEMA).parquet(out_dir)
+    rows = _read_batches(spark, out_dir, _UPSERT_SCHEMA)
     latest = F.max_by(F.struct("hits", "last_seen"), "batch_id").alias("v")
     return (rows.groupBy("window_start", "window_end", "ip").agg(latest)
                 .select("window_start", "window_end", "ip",
@@ -80,9 +89,8 @@ def leaderboard_sink(snap_dir: str, n: int = 50, by: str = "hits",
 
 
 def read_latest_snapshot(spark: SparkSession, snap_dir: str) -> DataFrame:
-    """``window_end, message`` of the newest window published, from its last batch."""
-    schema = "window_end bigint, message string, batch_id bigint"
-    snaps = spark.read.schema(schema).option("ignoreMissingFiles", "true").parquet(snap_dir)
+    """``window_end, message`` of the newest window published, from its last batch; no row before the first."""
+    snaps = _read_batches(spark, snap_dir, _SNAPSHOT_SCHEMA)
     newest = F.max(F.struct("window_end", "batch_id", "message")).alias("s")
     return snaps.agg(newest).where("s is not null").select("s.window_end", "s.message")
 
@@ -99,12 +107,22 @@ def batch_count_sink(out_dir: str) -> Callable[[DataFrame, int], None]:
     """Sink writing ``batch_id, n, message`` for every micro-batch, also empty ones."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         n = batch.agg(F.count(F.lit(1)).alias("n"))
-        (n.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "n",
-                  count_message(F.col("n")).alias("message"))
+        (n.select("n", count_message(F.col("n")).alias("message"))
           .write.mode("overwrite").parquet(_batch_path(out_dir, batch_id)))
     return sink
 
 
 def read_batch_counts(spark: SparkSession, out_dir: str) -> DataFrame:
-    rows = spark.read.parquet(out_dir)
-    return rows.select(F.col("batch_id").cast("bigint").alias("batch_id"), "n", "message")
+    return _read_batches(spark, out_dir, "n bigint, message string, batch_id bigint").select("batch_id", "n", "message")
+
+
+def snapshot_stream(spark: SparkSession, snap_dir: str) -> DataFrame:
+    """The messages of :func:`leaderboard_sink`, as they are written, as a stream of ``window_end, message``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(snap_dir)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    return spark.readStream.schema(_SNAPSHOT_SCHEMA).parquet(snap_dir).select("window_end", "message")
+
+
+def read_pushes(spark: SparkSession, path: str) -> DataFrame:
+    """``window_end, message`` of every push written so far."""
+    return _read_batches(spark, path, "window_end bigint, message string")
