@@ -88,19 +88,15 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
         q = (stream.writeStream.foreachBatch(sink).outputMode(output_mode)
                    .option("checkpointLocation", checkpoint)
                    .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("streaming query did not finish in time")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _finish(q, timeout_s)
 
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
-                 state_partitions: int | None = None) -> None:
+                 state_partitions: int | None = None, timeout_s: float | None = None) -> None:
     """Like :func:`run_available` with Spark's parquet sink (exactly once, its log of files is compacted) or, in update mode, none.
 
-    Without a sink only the state is kept, for a reader of the state.
+    Without a sink only the state is kept, for a reader of the state.  A stream with processing-time
+    timers or time-to-live never runs dry: see :func:`push_for`.
     """
     settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
     if state_partitions is not None:
@@ -108,20 +104,27 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str, output_mode: str
     writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     with _session_conf(stream.sparkSession, settings):
         q = writer.format("parquet").start(path) if output_mode == "append" else writer.format("noop").start()
-    q.awaitTermination()
+    _finish(q, timeout_s)
+
+
+def _finish(q, timeout_s: float | None) -> None:
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("streaming query did not finish in time")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
 def push_for(stream: DataFrame, path: str, checkpoint: str, seconds: float, until: Callable[[], bool] | None = None,
-             trigger: str = "200 milliseconds") -> None:
+             trigger: str = "200 milliseconds", output_mode: str = "append") -> None:
     """Run a stream with processing-time timers into parquet files under ``path`` for ``seconds``, or until ``until()`` holds.
 
     Such a stream never runs dry: its timers need batches without rows.
     """
     with _session_conf(stream.sparkSession, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER, "spark.sql.shuffle.partitions": "1"}):
-        q = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-                   .trigger(processingTime=trigger).start(path))
+        writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).trigger(processingTime=trigger)
+        q = writer.format("parquet").start(path) if output_mode == "append" else writer.format("noop").start()
     end = time.monotonic() + seconds
     try:
         while time.monotonic() < end and q.isActive and not (until and until()):

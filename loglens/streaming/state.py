@@ -52,56 +52,52 @@ class PaneWindows(StatefulProcessor):
         panes, hits, lasts, fired = self.state.get()
         return {int(p): (int(h), int(k)) for p, h, k in zip(panes, hits, lasts)}, int(fired)
 
-    def _store(self, panes: dict, fired: int) -> None:
-        at = sorted(panes)
-        self.state.update((at, [panes[p][0] for p in at], [panes[p][1] for p in at], fired))
-
     def _ends(self, panes: dict, after: int) -> list[int]:
         """Ends after ``after`` of the windows that hold a pane, ascending."""
         return sorted({s + self.size for p in panes for s in _bounds(p, self.width, self.size, self.step) if s + self.size > after})
 
-    def _wake(self, panes: dict, after: int) -> None:
-        """One timer, at the end of the first window that is still open."""
-        ends = self._ends(panes, after)
-        if ends:
-            self.handle.registerTimer(-(-ends[0] // 1000))
+    def _closed(self, ip, panes: dict, after: int, upto: int) -> list[tuple]:
+        """The windows that end in ``(after, upto]``; their sums."""
+        out = []
+        for end in self._ends(panes, after):
+            if end > upto:
+                break
+            own = [v for p, v in panes.items() if end - self.size <= p < end]
+            out.append(("window", ip, end - self.size, sum(h for h, _ in own), max(k for _, k in own), 0))
+        return out
+
+    def _keep(self, panes: dict, closed: int) -> None:
+        """Store the panes of open windows, and wake at the end of the first of these."""
+        kept = {p: v for p, v in panes.items() if _bounds(p, self.width, self.size, self.step)[-1] + self.size > closed}
+        if not kept:
+            self.state.clear()
+            return
+        at = sorted(kept)
+        self.state.update((at, [kept[p][0] for p in at], [kept[p][1] for p in at], closed))
+        self.handle.registerTimer(-(-self._ends(kept, closed)[0] // 1000))
 
     def handleInputRows(self, key, rows, timerValues):
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
         panes, fired = self._load()
-        closed = max(watermark, fired)
-        late = []
+        closed = max(timerValues.getCurrentWatermarkInMs() * 1000, fired)
+        # Rows come before the timers of their batch: what the watermark has closed takes none of them.
+        out = self._closed(key[0], panes, fired, closed)
         for batch in rows:
             for pane, hits, last in batch[["pane", "hits", "last_key"]].itertuples(index=False, name=None):
                 starts = _bounds(pane, self.width, self.size, self.step)
                 missed = sum(s + self.size <= closed for s in starts)
                 if missed:
-                    late.append(("late", key[0], pane, hits, last, missed))
+                    out.append(("late", key[0], pane, hits, last, missed))
                 if missed < len(starts):
                     old = panes.get(pane, (0, _NONE))
                     panes[pane] = (old[0] + hits, max(old[1], last))
-        if panes:
-            self._store(panes, fired)
-            self._wake(panes, closed)
-        yield _frame(late)
+        self._keep({p: v for p, v in panes.items() if len(_bounds(p, self.width, self.size, self.step))}, closed)
+        yield _frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
         panes, fired = self._load()
-        out = []
-        for end in self._ends(panes, fired):
-            if end > watermark:
-                break
-            own = [v for p, v in panes.items() if end - self.size <= p < end]
-            out.append(("window", key[0], end - self.size, sum(h for h, _ in own), max(k for _, k in own), 0))
-            fired = end
-        # what no open window holds goes
-        kept = {p: v for p, v in panes.items() if any(s + self.size > max(fired, watermark) for s in _bounds(p, self.width, self.size, self.step))}
-        if kept:
-            self._store(kept, fired)
-            self._wake(kept, max(fired, watermark))
-        else:
-            self.state.clear()
+        closed = max(timerValues.getCurrentWatermarkInMs() * 1000, fired)
+        out = self._closed(key[0], panes, fired, closed)
+        self._keep(panes, closed)
         yield _frame(out)
 
     def close(self) -> None:
