@@ -90,12 +90,6 @@ def _stored(spark, checkpoint):
         return False
 
 
-def test_a_stream_with_a_clock_is_not_drained(spark, tmp_path):
-    rows = spark.readStream.schema("k string, version bigint, v string").csv(str(tmp_path))
-    with pytest.raises(TimeoutError):
-        run_to_files(latest_wins(rows, "k", "version", "v", ttl_ms=1000), "", staging_dir(spark, "t-clock"), "update", state_partitions=1, timeout_s=10)
-
-
 def test_two_windows_in_an_interval_give_one_message(spark):
     root = staging_dir(spark, "t-push")
     snaps = f"{root}/snaps"
