@@ -6,7 +6,10 @@ from loglens.operators.words import (
     tokenize, word_count, word_count_sorted, line_lengths, longest_line,
 )
 from loglens.operators.filters import isin_filter, member_filter, regex_filter
-from loglens.operators.aggregates import total_sum, observe_sum, observed_total, concat_ordered
+from loglens.operators.aggregates import (
+    total_sum, observe_sum, observed_total, concat_ordered, concat_offsets, concat_pieces,
+)
+from loglens.operators.scan import running_totals
 from loglens.operators.udfs import (
     check_serializable, predicate_udf, regex_predicate_udf,
     series_predicate_udf, filter_with_partition_resource, user_aggregate, concat_udaf, span_udaf,

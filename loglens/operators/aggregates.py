@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loglens.functions.numeric import floor_div
+from loglens.operators.scan import running_totals
 
 
 def total_sum(df: DataFrame, column: str, alias: str = "total") -> DataFrame:
@@ -61,3 +62,25 @@ def concat_ordered(df: DataFrame, value: str, order: str, group: str | None = No
     if group is not None:
         return df.groupBy(group).agg(agg.alias(alias))
     return df.agg(F.coalesce(agg, F.lit("")).alias(alias))
+
+
+def concat_offsets(df: DataFrame, value: str, order: str) -> DataFrame:
+    """``<order>, offset bigint, <value>``: where each value begins (in UTF-8 bytes) in the concatenation of all, in ``order``.
+
+    The offsets are running totals over range partitions; no task sees the whole.  ``order`` must tell
+    rows apart.  Null values are left out, as an accumulator adds nothing for them.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(order, value, F.octet_length(F.col(value)).cast("bigint").alias("__bytes"))
+    laid = running_totals(rows, [F.col(order).asc_nulls_first()], ["__bytes"], name="concat")
+    return laid.select(order, F.col("before___bytes").alias("offset"), value)
+
+
+def concat_pieces(df: DataFrame, value: str, order: str, piece_bytes: int = 1 << 20, alias: str = "text") -> DataFrame:
+    """``offset bigint, <alias>``: the one accumulator string as pieces that know their place.
+
+    A piece holds the values that begin within the same ``piece_bytes`` bytes, so it is never longer
+    than these and one value; each piece laid at its offset, they are the whole concatenation.
+    """
+    laid = concat_offsets(df, value, order).withColumn("__piece", floor_div("offset", piece_bytes))
+    text = F.expr(f"listagg(`{value}`, '') WITHIN GROUP (ORDER BY `{order}`)")
+    return laid.groupBy("__piece").agg(F.min("offset").alias("offset"), text.alias(alias)).drop("__piece")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from loglens.functions.numeric import floor_div
 from loglens.operators import (
-    access_log_rejects, agent_keywords, agents_of, concat_ordered, concat_udaf,
+    access_log_rejects, agent_keywords, agents_of, concat_ordered, concat_pieces, concat_udaf,
     distinct_keywords, filter_with_partition_resource, hits_by_ip, hits_by_window,
     isin_filter, keyword_freq, leaderboard, line_lengths, longest_line, member_filter,
     min_hits, observed_total, parse_access_log, regex_filter, regex_predicate_udf,
@@ -44,6 +44,7 @@ DIGITS_REGEX = r"1\d+"                              # whole-match pattern
 STATE_PARTITIONS = 8                                # of the streams' window state
 ONE_CLIENT = "src1"                                # the client whose agents are listed
 CONCAT_CHUNK = 1000                                 # event ids per concatenated chunk
+CONCAT_PIECE = 4096                                 # bytes in which the values of a piece begin
 DAY = 86400
 
 
@@ -153,6 +154,11 @@ def q_acc_concat(spark, d):
     return concat_ordered(ev, "event_type", "event_id", chunk_width=CONCAT_CHUNK)
 
 
+def q_acc_concat_pieces(spark, d):
+    ev = read_table(spark, d, "events", "event_id", "event_type")
+    return concat_pieces(ev, "event_type", "event_id", CONCAT_PIECE)
+
+
 def q_udaf_concat(spark, d):
     ev = read_table(spark, d, "events", "event_id", "event_type")
     ev = ev.withColumn("chunk", floor_div("event_id", CONCAT_CHUNK))
