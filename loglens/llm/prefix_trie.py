@@ -205,7 +205,9 @@ def prefix_trie(rows: DataFrame, sizes: DataFrame, bits: int | None = None) -> D
 
 
 def q_op12(spark, sf_dir: str) -> DataFrame:
-    rows = numbered(compact(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
+    # written once: sorting reads its input twice, and texts should be read once
+    turns = Staged(compact(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")), "compact-turns").df
+    rows = numbered(turns)
     sizes = Staged(lengths(rows), "conversation-sizes").df
     heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
     return prefix_trie(*spliced(rows, sizes, F.col("conv_id") - F.col("conv_id") % 20, heads, 3))
