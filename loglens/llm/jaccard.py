@@ -171,7 +171,10 @@ def boundary(classes: DataFrame, small: int, similarity: int) -> int:
 
 
 def _not_alone(listed: DataFrame, column: str, bits: int | None = None) -> DataFrame:
-    """(node, bucket) of the lists in ``column``, without buckets that a bounded sketch proves to have one member."""
+    """(node, bucket, label) of the lists in ``column``, without buckets that a bounded sketch proves to have one member.
+
+    The label is the least bucket that a node is left in.
+    """
     keys = listed.select(F.explode(column).alias("bucket"))
     total = listed.agg(F.sum(F.size(column))).first()[0] or 0
     shared = listed.sparkSession.sparkContext.broadcast(sketch.build(keys, "bucket", bits or sketch.bits_for(total)))
@@ -183,13 +186,16 @@ def _not_alone(listed: DataFrame, column: str, bits: int | None = None) -> DataF
             flat = names.flatten()
             node = np.repeat(np.arange(batch.num_rows), names.value_lengths().to_numpy(zero_copy_only=False))
             kept = np.flatnonzero(found.met_twice(flat.to_numpy().view(U)))
-            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(node[kept])), flat.take(pa.array(kept))], ["node", "bucket"])
+            node, bucket = node[kept], flat.to_numpy()[kept]
+            start = np.flatnonzero(np.diff(node, prepend=-1))
+            label = np.repeat(np.minimum.reduceat(bucket, start), np.diff(np.append(start, len(node)))) if len(node) else bucket
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(node)), pa.array(bucket), pa.array(label)], ["node", "bucket", "label"])
 
-    return listed.select("node", column).mapInArrow(run, "node binary, bucket bigint")
+    return listed.select("node", column).mapInArrow(run, "node binary, bucket bigint, label bigint")
 
 
 def candidates(classes: DataFrame, x: int, similarity: int) -> DataFrame:
-    """(node, bucket): names of the subsets of sets up to x shingles, and postings of all that a larger one may link to."""
+    """(node, bucket, label): names of the subsets of sets up to x shingles, and postings of all that a larger one may link to."""
 
     def enumerate_(batches):
         for batch in batches:
@@ -203,7 +209,7 @@ def candidates(classes: DataFrame, x: int, similarity: int) -> DataFrame:
 
     light = classes.where(F.col("n") <= x).select("node", "items").mapInArrow(enumerate_, "node binary, bucket bigint")
     listed = classes.where(F.floor(F.lit(100) * F.col("n") / similarity) > x)
-    return _not_alone(listed, "prefix").unionByName(light)
+    return _not_alone(listed, "prefix").unionByName(light.withColumn("label", F.col("bucket")))
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, limit: int | None = None, common: int = COMMON,

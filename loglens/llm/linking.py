@@ -136,8 +136,11 @@ def least_shared(n, m, p, q, similarity: int):
     return need, np.minimum(p - (n - need), q - (m - need))
 
 
-def _may_link(rows: list[tuple], similarity: int) -> bool:
-    """Whether heads (side, root, head, size) of one pair of blocks leave a link between two components possible."""
+def _may_link(bucket: int, rows: list[tuple], similarity: int) -> bool:
+    """Whether heads (side, root, head, size) of one pair of blocks leave a link between two components possible.
+
+    Two sets that share several elements of their heads are looked at in the bucket of the least only.
+    """
     left = [r for r in rows if r[0] <= 0]
     right = [r for r in rows if r[0] >= 0]
     if not left or not right:
@@ -148,22 +151,26 @@ def _may_link(rows: list[tuple], similarity: int) -> bool:
     need, least = least_shared(n, m, column(lambda r: len(r[2]), left)[:, None], column(lambda r: len(r[2]), right)[None, :], similarity)
     number = {root: k for k, root in enumerate({r[1] for r in rows})}
     apart = column(lambda r: number[r[1]], left)[:, None] != column(lambda r: number[r[1]], right)[None, :]
-    return bool((apart & (both >= least) & (need <= np.minimum(n, m))).any())
+    for i, j in np.argwhere(apart & (both >= least) & (need <= np.minimum(n, m))).tolist():
+        first = np.intersect1d(left[i][2], right[j][2])[0]
+        if first == bucket or bucket not in left[i][2]:
+            return True
+    return False
 
 
 def deal(members: DataFrame, similarity: int, block: int) -> DataFrame:
-    """(bucket, i, j, side, node, root): the members (bucket, node, root, size) dealt to pairs of blocks.
+    """(bucket, i, j, side, node, root): the members (bucket, node, root, part, size) dealt to pairs of blocks.
 
-    Of every bucket, the members outside its largest component meet those of that component
-    (i >= 0: its blocks) and each other (i < 0).
+    Members of one part need not meet.  Of every bucket, the members outside its largest part
+    meet those of that part (i >= 0: its blocks) and each other (i < 0).
     """
-    parts = members.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("size").alias("least"), F.max("size").alias("most"))
-    main = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("bucket", F.col("top.root").alias("main"))
-    rest = (parts.join(main, "bucket").where("root <> main").groupBy("bucket", "main")
+    parts = members.groupBy("bucket", "part").agg(F.count("*").alias("n"), F.min("size").alias("least"), F.max("size").alias("most"))
+    main = parts.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("bucket", F.col("top.part").alias("main"))
+    rest = (parts.join(main, "bucket").where("part <> main").groupBy("bucket", "main")
             .agg(F.sum("n").alias("n_rest"), F.min("least").alias("least"), F.max("most").alias("most")))
-    # a set of the main component can only be linked to an outsider if its size fits
+    # a set of the main part can only be linked to an outsider if its size fits
     fits = (F.col("size") * 100 >= F.col("least") * similarity) & (F.col("size") * similarity <= F.col("most") * 100)
-    own = members.join(rest, "bucket").withColumn("outside", F.col("root") != F.col("main")).where(F.col("outside") | fits)
+    own = members.join(rest, "bucket").withColumn("outside", F.col("part") != F.col("main")).where(F.col("outside") | fits)
     n_main = own.where("not outside").groupBy("bucket").agg(F.count("*").alias("n_main"))
     own = own.join(n_main, "bucket", "left").select(
         "bucket", "node", "root", "outside", F.ceil(F.col("n_rest") / block).cast("int").alias("rests"), F.coalesce(F.ceil(F.col("n_main") / block), F.lit(0)).cast("int").alias("mains"))
@@ -212,7 +219,7 @@ def _block_links(dealt: DataFrame, sets: DataFrame, similarity: int) -> DataFram
 def _possible_blocks(dealt: DataFrame, heads: DataFrame, similarity: int) -> DataFrame:
     """(bucket, i, j): the pairs of blocks in which heads leave a link possible."""
     def judge(key, rows):
-        some = [key] if _may_link(rows, similarity) else []
+        some = [key] if _may_link(key[0], rows, similarity) else []
         return pa.RecordBatch.from_arrays([pa.array([k[0] for k in some], pa.int64()), pa.array([k[1] for k in some], pa.int32()), pa.array([k[2] for k in some], pa.int32())], ["bucket", "i", "j"])
 
     return _by_blocks(dealt.join(heads.select("node", F.col("head").alias("items"), F.col("n").alias("size")), "node"), judge, "bucket bigint, i int, j int")
@@ -242,11 +249,23 @@ def _merge(of: Staged, ends: DataFrame) -> Staged:
 
 
 def crowded(members: DataFrame) -> Staged:
-    """(bucket, node, n, hub, hub2): the members (bucket, node) of buckets with several; of buckets of the same members one stays."""
-    h = F.xxhash64("node")
-    full = members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(h.cast("decimal(20,0)")).alias("s"), F.bit_xor(h).alias("x"), F.min("node").alias("hub"), F.max("node").alias("hub2")).where("n > 1")
-    full = full.groupBy("n", "s", "x", "hub", "hub2").agg(F.min("bucket").alias("bucket")).select("bucket", "n", "hub", "hub2")
-    return Staged(members.join(full, "bucket"), "buckets")
+    """(bucket, node, label, n, hub, hub2): the members (bucket, node) of buckets with several.
+
+    Of buckets of the same members one stays.  Where members come with a ``label``, the least
+    of their buckets, two members of one label are looked at in the bucket that it names, and in
+    no other; buckets that have only such pairs go.  Hubs are structs of node and label.
+    """
+    labelled = "label" in members.columns
+    own = members if labelled else members.withColumn("label", F.col("bucket"))
+    one = F.struct("node", "label")
+    full = own.groupBy("bucket").agg(F.count("*").alias("n"), F.min(one).alias("hub"), F.max(one).alias("hub2"),
+                                     *([F.min("label").alias("l0"), F.max("label").alias("l1")] if labelled else
+                                       [F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("node")).alias("x")])).where("n > 1")
+    if labelled:
+        full = full.where("l0 <> l1 or l0 = bucket").select("bucket", "n", "hub", "hub2")
+    else:
+        full = full.groupBy("n", "s", "x", "hub.node", "hub2.node").agg(F.min("bucket").alias("bucket"), F.min("hub").alias("hub"), F.min("hub2").alias("hub2")).select("bucket", "n", "hub", "hub2")
+    return Staged(own.join(full, "bucket"), "buckets")
 
 
 def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, rounds: int = ROUNDS, heads: DataFrame | None = None) -> Staged:
@@ -261,8 +280,9 @@ def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, roun
     of = Staged(nodes.select("node", F.col("node").alias("root")), "roots")
     others, pairs = buckets.df, []
     for hub in ("hub", "hub2")[:rounds]:
-        others = others.where(F.col("node") != F.col(hub))
-        some = others.select(F.col("node").alias("a"), F.col(hub).alias("b")).distinct()
+        others = others.where(F.col("node") != F.col(f"{hub}.node"))
+        here = (F.col("label") != F.col(f"{hub}.label")) | (F.col("label") == F.col("bucket"))
+        some = others.where(here).select(F.col("node").alias("a"), F.col(f"{hub}.node").alias("b")).distinct()
         pairs.append(Staged(some if heads is None else _possible(some, heads, similarity), "pairs"))
     wanted = nodes
     if heads is not None:
@@ -276,8 +296,12 @@ def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, roun
         of = _merge(of, _verified(apart, sets.df, similarity).join(x, "a").join(y, "b").select("ra", "rb"))
         found.drop()
     sizes = sets.df.select("node", F.size("items").alias("size")) if heads is None else heads.select("node", F.col("n").alias("size"))
-    rooted = others.where(F.col("n") > rounds + 1).select("bucket", "node").join(of.df, "node").join(sizes, "node")
-    several = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("bucket")
+    rooted = others.where(F.col("n") > rounds + 1).select("bucket", "node", "label").join(of.df, "node").join(sizes, "node")
+    # Members of one component, and those whose label names another bucket that they share, need not meet.
+    part = F.when(F.col("label") == F.col("bucket"), F.col("root")).otherwise(F.col("label").cast("string").cast("binary"))
+    rooted = rooted.withColumn("part", part)
+    several = (rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("part").alias("p0"), F.max("part").alias("p1"))
+               .where("r0 <> r1 and p0 <> p1").select("bucket"))
     left = Staged(rooted.join(several, "bucket"), "apart")
     if not left.df.isEmpty():
         dealt = Staged(deal(left.df, similarity, block), "dealt")

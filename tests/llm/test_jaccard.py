@@ -96,7 +96,7 @@ def test_an_outsider_of_a_hot_bucket_costs_a_few_rows_a_member(spark):
     """One bucket of near copies, all of one component, and one outsider."""
     n = 100_000
     members = spark.range(n + 1).select(F.lit(7).cast("bigint").alias("bucket"), F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("node"),
-                                        F.when(F.col("id") < n, F.lit(b"main")).otherwise(F.lit(b"other")).alias("root"), (F.lit(100) + F.col("id") % 5).cast("int").alias("size"))
+                                        F.when(F.col("id") < n, F.lit(b"main")).otherwise(F.lit(b"other")).alias("part"), F.lit(b"r").alias("root"), (F.lit(100) + F.col("id") % 5).cast("int").alias("size"))
     dealt = linking.deal(members, 80, 256)
     assert n < dealt.count() < 2 * n
     blocks = dealt.groupBy("bucket", "i", "j").count()
@@ -105,8 +105,8 @@ def test_an_outsider_of_a_hot_bucket_costs_a_few_rows_a_member(spark):
 
 def test_every_pair_of_components_meets(spark):
     r = random.Random(6)
-    rows = [(b, f"n{b}-{k}".encode(), f"r{r.choice([0, 0, 0, 1, 2, k])}".encode(), 10) for b in range(4) for k in range(25)]
-    dealt = linking.deal(spark.createDataFrame(rows, "bucket bigint, node binary, root binary, size int"), 80, 3).collect()
+    rows = [(b, f"n{b}-{k}".encode(), f"r{r.choice([0, 0, 0, 1, 2, k])}".encode(), b"r", 10) for b in range(4) for k in range(25)]
+    dealt = linking.deal(spark.createDataFrame(rows, "bucket bigint, node binary, part binary, root binary, size int"), 80, 3).collect()
     met = set()
     cells = {}
     for x in dealt:
