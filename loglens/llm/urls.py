@@ -13,8 +13,12 @@ blocked only if a rule blocks a url of it and no rule allows one.  What nothing
 decides is allowed.
 
 Nulls: a null url, or one without ``://``, has an empty host and path, no edges
-and no rule, and is allowed.  A null html has no links.  Link targets that are
-neither absolute nor begin with ``/`` are ignored.  Repeated rows each get a row.
+and no rule, and is allowed.  A null or empty html has no links.  All tags of a page
+count, with ``canonical`` anywhere in a list of relations; targets have their character
+references resolved and are taken relative to the page's url (not to a ``<base>``);
+those of other schemes (``mailto:``) are ignored.  Repeated rows each get a row.  An
+empty table gives no rows.  A very long html is one row's work, a link one small row.
+Columns other than those named in the calls have no influence, whatever their names.
 """
 
 from __future__ import annotations
@@ -50,21 +54,70 @@ def _canonical_key(host: Column, path: Column, query: Column) -> Column:
     return F.when(host != "", F.md5(F.concat_ws("\x02", bare, short, kept)))
 
 
+# The named entities of HTML that urls are written with.
+ENTITIES = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
+_ENTITY = r"(?s)&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&(?:amp|lt|gt|quot|apos);|[^&]+|&"
+
+
+def _decoded(text: Column) -> Column:
+    """The text with its character references resolved, once; those that name no character stay."""
+    def one(x: Column) -> Column:
+        digits = F.regexp_extract(x, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+        code = F.conv(digits, 10, 16)
+        code = F.when(x.rlike(r"^&#[xX]"), F.upper(digits)).otherwise(code)
+        number = F.conv(code, 16, 10).cast("int")
+        real = (digits != "") & (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        out = F.when(real, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32"))
+        for name, character in ENTITIES.items():
+            out = out.when(x == name, F.lit(character))
+        return out.otherwise(x)
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), one), "")
+
+
+def _no_dots(path: Column) -> Column:
+    """A path that begins with ``/``, without ``.`` and ``..`` segments."""
+    segments = F.split(path, "/")
+    none = F.expr("cast(array() as array<string>)")
+    step = lambda acc, x: F.when(x == ".", acc).when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.array_append(acc, x))
+    kept = F.aggregate(F.slice(segments, 2, F.greatest(F.size(segments), F.lit(1))), none, step)
+    end = F.when(F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), end)
+
+
 def _absolute(target: Column, url: Column) -> Column:
-    """A link target as an absolute url; null if it has another form."""
-    scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
-    return (F.when(F.instr(target, "://") > 0, target).when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-            .when(target.startswith("/"), F.concat(scheme, F.lit("://"), F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), target)))
+    """A link target as an absolute url, resolved against the page's; null if it has another scheme or the page no url."""
+    origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    base = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    query = F.regexp_extract(url, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    path, tail = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(base, r"(?s)^(.*/)", 1), F.lit("")), F.lit("/"))
+    joined = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
+    relative = (F.when(path != "", F.concat(origin, _no_dots(joined), tail)).when(tail.startswith("?"), F.concat(origin, base, tail))
+                .otherwise(F.concat(origin, base, query, tail)))
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), target).when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit(None).cast("string"))
+            .when(origin == "", F.lit(None).cast("string")).when(target.startswith("//"), F.concat(F.regexp_extract(url, r"(?s)^(.*?)://", 1), F.lit(":"), target)).otherwise(relative))
+
+
+def _tags(html: Column, name: str) -> Column:
+    return F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(rf"(?is)<{name}\b[^>]*>"), F.lit(0))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, in either kind of quotes or none; empty without one."""
+    pattern = rf"""(?is)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.concat(*(F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)))
 
 
 def html_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(from_url, to_url): canonical links and refresh redirects of the pages."""
+    """(from_url, to_url): all canonical links and refresh redirects of the pages."""
     html, url = F.col(html_col), F.col(url_col)
-    canonical = F.regexp_extract(html, r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    refresh = F.regexp_extract(html, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    targets = F.array(F.regexp_extract(canonical, r"(?is)\bhref\s*=\s*[\"']?([^\"'>\s]+)", 1), F.regexp_extract(refresh, r"(?is)\burl\s*=\s*[\"']?([^\"'>\s;]+)", 1))
-    return (pages.select(url.alias("from_url"), F.explode(targets).alias("__to")).where("from_url is not null and __to <> ''")
-            .select("from_url", _absolute(F.col("__to"), F.col("from_url")).alias("to_url")).where("to_url is not null"))
+    canonical = F.transform(F.filter(_tags(html, "link"), lambda t: _attribute(t, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)")), lambda t: _attribute(t, "href"))
+    refresh = F.transform(F.filter(_tags(html, "meta"), lambda t: _attribute(t, "http-equiv").rlike(r"(?i)^\s*refresh\s*$")),
+                          lambda t: F.regexp_extract(_attribute(t, "content"), r"""(?is)\burl\s*=\s*["']?([^"']*)""", 1))
+    targets = F.transform(F.concat(canonical, refresh), lambda t: F.regexp_replace(_decoded(t), r"^\s+|\s+$", ""))
+    found = pages.where(url.isNotNull()).select(url.alias("from_url"), F.explode(targets).alias("to_url")).where("to_url <> ''")
+    return found.select("from_url", _absolute(F.col("to_url"), F.col("from_url")).alias("to_url")).where("to_url is not null")
 
 
 def rule_for(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -112,11 +165,33 @@ WITH RECURSIVE rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com',
 s AS (SELECT page_id, url, html, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 pg AS (SELECT row_number() OVER () AS rid, page_id, url, html, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query FROM s),
-raw AS (SELECT url, unnest([regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''>\s]+)', 1),
-         regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''>\s;]+)', 1)]) AS t
-        FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
-lk AS (SELECT url AS f, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
-         WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || '://' || regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) || t END AS t FROM raw WHERE t <> ''),
+lt AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+mt AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+att AS (SELECT url, tag, 'rel' AS name FROM lt UNION ALL SELECT url, tag, 'http-equiv' FROM mt),
+va AS (SELECT url, name, CASE name WHEN 'rel' THEN concat(regexp_extract(tag, '(?is)[\s"''/]rel\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 1),
+           regexp_extract(tag, '(?is)[\s"''/]rel\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 2), regexp_extract(tag, '(?is)[\s"''/]rel\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3))
+         ELSE concat(regexp_extract(tag, '(?is)[\s"''/]http-equiv\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 1),
+           regexp_extract(tag, '(?is)[\s"''/]http-equiv\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 2), regexp_extract(tag, '(?is)[\s"''/]http-equiv\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3)) END AS kind,
+         CASE name WHEN 'rel' THEN concat(regexp_extract(tag, '(?is)[\s"''/]href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 1),
+           regexp_extract(tag, '(?is)[\s"''/]href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 2), regexp_extract(tag, '(?is)[\s"''/]href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3))
+         ELSE regexp_extract(concat(regexp_extract(tag, '(?is)[\s"''/]content\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 1),
+           regexp_extract(tag, '(?is)[\s"''/]content\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 2), regexp_extract(tag, '(?is)[\s"''/]content\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3)),
+           '(?is)\burl\s*=\s*["'']?([^"'']*)', 1) END AS value FROM att),
+de AS (SELECT url, list_transform(regexp_extract_all(value, '(?s)&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&(?:amp|lt|gt|quot|apos);|[^&]+|&'), lambda x: {'x': x, 'n':
+           CASE WHEN regexp_matches(x, '^&#[0-9]+;$') THEN CAST(x[3:-2] AS BIGINT) WHEN regexp_matches(x, '^&#[xX][0-9a-fA-F]+;$') THEN CAST('0x' || x[4:-2] AS BIGINT) END}) AS parts
+       FROM va WHERE regexp_matches(kind, CASE name WHEN 'rel' THEN '(?i)(^|\s)canonical(\s|$)' ELSE '(?i)^\s*refresh\s*$' END)),
+raw AS (SELECT url, regexp_replace(array_to_string(list_transform(parts, lambda p: CASE
+           WHEN p.n IS NOT NULL AND p.n > 0 AND p.n <= 1114111 AND NOT p.n BETWEEN 55296 AND 57343 THEN chr(CAST(p.n AS INTEGER))
+           WHEN p.x = '&amp;' THEN '&' WHEN p.x = '&lt;' THEN '<' WHEN p.x = '&gt;' THEN '>' WHEN p.x = '&quot;' THEN '"' WHEN p.x = '&apos;' THEN '''' ELSE p.x END), ''), '^\s+|\s+$', '', 'g') AS t FROM de),
+ba AS (SELECT url, t, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS origin, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS base, regexp_extract(url, '(?s)^[^?#]*(\?[^#]*)', 1) AS query,
+         regexp_extract(t, '(?s)^([^?#]*)', 1) AS path, regexp_extract(t, '(?s)^[^?#]*(.*)$', 1) AS tail FROM raw WHERE t <> ''),
+sg AS (SELECT *, string_split(CASE WHEN starts_with(path, '/') THEN path ELSE coalesce(nullif(regexp_extract(base, '(?s)^(.*/)', 1), ''), '/') || path END, '/') AS seg FROM ba),
+st AS (SELECT *, list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform(seg[2:], lambda x: [x])),
+           lambda acc, x: CASE WHEN x[1] = '.' THEN acc WHEN x[1] = '..' THEN acc[1:len(acc) - 1] ELSE list_concat(acc, x) END) AS kept FROM sg),
+lk AS (SELECT url AS f, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.\-]*://') THEN t WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN NULL WHEN origin = '' THEN NULL
+         WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
+         WHEN path <> '' THEN origin || '/' || array_to_string(kept, '/') || CASE WHEN seg[-1] IN ('.', '..') AND len(kept) > 0 THEN '/' ELSE '' END || tail
+         WHEN starts_with(tail, '?') THEN origin || base || tail ELSE origin || base || query || tail END AS t FROM st),
 en AS (SELECT u, CASE WHEN contains(u, '://') THEN substr(u, strpos(u, '://') + 3) ELSE '' END AS rest FROM (SELECT unnest([f, t]) AS u FROM lk WHERE t IS NOT NULL)),
 ep AS (SELECT DISTINCT u, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query FROM en),

@@ -70,6 +70,34 @@ def test_url_edges_equal_sql(spark):
     assert urls.judge(pages.where("false"), rules).count() == 0
 
 
+def test_every_link_of_a_page_is_an_edge(spark):
+    """Each page but the first is an alias of a blocked one, or of one that nothing decides."""
+    cases = [  # page url, html, target
+        ("http://a.org/x", '<link rel="icon" href="/i"><link rel="alternate canonical" href="http://b.net/es/1">', "block"),
+        ("http://c.org/x", '<link rel=canonical href=/self><link href="http://b.net/es/2" rel="canonical">', "block"),
+        ("http://d.org/x", '<meta http-equiv="refresh" content="5"><META HTTP-EQUIV=Refresh CONTENT="0; URL=http://b.net/es/3;v=1">', "block"),
+        ("http://e.org/x", "<meta content='0;url=\"http://b.net/es/4\"' http-equiv='refresh'>", "block"),
+        ("http://f.org/x", '<link rel="canonical" href="http://b.net/es/5?a=1&amp;b=2">', "block"),
+        ("http://g.org/x", '<link rel="canonical" href="http&#58;//b.net&#x2F;es/6&#47;&#1114112;&amp;amp;">', "block"),
+        ("http://b.net/en/q/y", '<link rel="canonical" href="../../es/7/./z">', "block"),
+        ("http://b.net/en", '<link rel="canonical" href="es/">', "block"),
+        ("http://h.org/x", '<link rel="canonical" href="//b.net/es/8">', "block"),
+        ("http://i.org/x", '<link rel="canonical" href="mailto:me@b.net/es/"><link data-rel="canonical" href="http://b.net/es/9"><link rel="canonicals" href="http://b.net/es/9">', "allow"),
+        ("http://j.org/a/b?q=1#f", '<link rel="canonical" href="#top"><link rel="canonical" href="?z">', "allow"),
+        ("http://j.org/a/b?z", '<link rel="canonical" href="http://b.net/es/10">', "block"),
+        ("no url", '<link rel="canonical" href="es/">', "allow"),
+        ("http://k.org", '<link rel="canonical" href="">' + "<p>" * 50_000, "allow"), ("http://l.org/é", '<link rel="canonical" href=" &#233;&#x1F600; ">', "allow"),
+        ("http://l.org/é😀", '<link rel="canonical" href="http://b.net/es/11">', "block"),
+    ]
+    pages = spark.createDataFrame([(k, u, h) for k, (u, h, _) in enumerate(cases)], "page_id bigint, url string, html string")
+    rules = spark.createDataFrame(urls.RULES, "host string, path string, verdict string")
+    got = urls.judge(pages, rules)
+    ok, msg = compare(got, _duck(pages=pages), urls.ORACLE_OP9)
+    assert ok, msg
+    linked = {k for k, (u, _, v) in enumerate(cases) if v == "block"} | {10, 14}  # by way of another page
+    assert {r.page_id for r in got.collect() if r.verdict == "block"} == linked
+
+
 def test_preference_edges(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (1, 1, "assistant", "yo"), (1, 2, "user", None), (1, 3, "assistant", "end"), (2, 0, "user", "only"), (3, None, None, None), (3, 0, "assistant", "é😀"),
              (None, 0, "user", "x"), (4, 0, "assistant", "same"), (4, 1, "assistant", "same")]
