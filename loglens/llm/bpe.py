@@ -11,7 +11,9 @@ quadratic in its length.
 
 Nulls encode as empty texts, and empty texts to no ids.  Ids outside the
 vocabulary and null ids cannot be decoded and raise ``ValueError``.  Repeated
-rows and other columns are left as they are.
+rows and other columns are left as they are, also very long texts, whose matches are
+encoded in slices.  Of pairs of equal rank the leftmost is merged first.  An empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ hashes are compared one by one, and then the bytes.
 
 Nulls: a null text has no words; windows of an item whose id is null hit words
 but no item is named.  Repeated rows of documents each get a row; repeated
-items count once.  Empty tables give empty results or no hits.
+items count once.  Empty tables give empty results or no hits.  A very long text is
+one row's work for one task, in slices of bounded memory.  Columns other than those named
+have no influence, but for helpers' names, which begin with ``__``.
 """
 
 from __future__ import annotations

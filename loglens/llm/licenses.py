@@ -15,7 +15,8 @@ containment is then counted on the whole shingle sets.
 
 Null texts and texts without words match nothing; a text with fewer than 5
 words is compared as its whole sequence.  Very long texts are scanned whole.
-Repeated rows each get a row; names of equal templates are all reported.
+Repeated rows each get a row; names of equal templates are all reported.  An empty table
+gives no rows; columns other than the two named have no influence, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ repeated equal rows count once, and rows without a conversation id are ignored.
 A null role or text is rendered as empty.  Equal conversations have empty
 completions, and where one is a prefix of the other its completion is empty.
 One conversation is one row of the result, so its turns meet in one task.
-Columns other than those named in the calls have no influence.
+Columns other than those named in the calls have no influence, whatever their names;
+an empty table gives no pairs.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ of all documents.
 Nulls: a null text has no words and fails the base rules; null languages and
 sources are groups of their own.  Texts of any length are handled as a whole;
 repeated rows count repeatedly and get the same verdict.  Helper columns start
-with ``__q_``, so other columns may have any other name.
+with ``__q_``, so other columns may have any other name.  An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ byte-pair merges, whose scores are merge ranks and -1e9: the counts are those of
 this method over its pieces, not those that the sentencepiece library gives.
 
 Null and empty texts have no tokens.  Repeated rows each get a row; very long
-words take time in proportion to their length.
+words take time in proportion to their length.  An empty table gives no rows; columns
+other than the two named have no influence, whatever their names.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ manifest, which Spark commits, lists the files of the attempts that counted: a
 lost or repeated task does no harm.
 
 Null and empty texts have only the end id.  Repeated rows are written repeatedly.
-An empty table gives a dataset without documents.
+An empty table gives a dataset without documents.  A very long text is encoded and written
+as one document; columns other than the two named have no influence, whatever their names.
 """
 
 from __future__ import annotations

@@ -30,7 +30,8 @@ Nulls and empty texts have no units and get the score of an unknown word, a low
 one.  Labels that are null, and documents without a label, are not learned from;
 of several labels of a document the highest counts.  Without labels of both
 classes every score is the share of toxic labels, or 0.  Repeated rows each get
-a row; other columns have no influence.
+a row, and equal texts get equal scores.  An empty table gives no rows.  Other columns
+have no influence, but documents must not have one named ``__toxicity``.
 """
 
 from __future__ import annotations
