@@ -171,7 +171,7 @@ def boundary(classes: DataFrame, small: int, similarity: int) -> int:
 
 
 def _not_alone(listed: DataFrame, column: str, bits: int | None = None) -> DataFrame:
-    """(node, bucket, label) of the lists in ``column``, without buckets that a bounded sketch proves to have one member.
+    """(node, size, bucket, label) of the lists in ``column``, without buckets that a bounded sketch proves to have one member.
 
     The label is the least bucket that a node is left in.
     """
@@ -189,13 +189,13 @@ def _not_alone(listed: DataFrame, column: str, bits: int | None = None) -> DataF
             node, bucket = node[kept], flat.to_numpy()[kept]
             start = np.flatnonzero(np.diff(node, prepend=-1))
             label = np.repeat(np.minimum.reduceat(bucket, start), np.diff(np.append(start, len(node)))) if len(node) else bucket
-            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(node)), pa.array(bucket), pa.array(label)], ["node", "bucket", "label"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(node)) for c in ("node", "n")), pa.array(bucket), pa.array(label)], ["node", "size", "bucket", "label"])
 
-    return listed.select("node", column).mapInArrow(run, "node binary, bucket bigint, label bigint")
+    return listed.select("node", "n", column).mapInArrow(run, "node binary, size bigint, bucket bigint, label bigint")
 
 
 def candidates(classes: DataFrame, x: int, similarity: int) -> DataFrame:
-    """(node, bucket, label): names of the subsets of sets up to x shingles, and postings of all that a larger one may link to."""
+    """(node, size, bucket, label): names of the subsets of sets up to x shingles, and postings of all that a larger one may link to."""
 
     def enumerate_(batches):
         for batch in batches:
@@ -205,9 +205,10 @@ def candidates(classes: DataFrame, x: int, similarity: int) -> DataFrame:
                 rows = range(i, min(i + 256, batch.num_rows))
                 names = [subset_names(flat[off[k]:off[k + 1]], similarity) for k in rows]
                 nodes = batch.column("node").take(pa.array(np.repeat(np.array(rows), [len(k) for k in names])))
-                yield pa.RecordBatch.from_arrays([nodes, pa.array(np.concatenate(names).view(np.int64))], ["node", "bucket"])
+                size = pa.array(np.repeat(np.diff(off)[rows.start:rows.stop], [len(k) for k in names]), pa.int64())
+                yield pa.RecordBatch.from_arrays([nodes, size, pa.array(np.concatenate(names).view(np.int64))], ["node", "size", "bucket"])
 
-    light = classes.where(F.col("n") <= x).select("node", "items").mapInArrow(enumerate_, "node binary, bucket bigint")
+    light = classes.where(F.col("n") <= x).select("node", "items").mapInArrow(enumerate_, "node binary, size bigint, bucket bigint")
     listed = classes.where(F.floor(F.lit(100) * F.col("n") / similarity) > x)
     return _not_alone(listed, "prefix").unionByName(light.withColumn("label", F.col("bucket")))
 

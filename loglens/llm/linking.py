@@ -137,7 +137,7 @@ def least_shared(n, m, p, q, similarity: int):
 
 
 def _may_link(bucket: int, rows: list[tuple], similarity: int) -> bool:
-    """Whether heads (side, root, head, size) of one pair of blocks leave a link between two components possible.
+    """Whether heads (side, root, head, size, …) of one pair of blocks leave a link between two components possible.
 
     Two sets that share several elements of their heads are looked at in the bucket of the least only.
     """
@@ -158,6 +158,19 @@ def _may_link(bucket: int, rows: list[tuple], similarity: int) -> bool:
     return False
 
 
+def by_size(members: DataFrame, similarity: int) -> DataFrame:
+    """The members (bucket, node, root, part, size) in one bucket per class of sizes, with the old one as ``origin``.
+
+    Sets that may link are of one class or of neighbouring ones, so each is in the bucket of
+    its own class and, as a visitor, in that of the next; visitors need not meet each other.
+    """
+    # a little wider than the ratio of linked sizes, so that rounding cannot part these by two classes
+    own = F.floor(F.ln(F.col("size")) / F.ln(F.lit(100.001 / similarity)))
+    both = members.withColumn("origin", F.col("bucket")).withColumn("class", own).withColumn("visits", F.explode(F.array(F.lit(0), F.lit(1))))
+    part = F.when(F.col("visits") == 1, F.lit("visitors").cast("binary")).otherwise(F.col("part"))
+    return both.select(F.xxhash64("origin", F.col("class") + F.col("visits")).alias("bucket"), "node", "root", part.alias("part"), "size", "origin")
+
+
 def deal(members: DataFrame, similarity: int, block: int) -> DataFrame:
     """(bucket, i, j, side, node, root): the members (bucket, node, root, part, size) dealt to pairs of blocks.
 
@@ -172,38 +185,40 @@ def deal(members: DataFrame, similarity: int, block: int) -> DataFrame:
     fits = (F.col("size") * 100 >= F.col("least") * similarity) & (F.col("size") * similarity <= F.col("most") * 100)
     own = members.join(rest, "bucket").withColumn("outside", F.col("part") != F.col("main")).where(F.col("outside") | fits)
     n_main = own.where("not outside").groupBy("bucket").agg(F.count("*").alias("n_main"))
+    extra = [c for c in members.columns if c == "origin"]
     own = own.join(n_main, "bucket", "left").select(
-        "bucket", "node", "root", "outside", F.ceil(F.col("n_rest") / block).cast("int").alias("rests"), F.coalesce(F.ceil(F.col("n_main") / block), F.lit(0)).cast("int").alias("mains"))
+        "bucket", "node", "root", *extra, "outside", F.ceil(F.col("n_rest") / block).cast("int").alias("rests"), F.coalesce(F.ceil(F.col("n_main") / block), F.lit(0)).cast("int").alias("mains"))
     place = lambda n: F.pmod(F.xxhash64("node"), F.greatest(F.col(n), F.lit(1))).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    main_side = own.where("not outside").select("bucket", place("mains").alias("i"), upto("rests").alias("j"), F.lit(-1).alias("side"), "node", "root")
-    other_side = own.where("outside and mains > 0").select("bucket", upto("mains").alias("i"), place("rests").alias("j"), F.lit(1).alias("side"), "node", "root")
+    main_side = own.where("not outside").select("bucket", place("mains").alias("i"), upto("rests").alias("j"), F.lit(-1).alias("side"), "node", "root", *extra)
+    other_side = own.where("outside and mains > 0").select("bucket", upto("mains").alias("i"), place("rests").alias("j"), F.lit(1).alias("side"), "node", "root", *extra)
     among = own.where("outside").withColumn("mine", place("rests")).withColumn("other", upto("rests"))
-    among = among.select("bucket", (-1 - F.least("mine", "other")).alias("i"), F.greatest("mine", "other").alias("j"), F.signum(F.col("mine") - F.col("other")).cast("int").alias("side"), "node", "root")
+    among = among.select("bucket", (-1 - F.least("mine", "other")).alias("i"), F.greatest("mine", "other").alias("j"), F.signum(F.col("mine") - F.col("other")).cast("int").alias("side"), "node", "root", *extra)
     return main_side.unionByName(other_side).unionByName(among)
 
 
 def _by_blocks(keyed: DataFrame, judge, schema: str) -> DataFrame:
-    """What ``judge(key, rows)`` gives (a record batch) for the rows (side, root, items, size) of each pair of blocks (bucket, i, j)."""
+    """What ``judge(key, rows)`` gives (a record batch) for the rows (side, root, items, size, origin) of each pair of blocks (bucket, i, j)."""
     spark = keyed.sparkSession
     shuffles = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def compare(batches):
         key, rows = None, []
         for batch in batches:
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "side", "root", "size")]
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "side", "root", "size", "origin")]
             items = batch.column("items")
             off, flat = items.offsets.to_numpy(), items.values.to_numpy()
-            for k, (bucket, i, j, side, root, size) in enumerate(zip(*cols)):
+            for k, (bucket, i, j, side, root, size, origin) in enumerate(zip(*cols)):
                 if (bucket, i, j) != key:
                     if len(rows) > 1:
                         yield judge(key, rows)
                     key, rows = (bucket, i, j), []
-                rows.append((side, bytes(root), flat[off[k]:off[k + 1]].copy(), size))
+                rows.append((side, bytes(root), flat[off[k]:off[k + 1]].copy(), size, origin))
         if len(rows) > 1:
             yield judge(key, rows)
 
-    return (keyed.select("bucket", "i", "j", "side", "root", "items", "size").repartition(shuffles, "bucket", "i", "j")
+    origin = F.col("origin" if "origin" in keyed.columns else "bucket").alias("origin")
+    return (keyed.select("bucket", "i", "j", "side", "root", "items", "size", origin).repartition(shuffles, "bucket", "i", "j")
             .sortWithinPartitions("bucket", "i", "j").mapInArrow(compare, schema))
 
 
@@ -219,7 +234,7 @@ def _block_links(dealt: DataFrame, sets: DataFrame, similarity: int) -> DataFram
 def _possible_blocks(dealt: DataFrame, heads: DataFrame, similarity: int) -> DataFrame:
     """(bucket, i, j): the pairs of blocks in which heads leave a link possible."""
     def judge(key, rows):
-        some = [key] if _may_link(key[0], rows, similarity) else []
+        some = [key] if _may_link(rows[0][4], rows, similarity) else []
         return pa.RecordBatch.from_arrays([pa.array([k[0] for k in some], pa.int64()), pa.array([k[1] for k in some], pa.int32()), pa.array([k[2] for k in some], pa.int32())], ["bucket", "i", "j"])
 
     return _by_blocks(dealt.join(heads.select("node", F.col("head").alias("items"), F.col("n").alias("size")), "node"), judge, "bucket bigint, i int, j int")
@@ -253,11 +268,12 @@ def crowded(members: DataFrame) -> Staged:
 
     Of buckets of the same members one stays.  Where members come with a ``label``, the least
     of their buckets, two members of one label are looked at in the bucket that it names, and in
-    no other; buckets that have only such pairs go.  Hubs are structs of node and label.
+    no other; buckets that have only such pairs go.  Hubs are structs of node, label and, where
+    members come with it, their set's ``size``.
     """
     labelled = "label" in members.columns
     own = members if labelled else members.withColumn("label", F.col("bucket"))
-    one = F.struct("node", "label")
+    one = F.struct("node", "label", *(["size"] if "size" in members.columns else []))
     full = own.groupBy("bucket").agg(F.count("*").alias("n"), F.min(one).alias("hub"), F.max(one).alias("hub2"),
                                      *([F.min("label").alias("l0"), F.max("label").alias("l1")] if labelled else
                                        [F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("node")).alias("x")])).where("n > 1")
@@ -282,6 +298,9 @@ def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, roun
     for hub in ("hub", "hub2")[:rounds]:
         others = others.where(F.col("node") != F.col(f"{hub}.node"))
         here = (F.col("label") != F.col(f"{hub}.label")) | (F.col("label") == F.col("bucket"))
+        if "size" in buckets.df.columns:  # sets of such sizes may link
+            a, b = F.col("size"), F.col(f"{hub}.size")
+            here = here & (F.least(a, b) * 100 >= F.greatest(a, b) * similarity)
         some = others.where(here).select(F.col("node").alias("a"), F.col(f"{hub}.node").alias("b")).distinct()
         pairs.append(Staged(some if heads is None else _possible(some, heads, similarity), "pairs"))
     wanted = nodes
@@ -304,7 +323,7 @@ def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, roun
                .where("r0 <> r1 and p0 <> p1").select("bucket"))
     left = Staged(rooted.join(several, "bucket"), "apart")
     if not left.df.isEmpty():
-        dealt = Staged(deal(left.df, similarity, block), "dealt")
+        dealt = Staged(deal(left.df if heads is None else by_size(left.df, similarity), similarity, block), "dealt")
         if heads is None:
             of = _merge(of, _block_links(dealt.df, sets.df, similarity))
         else:

@@ -144,3 +144,16 @@ def test_heads_never_exclude_a_link():
                 p, q = jaccard.prefix_length(len(a), similarity), jaccard.prefix_length(len(b), similarity)
                 need, least = linking.least_shared(len(a), len(b), p, q, similarity)
                 assert need <= both and least >= 1 and len(set(a[:p]) & set(b[:q])) >= least
+
+
+def test_size_classes_let_all_meet_that_may_link(spark):
+    sizes = list(range(1, 400))
+    members = spark.createDataFrame([(5, f"n{k}".encode(), b"r", f"p{k}".encode(), k) for k in sizes], "bucket bigint, node binary, root binary, part binary, size int")
+    for similarity in (80, 90):
+        cells = {}
+        for x in linking.by_size(members, similarity).collect():
+            assert x.origin == 5
+            cells.setdefault(x.bucket, []).append((x.size, bytes(x.part)))
+        met = {frozenset((a, b)) for own in cells.values() for a, p in own for b, q in own if p != q}
+        assert all(frozenset((a, b)) in met for a in sizes for b in range(a + 1, 400) if 100 * a >= similarity * b)
+        assert len(met) < 399 * 398 // 4
