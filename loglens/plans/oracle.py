@@ -163,6 +163,6 @@ SELECT ip, day * 1000000 AS pane, CAST(1 AS BIGINT) AS hits, seen AS last_seen,
        CAST(len(list_filter([1, 2, 3], lambda k: (day + k * 86400) * 1000 <= upto)) AS INTEGER) AS missed
 FROM o, x WHERE (day + 86400) * 1000 <= upto"""
 ORACLE["acc_concat_pieces"] = """WITH o AS (SELECT event_id, event_type,
-  CAST(coalesce(sum(strlen(event_type)) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at
+  CAST(coalesce(sum(strlen(event_type)) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
   FROM events WHERE event_type IS NOT NULL)
-SELECT min(at) AS "offset", string_agg(event_type, '' ORDER BY event_id) AS text FROM o GROUP BY at // 4096"""
+SELECT min(pos) AS "offset", string_agg(event_type, '' ORDER BY event_id) AS text FROM o GROUP BY pos // 4096"""
