@@ -41,7 +41,7 @@ def test_broadcasts_only_on_bounded_sides(plans):
 
 def test_python_only_in_the_udf_queries(plans):
     with_python = {n for n, p in plans.items() if summarize(p)["python"]}
-    assert with_python == {"udf_predicate", "udf_partition_resource", "udaf_concat", "udaf_span"}
+    assert with_python == {"udf_predicate", "udf_partition_resource", "udaf_concat", "udaf_span", "udaf_span_nulls"}
 
 
 def test_only_needed_columns_are_read(plans):

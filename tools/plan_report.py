@@ -30,7 +30,7 @@ PATTERNS = {
     "sort_agg": r"^\(\d+\) SortAggregate",
     "obj_agg": r"^\(\d+\) ObjectHashAggregate",
     "group_limit": r"^\(\d+\) WindowGroupLimit",
-    "python": r"^\(\d+\) (ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas|BatchEvalPython)",
+    "python": r"^\(\d+\) (ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas|BatchEvalPython)",
     "pushed_filters": r"^PushedFilters: \[.+\]",
 }
 
