@@ -39,7 +39,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the ids, their number, and the text as decoded from the ids."""
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), out_col="ids").drop("text"), out_col="decoded")
+    # Staged, so that a task has one Python worker at a time; the ids take the text's place, which is not sent back.
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), out_col="text").withColumnRenamed("text", "ids")
+    both = bpe.decode(materialize(encoded, "token-ids"), out_col="decoded")
     return both.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
 
 

@@ -11,7 +11,7 @@ import corpus_pipeline
 from loglens import materialize
 from loglens.llm import bpe, quality, toxicity
 from loglens.llm.tables import table
-from test_minhash import _brute
+from llm_brute import brute as _brute
 
 SF = "/root/testdata/sf0.001"
 
@@ -52,3 +52,11 @@ def test_stages_equal_brute_force(spark):
     got = sorted(corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens").collect())
     assert [tuple(r) for r in got] == sorted((d, r.n_tokens) for d, r in kept[4].items())
     assert np.isfinite(scores).all()
+
+
+def test_tokens_stage_has_one_python_step_at_a_time(spark):
+    rows = [(1, "one, two\n three", "en", "web", 0), (2, "", "en", "web", 0), (3, None, None, None, 0), (3, "ünï 12", "de", "web", 0)]
+    out = corpus_pipeline.tokens_stage(spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"), SF)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "text"]
+    assert sorted((r.doc_id, r.text, len(r.ids) == r.n_tokens) for r in out.collect()) == sorted((d, t or "", True) for d, t, *_ in rows)
