@@ -27,10 +27,11 @@ as one document; columns other than the two named have no influence, whatever th
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
-from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
@@ -70,10 +71,12 @@ def from_planes(planes: list[bytes], n: int, bits: int) -> np.ndarray:
         for k, plane in enumerate(planes):
             octets[:, k] = np.frombuffer(plane, np.uint8)
         return octets.view("<u4").ravel()
-    flags = np.zeros((32, n), np.uint8)
+    octets = np.zeros((n, 4), np.uint8)
+    flags = np.zeros((-(-len(planes) // 8) * 8, n), np.uint8)
     for k, plane in enumerate(planes):
         flags[k] = np.unpackbits(np.frombuffer(plane, np.uint8), count=n, bitorder="little")
-    return np.packbits(np.ascontiguousarray(flags.T), axis=1, bitorder="little").view("<u4").ravel()
+    octets[:, :len(flags) // 8] = np.packbits(np.ascontiguousarray(flags.T), axis=1, bitorder="little")
+    return octets.view("<u4").ravel()
 
 
 class Writer:
@@ -163,10 +166,10 @@ class Reader:
             yield (doc_id if named else None), flat[:size]
 
 
-#: Letters whose class no Unicode version changes, perhaps a mark, and the same again on a next line: each is one pre-token for sure.
-_LETTERS, _MARK = "[A-Za-zÀ-ÖØ-öø-ɏ]+", "[,.;:!?]"
-PLAIN = f"^(?P<word>{FIRST}?{_LETTERS})(?P<mark>{_MARK}?)(?:(?P<line>\n)(?P<next>{_LETTERS})(?P<end>{_MARK}?))?$"
-MARKS = [*",.;:!?", "\n"]
+#: Letters whose class no Unicode version changes, perhaps ASCII marks, and the same again on a next line: each is one pre-token for sure.
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ɏ]+", r"[!-/:-@\[-`{-~]*"
+PLAIN = f"^(?P<word>{FIRST}?{_LETTERS})(?P<marks>{_MARKS})(?:(?P<line>\n)(?P<next>{_LETTERS})(?P<end>{_MARKS}))?$"
+IN_PLAIN = f" ?(?:{_LETTERS})?{_MARKS}(?:\n(?:{_LETTERS})?{_MARKS})?"
 AT_ONCE = 1000  # other pieces per call: what the library returns takes memory
 
 
@@ -177,31 +180,22 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
 
 
+@functools.lru_cache(1)
 def _by_library(json: str, cut: bool):
     """(learn, whole) for :class:`Memory`: the tokenizers library encodes every piece.
 
-    Pieces that are surely one or two pre-tokens go straight to the library's
-    model, each distinct pre-token once; the others through its whole encoding.
+    Pieces that are surely a few pre-tokens go straight to the library's model, each
+    distinct pre-token of a call once; the others through its whole encoding.  A Python worker
+    loads the vocabulary once.
     """
     from tokenizers import Tokenizer
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_str(json)
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     whole = "|".join(map(re.escape, added)) if added else None
-    # A plain piece can hold an added token only if that has nothing but its characters.
-    inside = whole if any(re.fullmatch(f"(?:{_LETTERS}|{_MARK}|[ \n])+", x) for x in added) else None
-    tokenize, letters = tokenizer.model.tokenize, _byte_letters()
-    space = letters[0x20]
-
-    def token_ids(match: str) -> list[int]:
-        if match.isascii() and match.isalpha():
-            return [t.id for t in tokenize(match)]
-        if match[:1] == " " and match.isascii():
-            return [t.id for t in tokenize(space + match[1:])]
-        return [t.id for t in tokenize(match.encode().decode("latin-1").translate(letters))]
-
-    marks = pa.array(MARKS, pa.large_string())
-    mark_ids = [token_ids(x) for x in MARKS]
+    # A plain piece can hold an added token only if that has the form of a part of one.
+    inside = whole if any(re.fullmatch(IN_PLAIN, x) for x in added) else None
+    tokenize, letters, id_of = tokenizer.model.tokenize, _byte_letters(), attrgetter("id")
 
     def learn(new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         plain = pc.extract_regex(new, PLAIN) if cut else pa.nulls(len(new), pa.struct([]))
@@ -209,25 +203,33 @@ def _by_library(json: str, cut: bool):
             plain = pc.if_else(pc.match_substring_regex(pa.array(names_of(new), new.type), inside), None, plain)
         hard = np.flatnonzero(plain.is_null().to_numpy(zero_copy_only=False))
         easy = np.flatnonzero(plain.is_valid().to_numpy(zero_copy_only=False))
-        # A table of distinct parts, and for each piece its up to five parts in it.
-        table: list[list[int]] = [[], *mark_ids]
+        # A table of distinct parts, and for each piece its up to five parts in it; part 0 is empty.
+        flat, ends = [], [0]
         parts = np.zeros((len(new), 5), np.int64)
         if len(easy):
-            word, mark, line, after, end = plain.filter(plain.is_valid()).flatten()
+            word, *others = plain.filter(plain.is_valid()).flatten()
             first = pc.starts_with(word, FIRST)
             word = pc.if_else(first, pc.utf8_slice_codeunits(word, 1), pc.binary_join_element_wise(pa.scalar(" ", word.type), word, pa.scalar("", word.type)))
-            coded = pa.concat_arrays([word, after]).dictionary_encode()
-            slot = coded.indices.to_numpy() + len(table)
-            table += [token_ids(x) if x else [] for x in coded.dictionary.to_numpy(zero_copy_only=False)]
-            parts[easy, 0], parts[easy, 3] = slot[:len(easy)], slot[len(easy):]
-            for k, column in ((1, mark), (2, line), (4, end)):
-                parts[easy, k] = pc.index_in(column, value_set=marks).fill_null(-1).to_numpy() + 1
-        parts[hard, 0] = np.arange(len(table), len(table) + len(hard))
+            coded = pa.concat_arrays([word, *others]).dictionary_encode()
+            parts[easy] = coded.indices.to_numpy().reshape(5, -1).T + 1
+            # No part but a line end has one, so they are the separators of the parts' texts.
+            line = coded.dictionary.index("\n").as_py()
+            texts = "\n".join(x if x != "\n" else "" for x in coded.dictionary.to_numpy(zero_copy_only=False))
+            texts = texts.encode().decode("latin-1").translate(letters).split(letters[0x0A])
+            if line >= 0:
+                texts[line] = letters[0x0A]
+            for text in texts:
+                if text:
+                    flat += map(id_of, tokenize(text))
+                ends.append(len(flat))
+        parts[hard, 0] = np.arange(len(ends), len(ends) + len(hard))
         strange = names_of(new.take(pa.array(hard)))
-        table += [e.ids for i in range(0, len(strange), AT_ONCE) for e in tokenizer.encode_batch_fast(strange[i:i + AT_ONCE], add_special_tokens=False)]
-        size = np.fromiter(map(len, table), np.int64, len(table))
-        flat = np.fromiter(chain.from_iterable(table), np.int32, int(size.sum()))
-        return gather(flat, np.cumsum(size) - size, size, parts.ravel()), size[parts].sum(axis=1)
+        for i in range(0, len(strange), AT_ONCE):
+            for e in tokenizer.encode_batch_fast(strange[i:i + AT_ONCE], add_special_tokens=False):
+                flat += e.ids
+                ends.append(len(flat))
+        start, size = np.array([0, *ends[:-1]], np.int64), np.diff(ends, prepend=0)
+        return gather(np.array(flat, np.int32), start, size, parts.ravel()), size[parts].sum(axis=1)
 
     return learn, whole
 

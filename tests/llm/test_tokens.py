@@ -3,6 +3,7 @@
 import hashlib
 import io
 import random
+import re
 import zlib
 
 import numpy as np
@@ -121,3 +122,19 @@ def test_planes_round_trip(bits):
 def test_file_rejects_other_bytes():
     with pytest.raises(ValueError):
         token_files.Reader(io.BytesIO(b"x" * 100))
+
+
+def test_runs_of_marks_encode_as_in_whole_texts():
+    """Words with runs of marks go to the model piece by piece, without the library's whole encoding."""
+    with open(token_files.TOKENIZER) as file:
+        json = file.read()
+    r = random.Random(3)
+    marks = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
+    texts = [" ".join(r.choice(["word", "É", "don't", "x2", "we'll"]) + "".join(r.choice(marks) for _ in range(r.randint(0, 4))) + r.choice(["", "", "\nnext'", "\n's", "<|endoftext|>"])
+                      for _ in range(30)) for _ in range(200)] + [f"a{m} b\nc{m}{m}" for m in marks]
+    learn, whole = token_files._by_library(json, True)
+    ids, off = bpe.Memory(learn, whole).encode(texts)
+    library = Tokenizer.from_str(json)
+    assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert all(re.fullmatch(token_files.PLAIN, x) for x in ("berzu,$$$", "\tnd&&&", "en.\nÊanch***"))
+    assert not any(re.fullmatch(token_files.PLAIN, x) for x in ("don't", "a<|endoftext|>", "a2", "a\n\nb"))
