@@ -9,19 +9,23 @@ their sizes.  Equal sets are one class first.
 *Small sets* enumerate fixed-size subsets: for each size b that a partner may have,
 all their subsets of need(a, b) shingles, named by a hash of the subset and of both
 sizes.  Two small sets that link share such a name; sets of different sizes that share
-one link, too.  *Large sets* scan inverted lists, which hold the necessary prefix of every set that a large one may
-link to: its size - need + 1 shingles that come first in one order of all
-shingles, so that linked sets meet in a list for sure.  The order puts shingles
-that many documents have last, by a bounded table of their counts; which ones that
-table knows changes the lists' lengths, not the result.
+one link, too.  *Large sets* scan inverted lists, which hold the parts of every set that
+a large one may link to: a hash deals all shingles to one part more than linked sets
+of such sizes may differ in, so that at least one part of both has the very same
+shingles, and they meet in its list for sure.  A part has some nine shingles at 90 per
+cent, so what meets in a list is similar; lists of single shingles would grow with the
+square of the corpus.
 
 The boundary between both is the size of least cost: names of the enumerated
 subsets on one side, and on the other the postings and the lengths of the lists
 that they are in, both summed over all classes.
 
 A bounded sketch of all postings proves most lists to have one entry; these go before
-any shuffle.  Candidates are compared by their prefixes first, of which linked sets
-share not one shingle but many, then verified on their whole sets and contracted to
+any shuffle.  Candidates are compared by their necessary prefixes first: their size -
+need + 1 shingles that come first in one order of all shingles, of which linked sets
+share some.  The order puts shingles that many documents have last, by a bounded table
+of their counts; which ones that table knows changes what is compared further, not the
+result.  What is left is verified on whole sets and contracted to
 components by :mod:`loglens.llm.linking`; no link is lost, and no pairs of a list are
 enumerated.
 
@@ -93,6 +97,36 @@ def subset_names(items: np.ndarray, similarity: int = SIMILARITY) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, U)
 
 
+def tops(most: int, similarity: int = SIMILARITY) -> np.ndarray:
+    """The largest sizes of the classes of sizes, up to one that has ``most``; sets that may link are of one class or of neighbouring ones."""
+    out = [1]
+    while out[-1] < most:
+        out.append(max(out[-1] + 1, 100 * out[-1] // similarity))
+    return np.array(out, np.int64)
+
+
+def part_names(flat: np.ndarray, off: np.ndarray, similarity: int = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """The names of the parts of sets (flat shingles, row offsets), as the same: each by the sum of its shingles' hashes.
+
+    A set is cut for its own class of sizes and, as a visitor, for the next: into one part
+    more than the shingles in which linked sets up to that class's top may differ.
+    """
+    size = np.diff(off)
+    top = tops(int(size.max(initial=1)) + 1, similarity)
+    top = np.append(top, max(top[-1] + 1, 100 * top[-1] // similarity))
+    own = np.searchsorted(top, size)
+    n = [np.where(size > 0, (100 - similarity) * 2 * top[own + k] // (100 + similarity) + 1, 0) for k in (0, 1)]
+    ends = np.concatenate([[0], np.cumsum(n[0] + n[1])])
+    row = np.repeat(np.arange(len(size)), size)
+    dealt, value = mix(flat ^ U(0x3C3C3C3C7E57AB1E)) >> U(32), mix(flat ^ U(0xA5A5A5A5DEADBEEF))
+    total = np.zeros(int(ends[-1]), U)
+    for parts, start in zip(n, (ends[:-1], ends[:-1] + n[0])):
+        np.add.at(total, start[row] + (dealt * parts[row].astype(U) >> U(32)).astype(np.int64), value)
+    group = np.repeat(np.stack([own, own + 1], axis=1).ravel(), np.stack(n, axis=1).ravel())
+    place = np.arange(len(total)) - np.repeat(np.stack([ends[:-1], ends[:-1] + n[0]], axis=1).ravel(), np.stack(n, axis=1).ravel())
+    return mix(total ^ mix(group.astype(U) << U(32) | place.astype(U))), ends
+
+
 def common_shingles(docs: DataFrame, width: int, text_col: str, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
     """(shingles ascending, counts) of those found in most documents, at most ``most``; counts are lower bounds."""
 
@@ -137,7 +171,7 @@ def first_in_order(flat: np.ndarray, off: np.ndarray, common: tuple[np.ndarray,
 
 
 def prefixed(docs: DataFrame, width: int, similarity: int, small: int, common, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, digest, prefix, items) per row; items are the whole set of those up to ``small`` shingles, else null."""
+    """(doc_id, n_shingles, digest, prefix, parts, items) per row; items are the whole set of those up to ``small`` shingles, else null."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
@@ -148,23 +182,28 @@ def prefixed(docs: DataFrame, width: int, similarity: int, small: int, common, i
             little = size <= small
             items = np.repeat(little, size)
             whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(little, size, 0))]), pa.int32()), pa.array(flat[items].view(np.int64)), mask=pa.array(~little))
+            names, upto = part_names(flat, off, similarity)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(linking.set_digests(flat, off), pa.binary()),
-                                              lists(first.view(np.int64), ends, pa.int64()), whole], ["doc_id", "n_shingles", "digest", "prefix", "items"])
+                                              lists(first.view(np.int64), ends, pa.int64()), lists(names.view(np.int64), upto, pa.int64()), whole], ["doc_id", "n_shingles", "digest", "prefix", "parts", "items"])
 
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return own.mapInArrow(run, f"doc_id {dict(own.dtypes)['doc_id']}, n_shingles bigint, digest binary, prefix array<bigint>, items array<bigint>")
+    return own.mapInArrow(run, f"doc_id {dict(own.dtypes)['doc_id']}, n_shingles bigint, digest binary, prefix array<bigint>, parts array<bigint>, items array<bigint>")
 
 
-def boundary(classes: DataFrame, small: int, similarity: int) -> int:
-    """The size of least cost up to which sets enumerate subsets; ``small`` at most."""
-    postings = classes.select("n", F.explode("prefix").alias("bucket"))
-    asked = postings.where(F.col("n") <= small).groupBy("bucket", "n").agg(F.count("*").alias("sets"))
+def boundary(classes: DataFrame, postings: DataFrame, small: int, similarity: int) -> int:
+    """The size of least cost up to which sets enumerate subsets; ``small`` at most.
+
+    ``postings`` (size, bucket) has the lists of several members whole; all others have one.
+    """
     lengths = postings.groupBy("bucket").agg(F.count("*").alias("length"))
-    scans = {r["n"]: r["cost"] for r in asked.join(lengths, "bucket").groupBy("n").agg(F.sum(F.col("sets") * (F.col("length") + 1)).alias("cost")).collect()}
-    sets = {r["n"]: r["sets"] for r in classes.where(F.col("n") <= small).groupBy("n").agg(F.count("*").alias("sets")).collect()}
+    asked = postings.where(F.col("size") <= small).groupBy("bucket", "size").agg(F.count("*").alias("sets"))
+    longer = {r["size"]: r["cost"] for r in asked.join(lengths, "bucket").groupBy("size").agg(F.sum(F.col("sets") * (F.col("length") - 1)).alias("cost")).collect()}
+    own = classes.where(F.col("n") <= small).groupBy("n").agg(F.count("*").alias("sets"), F.sum(F.size("parts")).alias("postings")).collect()
+    sets = {r["n"]: r["sets"] for r in own}
+    scans = {r["n"]: 2 * r["postings"] + longer.get(r["n"], 0) for r in own}
 
     def cost(x: int) -> int:
-        light = sum(c * (names_of_size(n, similarity) + (prefix_length(n, similarity) if 100 * n // similarity > x else 0)) for n, c in sets.items() if n <= x)
+        light = sum(c * names_of_size(n, similarity) + (scans[n] if 100 * n // similarity > x else 0) for n, c in sets.items() if n <= x)
         return light + sum(c for n, c in scans.items() if n > x)
 
     return min(range(small + 1), key=cost)
@@ -194,8 +233,8 @@ def _not_alone(listed: DataFrame, column: str, bits: int | None = None) -> DataF
     return listed.select("node", "n", column).mapInArrow(run, "node binary, size bigint, bucket bigint, label bigint")
 
 
-def candidates(classes: DataFrame, x: int, similarity: int) -> DataFrame:
-    """(node, size, bucket, label): names of the subsets of sets up to x shingles, and postings of all that a larger one may link to."""
+def candidates(classes: DataFrame, postings: DataFrame, x: int, similarity: int) -> DataFrame:
+    """(node, size, bucket, label): names of the subsets of sets up to x shingles, and those of the ``postings`` whose sets a larger one may link to."""
 
     def enumerate_(batches):
         for batch in batches:
@@ -209,8 +248,7 @@ def candidates(classes: DataFrame, x: int, similarity: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([nodes, size, pa.array(np.concatenate(names).view(np.int64))], ["node", "size", "bucket"])
 
     light = classes.where(F.col("n") <= x).select("node", "items").mapInArrow(enumerate_, "node binary, size bigint, bucket bigint")
-    listed = classes.where(F.floor(F.lit(100) * F.col("n") / similarity) > x)
-    return _not_alone(listed, "prefix").unionByName(light.withColumn("label", F.col("bucket")))
+    return postings.where(F.floor(F.lit(100) * F.col("size") / similarity) > x).unionByName(light.withColumn("label", F.col("bucket")))
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, limit: int | None = None, common: int = COMMON,
@@ -221,10 +259,12 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, similarity: int = SI
     order = common_shingles(docs, width, text_col, common)
     signed = Staged(prefixed(docs, width, similarity, small, order, id_col, text_col), "prefixes").df
     one = (signed.where("doc_id is not null and digest is not null").groupBy(F.col("digest").alias("node"))
-           .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("items").alias("items")))
+           .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"), F.first("items").alias("items")))
     classes = Staged(one, "classes")
-    x = boundary(classes.df, small, similarity) if limit is None else min(limit, small)
-    buckets = linking.crowded(candidates(classes.df, x, similarity))
+    postings = Staged(_not_alone(classes.df, "parts"), "postings")
+    x = boundary(classes.df, postings.df, small, similarity) if limit is None else min(limit, small)
+    buckets = linking.crowded(candidates(classes.df, postings.df, x, similarity))
+    postings.drop()
     ids = classes.df.select("doc_id", "node")
     fetch = lambda nodes: linking.shingle_sets(docs, ids.join(nodes, "node"), width, id_col, text_col)
     heads = classes.df.select("node", "n", F.col("prefix").alias("head"))

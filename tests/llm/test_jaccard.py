@@ -157,3 +157,31 @@ def test_size_classes_let_all_meet_that_may_link(spark):
         met = {frozenset((a, b)) for own in cells.values() for a, p in own for b, q in own if p != q}
         assert all(frozenset((a, b)) in met for a in sizes for b in range(a + 1, 400) if 100 * a >= similarity * b)
         assert len(met) < 399 * 398 // 4
+
+
+@pytest.mark.parametrize("similarity", [60, 75, 90])
+def test_linked_sets_have_a_part_in_common(similarity):
+    r = random.Random(similarity)
+    top = jaccard.tops(500, similarity)
+    for a in range(1, 400):
+        assert np.searchsorted(top, 100 * a // similarity) <= np.searchsorted(top, a) + 1
+    linked = 0
+    for n in [*range(1, 60), *range(60, 400, 9)]:
+        for _ in range(4):
+            a = {r.randrange(2 ** 62) for _ in range(n)}
+            b = set(list(a)[:n - r.randint(0, n // 8)]) | {r.randrange(2 ** 62) for _ in range(r.randint(0, n // 8))}
+            flat = np.concatenate([np.array(sorted(x), np.uint64) for x in (a, b)])
+            names, ends = jaccard.part_names(flat, np.array([0, len(a), len(a) + len(b)]), similarity)
+            if 100 * len(a & b) >= similarity * len(a | b):
+                linked += 1
+                assert set(names[:ends[1]].tolist()) & set(names[ends[1]:].tolist())
+    assert linked > 50
+
+
+def test_lists_of_dissimilar_sets_do_not_grow(spark):
+    """Texts of one small vocabulary share many single shingles, but hardly a part."""
+    r = random.Random(12)
+    texts = [(k, " ".join(str(r.randrange(20)) for _ in range(200))) for k in range(400)]
+    signed = jaccard.prefixed(frame(spark, texts), 3, 90, 0, (np.empty(0, np.uint64), np.empty(0, np.int64)), "doc_id", "text")
+    met = lambda column: signed.select(F.explode(column).alias("b")).groupBy("b").count().where("count > 1").agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    assert met("prefix") > 4000 and met("parts") < 100
