@@ -284,6 +284,12 @@ def crowded(members: DataFrame) -> Staged:
     return Staged(own.join(full, "bucket"), "buckets")
 
 
+def _rooted(members: DataFrame, of: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(bucket, node, label, root, size) of the members (bucket, node, label): a node, however many buckets it is in, meets its root and size once."""
+    own = members.groupBy("node").agg(F.collect_list(F.struct("bucket", "label")).alias("places"))
+    return own.join(of, "node").join(sizes, "node").select("node", "root", "size", F.explode("places").alias("at")).select("at.bucket", "node", "at.label", "root", "size")
+
+
 def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, rounds: int = ROUNDS, heads: DataFrame | None = None) -> Staged:
     """(node, root) of all nodes in ``buckets`` (see :func:`crowded`), which is dropped.  A link: 100 * shared >= similarity * united.
 
@@ -315,7 +321,7 @@ def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, roun
         of = _merge(of, _verified(apart, sets.df, similarity).join(x, "a").join(y, "b").select("ra", "rb"))
         found.drop()
     sizes = sets.df.select("node", F.size("items").alias("size")) if heads is None else heads.select("node", F.col("n").alias("size"))
-    rooted = others.where(F.col("n") > rounds + 1).select("bucket", "node", "label").join(of.df, "node").join(sizes, "node")
+    rooted = _rooted(others.where(F.col("n") > rounds + 1), of.df, sizes)
     # Members of one component, and those whose label names another bucket that they share, need not meet.
     part = F.when(F.col("label") == F.col("bucket"), F.col("root")).otherwise(F.col("label").cast("string").cast("binary"))
     rooted = rooted.withColumn("part", part)

@@ -185,3 +185,13 @@ def test_lists_of_dissimilar_sets_do_not_grow(spark):
     signed = jaccard.prefixed(frame(spark, texts), 3, 90, 0, (np.empty(0, np.uint64), np.empty(0, np.int64)), "doc_id", "text")
     met = lambda column: signed.select(F.explode(column).alias("b")).groupBy("b").count().where("count > 1").agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     assert met("prefix") > 4000 and met("parts") < 100
+
+
+def test_a_node_of_many_buckets_meets_its_root_once(spark):
+    members = spark.range(400).select((F.col("id") % 40).alias("bucket"), F.concat(F.lit("n"), F.floor(F.col("id") / 40).cast("string")).cast("binary").alias("node"), F.lit(3).cast("bigint").alias("label"))
+    nodes = members.select("node").distinct()
+    rooted = linking._rooted(members, nodes.withColumn("root", F.lit(b"r")), nodes.withColumn("size", F.lit(8)))
+    assert sorted((r.bucket, bytes(r.node)) for r in rooted.collect()) == sorted((r.bucket, bytes(r.node)) for r in members.collect())
+    assert {(bytes(r.root), r.size, r.label) for r in rooted.collect()} == {(b"r", 8, 3)}
+    plan = rooted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Join Inner")  # the plan's root comes first: buckets are laid out after both joins
