@@ -20,8 +20,9 @@ The boundary between both is the size of least cost: names of the enumerated
 subsets on one side, and on the other the postings and the lengths of the lists
 that they are in, both summed over all classes.
 
-A bounded sketch of all postings proves most lists to have one entry; these go before
-any shuffle.  Candidates are compared by their necessary prefixes first: their size -
+Marks of all postings, four bytes each, prove most lists to have one entry; these go before
+any other shuffle, by a bounded sketch of the marks met twice.  Candidates are compared by
+their parities first (:func:`linking.parities`), then by their necessary prefixes: their size -
 need + 1 shingles that come first in one order of all shingles, of which linked sets
 share some.  The order puts shingles that many documents have last, by a bounded table
 of their counts; which ones that table knows changes what is compared further, not the
@@ -171,7 +172,7 @@ def first_in_order(flat: np.ndarray, off: np.ndarray, common: tuple[np.ndarray,
 
 
 def prefixed(docs: DataFrame, width: int, similarity: int, small: int, common, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, digest, prefix, parts, items) per row; items are the whole set of those up to ``small`` shingles, else null."""
+    """(doc_id, n_shingles, digest, prefix, parity, parts, items) per row; items are the whole set of those up to ``small`` shingles, else null."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
@@ -184,10 +185,28 @@ def prefixed(docs: DataFrame, width: int, similarity: int, small: int, common, i
             whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(little, size, 0))]), pa.int32()), pa.array(flat[items].view(np.int64)), mask=pa.array(~little))
             names, upto = part_names(flat, off, similarity)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(linking.set_digests(flat, off), pa.binary()),
-                                              lists(first.view(np.int64), ends, pa.int64()), lists(names.view(np.int64), upto, pa.int64()), whole], ["doc_id", "n_shingles", "digest", "prefix", "parts", "items"])
+                                              lists(first.view(np.int64), ends, pa.int64()), pa.array(linking.parities(flat, off), pa.binary()), lists(names.view(np.int64), upto, pa.int64()), whole], ["doc_id", "n_shingles", "digest", "prefix", "parity", "parts", "items"])
 
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return own.mapInArrow(run, f"doc_id {dict(own.dtypes)['doc_id']}, n_shingles bigint, digest binary, prefix array<bigint>, parts array<bigint>, items array<bigint>")
+    return own.mapInArrow(run, f"doc_id {dict(own.dtypes)['doc_id']}, n_shingles bigint, digest binary, prefix array<bigint>, parity binary, parts array<bigint>, items array<bigint>")
+
+
+def set_classes(signed: DataFrame) -> DataFrame:
+    """(node, doc_id, n, prefix, parity, parts, items): one row per distinct set, with its smallest id; only sets that may have copies are shuffled."""
+    own = signed.where("doc_id is not null and digest is not null").withColumn("key", F.xxhash64("digest"))
+    shared = signed.sparkSession.sparkContext.broadcast(sketch.build(own, "key", sketch.bits_for(own.count())))
+
+    def kept(again: bool):
+        def run(batches):
+            found = shared.value
+            for batch in batches:
+                yield batch.filter(pa.array(found.met_twice(batch.column("key").to_numpy().view(U)) == again))
+        return own.mapInArrow(run, own.schema)
+
+    columns = ("n", "prefix", "parity", "parts", "items")
+    name = lambda x: x.withColumnsRenamed({"digest": "node", "n_shingles": "n"})
+    copies = name(kept(True)).groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in columns))
+    return name(kept(False)).select("node", "doc_id", *columns).unionByName(copies)
 
 
 def boundary(classes: DataFrame, postings: DataFrame, small: int, similarity: int) -> int:
@@ -210,13 +229,15 @@ def boundary(classes: DataFrame, postings: DataFrame, small: int, similarity: in
 
 
 def _not_alone(listed: DataFrame, column: str, bits: int | None = None) -> DataFrame:
-    """(node, size, bucket, label) of the lists in ``column``, without buckets that a bounded sketch proves to have one member.
+    """(node, size, bucket, label) of the lists in ``column``, without buckets that marks prove to have one member.
 
-    The label is the least bucket that a node is left in.
+    Only marks met twice go to the bounded sketch, so that it doesn't fill with those met once.  The label is the least bucket that a node is left in.
     """
     keys = listed.select(F.explode(column).alias("bucket"))
-    total = listed.agg(F.sum(F.size(column))).first()[0] or 0
-    shared = listed.sparkSession.sparkContext.broadcast(sketch.build(keys, "bucket", bits or sketch.bits_for(total)))
+    lead = sketch.mark_bits(listed.agg(F.sum(F.size(column))).first()[0] or 0)
+    found = Staged(sketch.repeated(keys, "bucket", lead), "repeated")
+    shared = listed.sparkSession.sparkContext.broadcast(sketch.build(found.df, "mark", bits or sketch.bits_for(8 * found.df.count())))
+    found.drop()
 
     def run(batches):
         found = shared.value
@@ -224,7 +245,7 @@ def _not_alone(listed: DataFrame, column: str, bits: int | None = None) -> DataF
             names = batch.column(column)
             flat = names.flatten()
             node = np.repeat(np.arange(batch.num_rows), names.value_lengths().to_numpy(zero_copy_only=False))
-            kept = np.flatnonzero(found.met_twice(flat.to_numpy().view(U)))
+            kept = np.flatnonzero(found.met(sketch.marks(flat.to_numpy().view(U), lead)))
             node, bucket = node[kept], flat.to_numpy()[kept]
             start = np.flatnonzero(np.diff(node, prepend=-1))
             label = np.repeat(np.minimum.reduceat(bucket, start), np.diff(np.append(start, len(node)))) if len(node) else bucket
@@ -258,16 +279,14 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, similarity: int = SI
     small = largest_small(similarity)
     order = common_shingles(docs, width, text_col, common)
     signed = Staged(prefixed(docs, width, similarity, small, order, id_col, text_col), "prefixes").df
-    one = (signed.where("doc_id is not null and digest is not null").groupBy(F.col("digest").alias("node"))
-           .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"), F.first("items").alias("items")))
-    classes = Staged(one, "classes")
+    classes = Staged(set_classes(signed), "classes")
     postings = Staged(_not_alone(classes.df, "parts"), "postings")
     x = boundary(classes.df, postings.df, small, similarity) if limit is None else min(limit, small)
     buckets = linking.crowded(candidates(classes.df, postings.df, x, similarity))
     postings.drop()
     ids = classes.df.select("doc_id", "node")
     fetch = lambda nodes: linking.shingle_sets(docs, ids.join(nodes, "node"), width, id_col, text_col)
-    heads = classes.df.select("node", "n", F.col("prefix").alias("head"))
+    heads = classes.df.select("node", "n", F.col("prefix").alias("head"), "parity")
     return linking.component_ids(signed, linking.components(buckets, fetch, similarity, heads=heads))
 
 

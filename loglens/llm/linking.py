@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from loglens.llm import sketch
 from loglens.llm.components import connected_components
 from loglens.llm.tables import Staged
-from loglens.llm.text import Words, chunks, lists, shingles
+from loglens.llm.text import U, Words, chunks, lists, mix, shingles
 
 ROUNDS = 2
+PARITY_CELLS = 64, 8192 # of a set, at least and at most
 BLOCK = 256             # members of one bucket whose whole sets meet in a task, from either side
 
 
@@ -49,7 +50,7 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, width: int, id_col: str, t
     """
     classes = Staged(classes, "wanted-sets").df
     hashed = classes.select(F.xxhash64("doc_id").alias("key"))
-    shared = docs.sparkSession.sparkContext.broadcast(sketch.build(hashed, "key", sketch.bits_for(classes.count()), 1))
+    shared = docs.sparkSession.sparkContext.broadcast(sketch.build(hashed, "key", sketch.bits_for(8 * classes.count()), 1))
 
     def cut(batches):
         wanted = shared.value
@@ -136,6 +137,38 @@ def least_shared(n, m, p, q, similarity: int):
     return need, np.minimum(p - (n - need), q - (m - need))
 
 
+def parities(flat: np.ndarray, off: np.ndarray) -> list[bytes]:
+    """Per set, for each of some two cells an element, packed: whether an odd number of its elements fall into it.
+
+    Two sets that differ in k elements differ in k cells at most (:func:`_cells_apart`).
+    """
+    size = np.diff(off)
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64), *PARITY_CELLS)
+    ends = np.concatenate([[0], np.cumsum(width)])
+    row = np.repeat(np.arange(len(size)), size)
+    odd = np.bincount(ends[row] + (mix(flat ^ U(0x6A09E667F3BCC909)) & (width[row] - 1).astype(U)).astype(np.int64), minlength=int(ends[-1])) & 1
+    packed, at = np.packbits(odd.astype(bool), bitorder="little").tobytes(), ends // 8
+    return [packed[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def _folded(parity: bytes, cells: int) -> np.ndarray:
+    """The parities of the same set for so many cells, a smaller power of two: those whose number has the same last bits are one."""
+    return np.bitwise_xor.reduce(np.frombuffer(parity, np.uint8).reshape(-1, cells // 8), axis=0)
+
+
+def _cells_apart(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """In how many cells parities differ, as a matrix."""
+    cells = 8 * min(map(len, (*left, *right)))
+    x, y = (np.unpackbits(np.stack([_folded(p, cells) for p in side]), axis=1).astype(np.float32) for side in (left, right))
+    return x.sum(axis=1)[:, None] + y.sum(axis=1)[None, :] - 2 * (x @ y.T)
+
+
+def _most_apart(n, m, similarity: int):
+    """How many elements linked sets of n and m have at most that the other has not."""
+    need = -(-similarity * (n + m) // (100 + similarity))
+    return np.where(need <= np.minimum(n, m), n + m - 2 * need, -1)
+
+
 def _may_link(bucket: int, rows: list[tuple], similarity: int) -> bool:
     """Whether heads (side, root, head, size, …) of one pair of blocks leave a link between two components possible.
 
@@ -198,27 +231,31 @@ def deal(members: DataFrame, similarity: int, block: int) -> DataFrame:
 
 
 def _by_blocks(keyed: DataFrame, judge, schema: str) -> DataFrame:
-    """What ``judge(key, rows)`` gives (a record batch) for the rows (side, root, items, size, origin) of each pair of blocks (bucket, i, j)."""
+    """What ``judge(key, rows)`` gives (a record batch) for the rows (side, root, items, size, origin, node) of each pair of blocks (bucket, i, j)."""
     spark = keyed.sparkSession
     shuffles = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def compare(batches):
         key, rows = None, []
         for batch in batches:
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "side", "root", "size", "origin")]
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "side", "root", "size", "origin", "node")]
             items = batch.column("items")
-            off, flat = items.offsets.to_numpy(), items.values.to_numpy()
-            for k, (bucket, i, j, side, root, size, origin) in enumerate(zip(*cols)):
+            if pa.types.is_binary(items.type):
+                own = items.to_pylist()
+            else:
+                off, flat = items.offsets.to_numpy(), items.values.to_numpy()
+                own = [flat[a:b].copy() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+            for k, (bucket, i, j, side, root, size, origin, node) in enumerate(zip(*cols)):
                 if (bucket, i, j) != key:
                     if len(rows) > 1:
                         yield judge(key, rows)
                     key, rows = (bucket, i, j), []
-                rows.append((side, bytes(root), flat[off[k]:off[k + 1]].copy(), size, origin))
+                rows.append((side, bytes(root), own[k], size, origin, bytes(node)))
         if len(rows) > 1:
             yield judge(key, rows)
 
     origin = F.col("origin" if "origin" in keyed.columns else "bucket").alias("origin")
-    return (keyed.select("bucket", "i", "j", "side", "root", "items", "size", origin).repartition(shuffles, "bucket", "i", "j")
+    return (keyed.select("bucket", "i", "j", "side", "root", "items", "size", origin, "node").repartition(shuffles, "bucket", "i", "j")
             .sortWithinPartitions("bucket", "i", "j").mapInArrow(compare, schema))
 
 
@@ -240,6 +277,50 @@ def _possible_blocks(dealt: DataFrame, heads: DataFrame, similarity: int) -> Dat
     return _by_blocks(dealt.join(heads.select("node", F.col("head").alias("items"), F.col("n").alias("size")), "node"), judge, "bucket bigint, i int, j int")
 
 
+def _near_members(dealt: DataFrame, marks: DataFrame, similarity: int) -> DataFrame:
+    """The rows of ``dealt`` that parities leave a link to another component possible in their pair of blocks."""
+    def judge(key, rows):
+        left, right = (np.array([k for k, r in enumerate(rows) if r[0] in sides], np.int64) for sides in ((-1, 0), (0, 1)))
+        some = []
+        if len(left) and len(right):
+            number = {root: k for k, root in enumerate({r[1] for r in rows})}
+            root, n = (np.array([f(r) for r in rows], np.int64) for f in (lambda r: number[r[1]], lambda r: r[3]))
+            near = _cells_apart([rows[k][2] for k in left], [rows[k][2] for k in right]) <= _most_apart(n[left][:, None], n[right][None, :], similarity)
+            near &= root[left][:, None] != root[right][None, :]
+            some = sorted({*left[near.any(axis=1)].tolist(), *right[near.any(axis=0)].tolist()})
+        own = [rows[k] for k in some]
+        return pa.RecordBatch.from_arrays([pa.array([x] * len(own), t) for x, t in zip(key, (pa.int64(), pa.int32(), pa.int32()))] +
+                                          [pa.array([r[k] for r in own], t) for k, t in ((0, pa.int32()), (5, pa.binary()), (1, pa.binary()), (4, pa.int64()))], ["bucket", "i", "j", "side", "node", "root", "origin"])
+
+    return _by_blocks(dealt.join(marks.select("node", F.col("parity").alias("items"), F.col("n").alias("size")), "node"), judge,
+                      "bucket bigint, i int, j int, side int, node binary, root binary, origin bigint")
+
+
+def _near(pairs: DataFrame, marks: DataFrame, similarity: int) -> DataFrame:
+    """The pairs (a, b) that their parities leave possible."""
+    def run(batches):
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            apart = np.array([_cells_apart([x], [y])[0, 0] for x, y in zip(batch.column("parity_a").to_pylist(), batch.column("parity_b").to_pylist())], np.float64)
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= _most_apart(n, m, similarity)))
+
+    side = lambda k: marks.select(*(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "parity"))).withColumnRenamed(f"node_{k}", k)
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "parity_a", "n_b", "parity_b").mapInArrow(run, "a binary, b binary")
+
+
+def _of_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows whose ``node`` a bounded sketch of the staged ``nodes`` lets pass, before any shuffle; others may pass, too."""
+    shared = rows.sparkSession.sparkContext.broadcast(sketch.build(nodes.select(F.xxhash64("node").alias("key")), "key", sketch.bits_for(8 * nodes.count())))
+
+    def run(batches):
+        found = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array(found.met(batch.column("key").to_numpy().view(np.uint64))))
+
+    keyed = rows.withColumn("key", F.xxhash64("node"))
+    return keyed.mapInArrow(run, keyed.schema).drop("key")
+
+
 def _possible(pairs: DataFrame, heads: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) that their heads leave possible."""
     side = lambda k: heads.select(*(F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "head"))).withColumnRenamed(f"node_{k}", k)
@@ -295,11 +376,14 @@ def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, roun
 
     ``fetch(nodes)`` gives the staged whole sets (node, items) of nodes.  ``heads`` (node, n, head), the
     first elements of every set in one order and its size, spare most whole sets of
-    dissimilar members (:func:`least_shared`).  ``rounds`` (0 to 2) hubs are tried before blocks are
+    dissimilar members (:func:`least_shared`); with the column ``parity`` (:func:`parities`), these
+    go first, and only what they leave possible sends heads.  ``rounds`` (0 to 2) hubs are tried before blocks are
     compared.  Neither changes the components.
     """
     nodes = buckets.df.select("node").distinct()
     of = Staged(nodes.select("node", F.col("node").alias("root")), "roots")
+    parity = heads is not None and "parity" in heads.columns
+    marks = Staged(_of_nodes(heads.select("node", "n", "parity"), of.df), "marks") if parity else None
     others, pairs = buckets.df, []
     for hub in ("hub", "hub2")[:rounds]:
         others = others.where(F.col("node") != F.col(f"{hub}.node"))
@@ -308,7 +392,14 @@ def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, roun
             a, b = F.col("size"), F.col(f"{hub}.size")
             here = here & (F.least(a, b) * 100 >= F.greatest(a, b) * similarity)
         some = others.where(here).select(F.col("node").alias("a"), F.col(f"{hub}.node").alias("b")).distinct()
-        pairs.append(Staged(some if heads is None else _possible(some, heads, similarity), "pairs"))
+        if marks is not None:
+            near = Staged(_near(some, marks.df, similarity), "near-pairs")
+            some, known = near.df, _of_nodes(heads.drop("parity"), near.df.select(F.explode(F.array("a", "b")).alias("node")))
+        else:
+            known = heads
+        pairs.append(Staged(some if heads is None else _possible(some, known, similarity), "pairs"))
+        if marks is not None:
+            near.drop()
     wanted = nodes
     if heads is not None:
         ends = [x.df.select(F.col(c).alias("node")) for x in pairs for c in ("a", "b")]
@@ -333,6 +424,10 @@ def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, roun
         if heads is None:
             of = _merge(of, _block_links(dealt.df, sets.df, similarity))
         else:
+            if marks is not None:
+                whole, dealt = dealt, Staged(_near_members(dealt.df, marks.df, similarity), "near-members")
+                whole.drop()
+                heads = _of_nodes(heads.drop("parity"), dealt.df)
             near = Staged(_possible_blocks(dealt.df, heads, similarity), "near-blocks")
             if not near.df.isEmpty():
                 again = Staged(dealt.df.join(near.df, ["bucket", "i", "j"]), "dealt-again")
@@ -342,7 +437,7 @@ def components(buckets: Staged, fetch, similarity: int, block: int = BLOCK, roun
                 more.drop()
             near.drop()
         dealt.drop()
-    for old in (left, sets, buckets):
+    for old in (left, sets, buckets, *([marks] if marks is not None else [])):
         old.drop()
     return of
 

@@ -51,6 +51,63 @@ class Sketch:
         return self._all(self.twice, keys)
 
 
+def mark_bits(keys: int) -> int:
+    """How many leading bits of a mark name the block that it is counted in: some ``2 ** 18`` keys each."""
+    return max(4, min(24, int(keys).bit_length() - 18))
+
+
+def marks(keys: np.ndarray, bits: int) -> np.ndarray:
+    """What stands for keys among ``2 ** bits`` times ``2 ** 18`` of them: ``bits + 32`` bits, so one in some ten thousand meets another's."""
+    return mix(keys ^ stream(37, 1)[0]) >> U(32 - bits)
+
+
+def repeated(rows: DataFrame, key: str, bits: int) -> DataFrame:
+    """(mark) of the bigint column ``key`` (no nulls) met twice or more, each once.
+
+    Unlike a sketch's, its share of false ones doesn't depend on the number of keys: tasks
+    send the marks themselves (four bytes each), by blocks of their leading bits.
+    """
+    def part(batches):
+        held, n = [], 0
+
+        def flush():
+            mark, count = np.unique(marks(np.concatenate(held), bits), return_counts=True)
+            block, low = (mark >> U(32)).astype(np.int64), mark.astype(np.uint32)
+            start = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
+            ends = [*start[1:], len(mark)]
+            return pa.RecordBatch.from_arrays([pa.array(block[start], pa.int32()), pa.array([low[i:j].tobytes() for i, j in zip(start, ends)], pa.binary()),
+                                               pa.array([low[i:j][count[i:j] > 1].tobytes() for i, j in zip(start, ends)], pa.binary())], ["block", "once", "twice"])
+
+        for batch in batches:
+            held.append(batch.column(key).to_numpy().view(U))
+            n += batch.num_rows
+            if n >= FLUSH:
+                yield flush()
+                held, n = [], 0
+        if n:
+            yield flush()
+
+    def merge(batches):
+        now, held = None, []
+
+        def done():
+            low, count = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(low[count > 1].astype(np.int64) | now << 32, pa.int64())], ["mark"])
+
+        for batch in batches:
+            for block, once, twice in zip(batch.column("block").to_pylist(), batch.column("once"), batch.column("twice")):
+                if block != now:
+                    if held:
+                        yield done()
+                    now, held = block, []
+                held += [np.frombuffer(x.as_buffer(), np.uint32) for x in (once, twice) if len(x.as_buffer())]
+        if held:
+            yield done()
+
+    sent = rows.select(key).mapInArrow(part, "block int, once binary, twice binary")
+    return sent.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "mark bigint")
+
+
 def build(rows: DataFrame, key: str, bits: int, hashes: int = HASHES) -> Sketch:
     """The sketch of the bigint column ``key`` (no nulls)."""
     blocks = 1 << (bits - BLOCK_BITS)

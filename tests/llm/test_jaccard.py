@@ -195,3 +195,37 @@ def test_a_node_of_many_buckets_meets_its_root_once(spark):
     assert {(bytes(r.root), r.size, r.label) for r in rooted.collect()} == {(b"r", 8, 3)}
     plan = rooted._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode") < plan.index("Join Inner")  # the plan's root comes first: buckets are laid out after both joins
+
+
+def test_parities_bound_the_difference():
+    r = random.Random(5)
+    sets = [np.unique(np.array([r.randrange(2 ** 62) for _ in range(n)], np.uint64)) for n in (0, 1, 7, 31, 33, 64, 300, 520, 6000)]
+    sets += [np.unique(np.append(s[r.randint(0, 1 + len(s) // 9):], np.array([r.randrange(2 ** 62) for _ in range(r.randint(0, len(s) // 9))], np.uint64))) for s in sets * 3]
+    parity = linking.parities(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    apart, near, linked = linking._cells_apart(parity, parity), 0, 0
+    for i, j in combinations(range(len(sets)), 2):
+        a, b = sets[i], sets[j]
+        both = len(np.intersect1d(a, b))
+        assert apart[i, j] <= len(a) + len(b) - 2 * both and linking._cells_apart([parity[i]], [parity[j]])[0, 0] <= len(a) + len(b) - 2 * both
+        for similarity in (60, 90):
+            if len(a) and len(b):
+                may = linking._cells_apart([parity[i]], [parity[j]])[0, 0] <= linking._most_apart(len(a), len(b), similarity)
+                assert may or 100 * both < similarity * (len(a) + len(b) - both)
+                near, linked = near + may, linked + (100 * both >= similarity * (len(a) + len(b) - both))
+    assert 0 < linked <= near < 3 * linked
+
+
+def test_marks_let_lists_of_one_go_however_many_there_are(spark):
+    """In 2 ** 16 cells a sketch of all entries would let most of the 400000 single ones pass."""
+    rows = spark.range(400_000).select(F.xxhash64("id").cast("string").cast("binary").alias("node"), F.lit(9).cast("bigint").alias("n"),
+                                       F.array(F.xxhash64("id"), F.xxhash64(F.lit(1), (F.col("id") / 2000).cast("int"))).alias("parts"))
+    left = jaccard._not_alone(rows, "parts", 16)
+    assert 400_000 <= left.count() < 402_000
+    assert left.groupBy("bucket").count().where("count = 2000").count() == 200
+
+
+def test_set_classes_are_distinct(spark):
+    signed = jaccard.prefixed(frame(spark, [(k, f"a b c d {k % 7}") for k in range(40)] + [(50, "x y z"), (None, "q r s t"), (51, None)]), 3, 90, 20, (np.empty(0, np.uint64), np.empty(0, np.int64)), "doc_id", "text")
+    got = jaccard.set_classes(signed).collect()
+    assert sorted((r.doc_id, r.n) for r in got) == sorted([(k, 3) for k in range(7)] + [(50, 1)])
+    assert len({bytes(r.node) for r in got}) == 8 and all(len(r["items"]) == r.n for r in got)
