@@ -278,8 +278,10 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, similarity: int = SI
     bounded_batches(docs.sparkSession)
     small = largest_small(similarity)
     order = common_shingles(docs, width, text_col, common)
-    signed = Staged(prefixed(docs, width, similarity, small, order, id_col, text_col), "prefixes").df
-    classes = Staged(set_classes(signed), "classes")
+    signed = Staged(prefixed(docs, width, similarity, small, order, id_col, text_col), "prefixes")
+    classes = Staged(set_classes(signed.df), "classes")
+    rows = Staged(signed.df.select("doc_id", "n_shingles", "digest"), "rows").df
+    signed.drop()
     postings = Staged(_not_alone(classes.df, "parts"), "postings")
     x = boundary(classes.df, postings.df, small, similarity) if limit is None else min(limit, small)
     buckets = linking.crowded(candidates(classes.df, postings.df, x, similarity))
@@ -287,7 +289,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, similarity: int = SI
     ids = classes.df.select("doc_id", "node")
     fetch = lambda nodes: linking.shingle_sets(docs, ids.join(nodes, "node"), width, id_col, text_col)
     heads = classes.df.select("node", "n", F.col("prefix").alias("head"), "parity")
-    return linking.component_ids(signed, linking.components(buckets, fetch, similarity, heads=heads))
+    return linking.component_ids(rows, linking.components(buckets, fetch, similarity, heads=heads))
 
 
 def q_op11(spark, sf_dir: str) -> DataFrame:
